@@ -130,3 +130,15 @@ def tokenize(c, stopwords: Iterable[str] = (), singular: bool = False) -> Column
         return cond
 
     return F.filter(tokens, keep)
+
+
+def explode_values(arr, name: str, *keep) -> tuple:
+    """Select list for one row per array element, as ``name``.
+
+    ``explode_outer`` plus a null filter instead of ``explode``: for an inner
+    explode Catalyst infers ``size(arr) > 0`` and copies the whole array
+    expression (a tokenizer, say) into that filter, evaluating it twice.
+    Use as ``df.select(*explode_values(...)).where(col(name).isNotNull())``.
+    """
+    arr = _col(arr)
+    return (*keep, F.explode_outer(arr).alias(name))

@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import lower_words, strip_non_alnum
+from ..functions.text import explode_values, lower_words, strip_non_alnum
 from .joins import anti_join_small
 
 
@@ -30,7 +30,7 @@ def word_count(df: DataFrame, col: str = "text", stopwords=None) -> DataFrame:
     words after aggregation, where there is one row per distinct word
     instead of one per token. The raw word is compared, so ``the,`` stays.
     """
-    words = df.select(F.explode(lower_words(col)).alias("word"))
+    words = df.select(*explode_values(lower_words(col), "word")).where(F.col("word").isNotNull())
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     if stopwords is None:
         return counts

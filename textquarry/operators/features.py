@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import tokenize
+from ..functions.text import explode_values, tokenize
 from .joins import checked_broadcast
 from .keys import ordered_index
 
@@ -40,7 +40,8 @@ def term_counts(df: DataFrame, tokens: str = "tokens", doc: str = "doc_num") ->
     only distinct (doc, term) pairs are shuffled.
     """
     return (
-        df.select(F.col(doc).alias("doc_num"), F.explode(tokens).alias("term"))
+        df.select(*explode_values(tokens, "term", F.col(doc).alias("doc_num")))
+        .where(F.col("term").isNotNull())
         .groupBy("doc_num", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -321,5 +321,5 @@ FROM (SELECT DISTINCT unnest({tokens_of('text', stop=False)}) AS word FROM docum
 )
 def q_singularize(spark, sf_dir):
     d = filters.filter_language(_documents(spark, sf_dir), "lang", "en")
-    words = d.select(F.explode(T.tokenize("text")).alias("word")).distinct()
+    words = d.select(*T.explode_values(T.tokenize("text"), "word")).where(F.col("word").isNotNull()).distinct()
     return words.select("word", T.singularize("word").alias("singular"))
