@@ -39,6 +39,10 @@ def register(name: str, oracle: str | None = None):
 def _load_all() -> None:
     # Importing the modules fills the registry.
     from . import (  # noqa: F401
+        cluster_queries,
+        discovery_queries,
+        model_queries,
+        pattern_queries,
         similarity_queries,
         text_queries,
     )

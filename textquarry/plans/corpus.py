@@ -33,8 +33,10 @@ class Corpus:
     target: int
 
 
-def english_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = filters.filter_language(read_table(spark, sf_dir, "documents"), "lang", "en")
+def english_docs(spark: SparkSession, sf_dir: str, lang: str | None = "en") -> DataFrame:
+    d = read_table(spark, sf_dir, "documents")
+    if lang is not None:
+        d = filters.filter_language(d, "lang", lang)
     lines = F.split(F.col("text"), "\n")
     abstract = F.when(F.size(lines) > 1, lines.getItem(1)).otherwise(F.lit(""))
     return d.select(
@@ -43,16 +45,21 @@ def english_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         T.summary_or_body(abstract, F.col("text"), 100).alias("abstract_summary"),
         "text",
         "source",
+        "lang",
     )
 
 
-def build_corpus(spark: SparkSession, sf_dir: str, cap: int = features.FEATURE_CAP) -> Corpus:
-    docs = english_docs(spark, sf_dir)
+def build_corpus(spark: SparkSession, sf_dir: str, cap: int = features.FEATURE_CAP,
+                 lang: str | None = "en") -> Corpus:
+    docs = english_docs(spark, sf_dir, lang)
     stats = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_num").alias("t")).first()
     n_docs, target = int(stats["n"]), stats["t"]
     docs = filters.label_target(docs, "doc_num", target)
-    tf = features.term_counts(docs, "tokens")
-    vocab = features.vocabulary(tf, cap)
+    # The (doc, term, tf) table and the capped vocabulary feed every later
+    # matrix, broadcast and driver scalar: write them once to the checkpoint
+    # folder so no action re-tokenizes the text, and lineage stays short.
+    tf = features.term_counts(docs, "tokens").checkpoint(eager=True)
+    vocab = features.vocabulary(tf, cap).checkpoint(eager=True)
     x_count = features.count_matrix(tf, vocab, cap)
     return Corpus(
         docs=docs,
@@ -77,12 +84,12 @@ def _summary_sql() -> str:
     return f"CASE WHEN length({ab}) = 0 THEN {trunc('text')} ELSE {trunc(ab)} END"
 
 
-def corpus_ctes(cap: int = features.FEATURE_CAP) -> str:
+def corpus_ctes(cap: int = features.FEATURE_CAP, lang: str | None = "en") -> str:
     """CTEs ``corpus, tf, vocab, xcount, xclip, xtfidf, target`` for DuckDB."""
     return f"""
 corpus0 AS (
-  SELECT doc_id AS doc_num, {tokens_of('text')} AS tokens, {_summary_sql()} AS abstract_summary, text, source
-  FROM documents WHERE lang = 'en'
+  SELECT doc_id AS doc_num, {tokens_of('text')} AS tokens, {_summary_sql()} AS abstract_summary, text, source, lang
+  FROM documents {"WHERE lang = '" + lang + "'" if lang else ""}
 ),
 target AS (SELECT min(doc_num) AS t FROM corpus0),
 corpus AS (
