@@ -86,5 +86,5 @@ def test_load_corpus_numbers_documents(spark, tmp_path):
     rows = sorted((r.doc_num, r.paper_id) for r in c.collect())
     assert rows == [(0, "s1"), (1, "s5")]
     r = c.where("paper_id = 's1'").first()
-    assert r.processed_text == "body"
+    assert r.processed_text == "body one body two"
     assert r.all_text_list == r.processed_title_list + r.processed_abstract_list + r.processed_text_list

@@ -153,19 +153,22 @@ def association_rules(itemsets: DataFrame, metric: str = "lift", min_threshold:
     return r.where(F.col(metric) >= min_threshold)
 
 
-RULE_ORDER = [
-    F.col("lift").desc(), F.col("antecedent_len").desc(), F.col("consequents_len").desc(),
-    F.col("confidence").desc(), F.col("antecedents").asc(), F.col("consequents").asc(),
-]
+def rule_order() -> list[Column]:
+    """Lift, antecedent length, consequent length, confidence (all
+    descending), then the item arrays as a final tie key."""
+    return [
+        F.col("lift").desc(), F.col("antecedent_len").desc(), F.col("consequents_len").desc(),
+        F.col("confidence").desc(), F.col("antecedents").asc(), F.col("consequents").asc(),
+    ]
 
 
 def rule_edges(rules: DataFrame, topic_words, n: int = 5) -> DataFrame:
-    """Edge list of the first ``n`` rules (``RULE_ORDER``): item ->
+    """Edge list of the first ``n`` rules (``rule_order``): item ->
     antecedent-set node and consequent-set node -> item, weight 2, with a
     flag telling whether the item is a topic word."""
     from .counts import top_k
 
-    top = top_k(rules, n, RULE_ORDER, ordinal="rule_rank")
+    top = top_k(rules, n, rule_order(), ordinal="rule_rank")
 
     def label(c):
         return F.concat(F.lit("{"), F.array_join(c, ", "), F.lit("}"))

@@ -71,10 +71,8 @@ def read_papers(spark: SparkSession, path: str, suffix: str = ".json") -> DataFr
     ``paper_id`` is null, or when a section entry has no text. A present
     but null title is kept. Section texts are joined with newlines.
     """
-    files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}").text(path)
-    )
+    # (``text()`` has its own ``wholetext=False`` default, so it is passed here.)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
     parsed = files.select(
         F.col("value").alias("raw"),
         F.from_json("value", PAPER_SCHEMA, {"mode": "PERMISSIVE"}).alias("p"),
