@@ -42,8 +42,14 @@ def minhash_signature(x_clip: DataFrame, docs: DataFrame, ranks: DataFrame, n_pe
     """``(doc_num, sig)``: per permutation the smallest rank among the
     document's present terms; a document with no term gets 1 everywhere."""
     j = x_clip.where(F.col("value") > 0).join(checked_broadcast(ranks, known_rows=cap), "term")
-    mins = j.groupBy("doc_num").agg(*[F.min(F.col("ranks")[i]).alias(f"m{i}") for i in range(n_perm)])
-    sig = mins.select("doc_num", F.array(*[F.col(f"m{i}") for i in range(n_perm)]).alias("sig"))
+    # At most ``cap`` rank arrays per document: gathered and folded with an
+    # element-wise ``least`` (one buffer per permutation would exceed the
+    # whole-stage codegen field limit).
+    first = F.array_repeat(F.lit(2**31 - 1), n_perm)
+    sig = j.groupBy("doc_num").agg(F.collect_list("ranks").alias("rows")).select(
+        "doc_num",
+        F.aggregate("rows", first, lambda acc, r: F.zip_with(acc, r, lambda a, b: F.least(a, b))).alias("sig"),
+    )
     ones = F.array_repeat(F.lit(1), n_perm)
     return docs.select("doc_num").join(sig, "doc_num", "left").select(
         "doc_num", F.coalesce(F.col("sig"), ones).alias("sig")

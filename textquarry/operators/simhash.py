@@ -57,8 +57,14 @@ def simhash(x: DataFrame, docs: DataFrame, vocab: DataFrame, hashing: str, cap:
     width = WIDTH[hashing]
     signs = term_signs(vocab, hashing)
     j = x.join(checked_broadcast(signs, known_rows=cap), "term")
-    sums = j.groupBy("doc_num").agg(
-        F.array(*[F.sum(F.col("value") * F.col("signs")[i]) for i in range(width)]).alias("sums")
+    # A document holds at most ``cap`` vocabulary terms, so its rows are
+    # gathered (bounded) and folded into one vector of bit sums with
+    # ``aggregate``/``zip_with``; one buffer per bit would exceed the
+    # whole-stage codegen field limit and run interpreted.
+    zero = F.array_repeat(F.lit(0.0), width)
+    sums = j.groupBy("doc_num").agg(F.collect_list(F.struct("value", "signs")).alias("rows")).select(
+        "doc_num",
+        F.aggregate("rows", zero, lambda acc, r: F.zip_with(acc, r["signs"], lambda a, b: a + r["value"] * b)).alias("sums"),
     )
     filled = docs.select("doc_num").join(sums, "doc_num", "left").select(
         "doc_num", F.coalesce(F.col("sums"), F.array_repeat(F.lit(0.0), width)).alias("sums")

@@ -267,11 +267,12 @@ choice AS (
 )"""
 
 
-def _simhash_result(c, h):
-    fp = simhash.simhash(c.x_tfidf, c.docs, c.vocab, h)
+def _simhash_result(c, h, cos=None):
+    fp = simhash.simhash(c.x_tfidf, c.docs, c.vocab, h).checkpoint(eager=True)
     ham = simhash.hamming_to_target(fp, c.target)
-    cos = similarity.document_similarity(c.x_tfidf, c.docs, c.target).select("doc_num", "doc_cosine_similarity")
-    return fp.join(ham, "doc_num").join(cos, "doc_num", "full")
+    if cos is None:
+        cos = similarity.document_similarity(c.x_tfidf, c.docs, c.target)
+    return fp.join(ham, "doc_num").join(cos.select("doc_num", "doc_cosine_similarity"), "doc_num", "full")
 
 
 def _simhash_query(h):
@@ -293,8 +294,8 @@ _simhash_query("md5")
 _simhash_query("sha1")
 
 
-def _simhash_corr(c, h):
-    r = _simhash_result(c, h)
+def _simhash_corr(c, h, cos=None, result=None):
+    r = result if result is not None else _simhash_result(c, h, cos)
     row = similarity.pearson(r, "doc_cosine_similarity", "sig_hamming_distance").first()
     return row["correlation"]
 
@@ -309,7 +310,8 @@ SELECT 'sha1', round((SELECT c FROM corr_sha1), 6), (SELECT chosen FROM choice)
 )
 def q_simhash_choice(spark, sf_dir):
     c = build_corpus(spark, sf_dir)
-    cm, cs = _simhash_corr(c, "md5"), _simhash_corr(c, "sha1")
+    cos = similarity.document_similarity(c.x_tfidf, c.docs, c.target).checkpoint(eager=True)
+    cm, cs = _simhash_corr(c, "md5", cos), _simhash_corr(c, "sha1", cos)
     chosen = simhash.choose_hash(cm, cs)
     rows = [("md5", cm, chosen == "md5"), ("sha1", cs, chosen == "sha1")]
     df = spark.createDataFrame(rows, "hashing string, correlation double, chosen boolean")
@@ -355,15 +357,18 @@ r_{name} AS (
 
 
 def _ranks(spark, sf_dir):
+    """The five measures feed several driver decisions (best permutation
+    count, chosen hash) and the final ranks, so each is checkpointed once."""
     c = build_corpus(spark, sf_dir)
-    k_tfidf = similarity.document_similarity(c.x_tfidf, c.docs, c.target)
+    k_tfidf = similarity.document_similarity(c.x_tfidf, c.docs, c.target).checkpoint(eager=True)
     k_count = similarity.document_similarity(c.x_count, c.docs, c.target)
-    k_clip = similarity.document_similarity(c.x_clip, c.docs, c.target)
-    sweep = minhash.minhash_sweep(c.x_clip, c.docs, c.vocab, c.target, SWEEP, exact=k_clip)
+    k_clip = similarity.document_similarity(c.x_clip, c.docs, c.target).checkpoint(eager=True)
+    sweep = minhash.minhash_sweep(c.x_clip, c.docs, c.vocab, c.target, SWEEP, exact=k_clip).checkpoint(eager=True)
     best = minhash.best_num_perm(_quality(sweep))
     mh = sweep.where(F.col("num_perm") == F.lit(best)).select("doc_num", "sig_jaccard_similarity")
-    chosen = simhash.choose_hash(_simhash_corr(c, "md5"), _simhash_corr(c, "sha1"))
-    sh = simhash.hamming_to_target(simhash.simhash(c.x_tfidf, c.docs, c.vocab, chosen), c.target)
+    res = {h: _simhash_result(c, h, k_tfidf).checkpoint(eager=True) for h in ("md5", "sha1")}
+    chosen = simhash.choose_hash(*[_simhash_corr(c, h, result=res[h]) for h in ("md5", "sha1")])
+    sh = res[chosen].select("doc_num", "sig_hamming_distance")
     frames = {"xtfidf_sim": k_tfidf, "xcount_sim": k_count, "xclip_sim": k_clip, "mh_best": mh, "sh_best": sh}
     measures = {}
     for name, src, col, asc in RANK_MEASURES:
