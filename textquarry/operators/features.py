@@ -108,8 +108,6 @@ def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFr
         codes = codes.select(F.col(c).alias("_val"), "_code")
         out = out.join(checked_broadcast(codes), out[c] == codes["_val"], "left")
         out = out.withColumn(c + suffix, F.col("_code").cast("bigint")).drop("_val", "_code")
-        if suffix:
-            pass
     return out
 
 

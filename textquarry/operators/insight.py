@@ -25,7 +25,7 @@ def label_vectors(vectors: DataFrame, labels: DataFrame, token_list: DataFrame,
     weights L2-normalised (the default scorer's label vector)."""
     targets = labels.select(F.col("label").alias("target_word")).distinct()
     top = top_terms(term_similarity(vectors, targets, token_list), top_feature)
-    top = top.select(F.col("target_word").alias("label"), "term", "score")
+    top = top.select(F.col("target_word").alias("label"), "term", "score").checkpoint(eager=True)
     norm = top.groupBy("label").agg(F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("nrm"))
     return top.join(norm, "label").select(
         "label", "term", F.coalesce(F.try_divide(F.col("score"), F.col("nrm")), F.lit(0.0)).alias("w")

@@ -40,7 +40,9 @@ def train_language_profiles(df: DataFrame, key: str, text: str, lang: str) -> Da
     """``(lang, g, logp)`` for every language and every trigram seen in any
     language: ``ln((c + 1) / (N_lang + V))``."""
     t = trigrams(df, key, text).join(df.select(F.col(key).alias("key"), F.col(lang).alias("lang")), "key")
-    c = t.groupBy("lang", "g").agg(F.sum("n").alias("c"))
+    # (languages x distinct trigrams) counts: small, and read three times
+    # (vocabulary size, language list, profile), so written once.
+    c = t.groupBy("lang", "g").agg(F.sum("n").alias("c")).checkpoint(eager=True)
     totals = c.groupBy("lang").agg(F.sum("c").alias("N"))
     grams = c.select("g").distinct()
     v = grams.count()
@@ -50,7 +52,7 @@ def train_language_profiles(df: DataFrame, key: str, text: str, lang: str) -> Da
     return full.select(
         "lang", "g",
         F.log((F.coalesce(F.col("c"), F.lit(0)) + F.lit(1.0)) / (F.col("N") + F.lit(float(v)))).alias("logp"),
-    )
+    ).checkpoint(eager=True)
 
 
 def identify_language(df: DataFrame, key: str, text: str, profiles: DataFrame) -> DataFrame:

@@ -29,7 +29,9 @@ def vectors_from_counts(tf: DataFrame) -> DataFrame:
 
 def check_targets(vectors: DataFrame, targets: DataFrame) -> None:
     """Raise ``ValueError`` when a target word has no vector (small list)."""
-    missing = targets.join(vectors.select(F.col("term").alias("target_word")).distinct(), "target_word", "left_anti")
+    present = vectors.join(F.broadcast(targets.select(F.col("target_word").alias("term"))), "term", "left_semi")
+    present = present.select(F.col("term").alias("target_word")).distinct()
+    missing = targets.join(present, "target_word", "left_anti")
     bad = [r[0] for r in missing.limit(20).collect()]
     if bad:
         raise ValueError(f"target words without a vector: {bad}")
@@ -55,13 +57,14 @@ def term_similarity(vectors: DataFrame, targets: DataFrame, token_list: DataFram
         .groupBy("target_word", "term")
         .agg(F.sum(F.col("value") * F.col("tval")).alias("dot"))
     )
-    norms = vectors.groupBy("term").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("nrm"))
-    tnorm = norms.withColumnRenamed("term", "target_word").withColumnRenamed("nrm", "tnrm")
+    # Norms only for the tokens and the targets, not for every corpus term.
+    norms = cand.groupBy("term").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("nrm"))
+    tnorm = tvec.groupBy("target_word").agg(F.sqrt(F.sum(F.col("tval") * F.col("tval"))).alias("tnrm"))
     grid = _pairs(targets, tokens)
     return (
         grid.join(dots, ["target_word", "term"], "left")
         .join(norms, "term", "left")
-        .join(F.broadcast(tnorm.join(targets.select("target_word"), "target_word")), "target_word", "left")
+        .join(F.broadcast(tnorm), "target_word", "left")
         .select("target_word", "term", F.try_divide(F.col("dot"), F.col("nrm") * F.col("tnrm")).alias("score"))
     )
 
@@ -97,7 +100,9 @@ def related_documents(x: DataFrame, scores: DataFrame, docs: DataFrame, top_feat
     the per-target pick runs in two phases over salted buckets: no task
     ever sorts a whole target's documents.
     """
-    kept = top_terms(scores, top_feature).select("target_word", "term")
+    # At most targets x top_feature rows; written once because the driver
+    # reads the target list from it and the join below reuses it.
+    kept = top_terms(scores, top_feature).select("target_word", "term").checkpoint(eager=True)
     words = [r[0] for r in kept.select("target_word").distinct().collect()]
     sums = (
         x.join(checked_broadcast(kept), "term")
