@@ -62,3 +62,15 @@ def test_kmeans_assigns_nearest_centre(spark):
     a = {r.id: r.cluster for r in cluster.kmeans_assign(df, "id", k=2, seed=1).collect()}
     assert len({a[i] for i in range(0, 40, 2)}) == 1 and len({a[i] for i in range(1, 40, 2)}) == 1
     assert a[0] != a[1]
+
+
+def test_dbscan_hot_cell_of_duplicates(spark):
+    # A third of the points share one location: that cell is all core and is
+    # never expanded into pairs.
+    rows = [(i, 0.5, 0.5) for i in range(1500)]
+    rows += [(2000 + i, 3.0 + 0.001 * i, 3.0) for i in range(3000)]
+    rows += [(9000, 10.0, 10.0)]
+    out = {r.id: (r.cluster, r.is_core) for r in cluster.dbscan(pts(spark, rows), 0.01, 5).collect()}
+    assert {out[i] for i in range(1500)} == {(0, True)}
+    assert {out[2000 + i][0] for i in range(3000)} == {1}
+    assert out[9000] == (-1, False)

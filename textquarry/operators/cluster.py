@@ -109,47 +109,90 @@ def k_distance(nn: DataFrame, j: int) -> DataFrame:
     return ordered_index(d, ["distance", "id"], name="position")
 
 
-def dbscan(points: DataFrame, eps: float, min_pts: int) -> DataFrame:
+def dbscan(points: DataFrame, eps: float, min_pts: int, max_rounds: int = 10_000) -> DataFrame:
     """``(id, cluster, is_core)``: DBSCAN with ``distance <= eps``; a point
     counts itself; border points join the lowest-numbered neighbouring
     cluster; noise is -1. Clusters are numbered by their smallest core id.
 
-    Neighbours come from a grid of cell width ``eps`` (3x3 block join);
-    components are found by min-label propagation over core-core edges,
-    one checkpointed round per step until no label changes.
+    Grid of cell width just under ``eps / sqrt(2)``: any two points of one
+    cell are within ``eps``. So a cell holding at least ``min_pts`` points
+    is all core and one clique, and no pair inside it is ever enumerated
+    (a hot cell with a third of all points costs one count). Only points
+    of sparse cells (fewer than ``min_pts`` each) list their neighbours in
+    the 5x5 block around them, which bounds that work linearly. Components
+    are found on cells: two core cells are linked when a core pair across
+    them is within ``eps``; min-label propagation runs over that cell graph,
+    one checkpointed round per step.
     """
-    g = _grid(points, eps)
+    h = eps / math.sqrt(2.0) * (1.0 - 1e-9)
+    e2 = F.lit(eps * eps)
+    g = _grid(points, h)
+    cells = g.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+    g = g.join(checked_broadcast(cells), ["cx", "cy"]).checkpoint(eager=True)
     q = g.select(F.col("id").alias("nid"), F.col("x").alias("qx"), F.col("y").alias("qy"), "cx", "cy")
-    nb = (
-        _block(g).join(q, ["cx", "cy"])
-        .where(_d2() <= F.lit(eps * eps))
+
+    # Neighbours of points in sparse cells (own cell included, self included).
+    sparse = g.where(F.col("n") < min_pts)
+    sp = (
+        _block(sparse, 2).join(q, ["cx", "cy"]).where(_d2() <= e2)
         .select(F.col("pid").alias("id"), "nid")
     ).checkpoint(eager=True)
-    core = nb.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min_pts).select("id")
-    core = core.checkpoint(eager=True)
-    cn = core.withColumnRenamed("id", "nid")
-    edges = nb.join(core, "id").join(cn, "nid").select("id", "nid").checkpoint(eager=True)
-    labels = core.select("id", F.col("id").alias("lab"))
-    for _ in range(10_000):
-        prop = edges.join(labels.withColumnRenamed("id", "nid").withColumnRenamed("lab", "nlab"), "nid").groupBy("id").agg(
+    core_sparse = sp.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min_pts).select("id")
+    core = g.where(F.col("n") >= min_pts).select("id").unionByName(core_sparse)
+    cg = g.join(core, "id").select("id", "x", "y", "cx", "cy").checkpoint(eager=True)
+
+    # Cell graph: a node per cell with a core point, labelled by its smallest
+    # core id; an edge where a core pair across two cells is within eps.
+    cell_lab = cg.groupBy("cx", "cy").agg(F.min("id").alias("lab"))
+    qc = cg.select(F.col("id").alias("nid"), F.col("x").alias("qx"), F.col("y").alias("qy"),
+                   F.col("cx").alias("qcx"), F.col("cy").alias("qcy"))
+    blk = _block(cg, 2).withColumn("pcx", F.col("cx")).withColumn("pcy", F.col("cy"))
+    cross = (
+        blk.select("pid", "px", "py", F.col("cx").alias("qcx"), F.col("cy").alias("qcy"))
+        .join(cg.select(F.col("id").alias("pid"), F.col("cx").alias("pcx"), F.col("cy").alias("pcy")), "pid")
+        .where((F.col("pcx") != F.col("qcx")) | (F.col("pcy") != F.col("qcy")))
+        .join(qc, ["qcx", "qcy"])
+        .where(_d2() <= e2)
+        .select("pcx", "pcy", "qcx", "qcy")
+        .distinct()
+    ).checkpoint(eager=True)
+    labels = cell_lab.checkpoint(eager=True)
+    # Pointer jumping: a label is a core point id, so a cell can also take
+    # the label of the cell holding that point; chains shrink geometrically.
+    home = cg.select(F.col("id").alias("lab"), F.col("cx").alias("jcx"), F.col("cy").alias("jcy"))
+    for _ in range(max_rounds):
+        nl = labels.select(F.col("cx").alias("qcx"), F.col("cy").alias("qcy"), F.col("lab").alias("nlab"))
+        prop = cross.join(nl, ["qcx", "qcy"]).groupBy(F.col("pcx").alias("cx"), F.col("pcy").alias("cy")).agg(
             F.min("nlab").alias("m")
         )
-        new = labels.join(prop, "id", "left").select("id", F.least("lab", F.coalesce("m", "lab")).alias("lab"))
-        new = new.checkpoint(eager=True)
-        changed = new.join(labels.withColumnRenamed("lab", "old"), "id").where(F.col("lab") != F.col("old")).limit(1).count()
+        step = labels.join(prop, ["cx", "cy"], "left").select(
+            "cx", "cy", F.least("lab", F.coalesce("m", "lab")).alias("lab")
+        )
+        jumped = step.join(home, "lab").join(
+            labels.select(F.col("cx").alias("jcx"), F.col("cy").alias("jcy"), F.col("lab").alias("jlab")),
+            ["jcx", "jcy"],
+        )
+        new = jumped.select("cx", "cy", F.least("lab", "jlab").alias("lab")).checkpoint(eager=True)
+        changed = (
+            new.join(labels.withColumnRenamed("lab", "old"), ["cx", "cy"])
+            .where(F.col("lab") != F.col("old")).limit(1).count()
+        )
         labels = new
         if changed == 0:
             break
+    else:
+        raise RuntimeError("dbscan label propagation did not converge")
+
+    core_lab = cg.join(labels, ["cx", "cy"]).select("id", "lab")
+    # Border points: non-core points of sparse cells with a core neighbour.
     border = (
-        nb.join(core, "id", "left_anti")
-        .join(labels.withColumnRenamed("id", "nid").withColumnRenamed("lab", "nlab"), "nid")
+        sp.join(core_lab.select(F.col("id").alias("nid"), F.col("lab").alias("nlab")), "nid")
+        .join(core_lab.select("id"), "id", "left_anti")
         .groupBy("id").agg(F.min("nlab").alias("lab"))
     )
-    lab = labels.withColumn("is_core", F.lit(True)).unionByName(border.withColumn("is_core", F.lit(False)))
-    # Cluster numbers: rank of the component label among all labels (a few
-    # per cluster, one row per component), read back by a broadcast join.
-    comps = lab.select("lab").distinct()
-    comps = ordered_index(comps, ["lab"], name="cluster")
+    lab = core_lab.withColumn("is_core", F.lit(True)).unionByName(border.withColumn("is_core", F.lit(False)))
+    # Cluster numbers: rank of the component label among the labels.
+    comps = ordered_index(lab.select("lab").distinct(), ["lab"], name="cluster")
     out = points.select("id").join(lab, "id", "left").join(checked_broadcast(comps), "lab", "left")
     return out.select(
         "id", F.coalesce(F.col("cluster"), F.lit(-1)).cast("bigint").alias("cluster"),
