@@ -3,7 +3,9 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is run to completion through Spark's ``noop`` sink (every row is
-produced, nothing is collected) after one warm-up query. Prints one JSON
+produced, nothing is collected) after one warm-up query. The corpus term
+tables (tokenised English corpus and the all-language one) are built once,
+timed as ``corpus_build``, and reused by the corpus queries. Prints one JSON
 line with per-query seconds and their sum.
 """
 
@@ -50,6 +52,14 @@ def main() -> None:
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in qs]
     qs["word_count_raw"].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
     times = {}
+    # The corpus term tables are materialised once and shared by the corpus
+    # queries; their build is timed as its own entry so the total includes it.
+    from textquarry.plans.corpus import build_corpus
+
+    t0 = time.time()
+    build_corpus(spark, sf_dir)
+    build_corpus(spark, sf_dir, lang=None)
+    times["corpus_build"] = round(time.time() - t0, 3)
     for name in names:
         t0 = time.time()
         qs[name].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -74,3 +74,16 @@ def test_dbscan_hot_cell_of_duplicates(spark):
     assert {out[i] for i in range(1500)} == {(0, True)}
     assert {out[2000 + i][0] for i in range(3000)} == {1}
     assert out[9000] == (-1, False)
+
+
+def test_knn_with_duplicate_hot_spot(spark):
+    rnd = random.Random(3)
+    rows = [(i, 1.0, 1.0) for i in range(400)]                       # one hot location
+    rows += [(1000 + i, rnd.random() * 4, rnd.random() * 4) for i in range(200)]
+    rows += [(5000 + i, 2.0, 2.0) for i in range(3)]                  # a small duplicate group
+    got = {}
+    for r in cluster.knn(pts(spark, rows), 6).collect():
+        got.setdefault(r.id, {})[r["rank"]] = r.neighbor_id
+    want = brute_knn(rows, 6)
+    for i in want:
+        assert [got[i][k] for k in range(1, 7)] == want[i]

@@ -52,53 +52,69 @@ def _block(grid: DataFrame, ring: int = 1) -> DataFrame:
     )
 
 
-def knn(points: DataFrame, k: int = 7) -> DataFrame:
+def knn(points: DataFrame, k: int = 7, salt_buckets: int = 32) -> DataFrame:
     """Exact ``k`` nearest neighbours (the point itself included, as a
     model fitted on the same points returns it): ``(id, rank, neighbor_id,
     distance)``; ties by neighbour id.
 
-    Multi-resolution grid: in a round with cell width ``s`` every point
-    within distance ``s`` of p lies in the 3x3 block of cells around p's
-    cell, so p is resolved once it has ``k`` candidates within ``s``. Only
-    unresolved points go on to the next round, where ``s`` doubles. Dense
-    regions resolve with small cells (few pairs), sparse points with large
-    ones; no round emits all pairs unless the points are genuinely spread
-    so that one block covers them.
+    Points are first collapsed to distinct locations with a multiplicity
+    (partial aggregation), so a hot spot of identical points is one row.
+    Locations are resolved on a multi-resolution grid: with cell width
+    ``s`` every location within ``s`` of p lies in the 3x3 block around p's
+    cell, so p is resolved once the multiplicities within ``s`` add up to
+    ``k``; unresolved locations go to the next round with ``s`` doubled.
+    A location's list keeps every neighbour location up to the distance
+    where ``k`` points are reached (ties included) and is expanded with the
+    ``k`` smallest ids of each (a salted two-phase pick, so a location
+    holding a third of all points is never sorted in one task). Every point
+    of a location shares the location's list.
     """
     n, x0, x1, y0, y1 = _extent(points)
     if not n:
         return points.sparkSession.createDataFrame([], "id long, rank long, neighbor_id long, distance double")
     k_eff = min(k, n)
+    locs = points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("id")).checkpoint(eager=True)
+    n_locs = locs.count()
     area = max((x1 - x0) * (y1 - y0), 1e-12)
-    s = max(math.sqrt(area * k_eff / (2.0 * n)), 1e-9)
+    s = max(math.sqrt(area * k_eff / (2.0 * n_locs)), 1e-9)
     span = max(x1 - x0, y1 - y0, 1e-9)
-    todo = points.select("id", "x", "y")
+    todo = locs.select("id", "x", "y")
     done = []
     for _ in range(MAX_ROUNDS):
         last = s >= span
-        g = _grid(points, s)
-        q = g.select(F.col("id").alias("nid"), F.col("x").alias("qx"), F.col("y").alias("qy"), "cx", "cy")
-        cand = _block(_grid(todo, s)).join(q, ["cx", "cy"]).select(
-            "pid", "nid", _d2().alias("d2")
+        q = _grid(locs, s).join(locs.select("id", "m"), "id").select(
+            F.col("id").alias("nid"), F.col("x").alias("qx"), F.col("y").alias("qy"), "cx", "cy", "m"
         )
+        cand = _block(_grid(todo, s)).join(q, ["cx", "cy"]).select("pid", "nid", "m", _d2().alias("d2"))
         if not last:
             cand = cand.where(F.col("d2") <= F.lit(s * s))
-        cnt = cand.groupBy("pid").agg(F.count(F.lit(1)).alias("c"))
-        ok = cnt.where(F.col("c") >= k_eff).select("pid")
-        best = top_k_per_group(cand.join(ok, "pid"), ["pid"], [F.col("d2").asc(), F.col("nid").asc()], k_eff,
-                               name="rank").checkpoint(eager=True)
-        done.append(best)
-        todo = todo.join(ok.withColumnRenamed("pid", "id"), "id", "left_anti").checkpoint(eager=True)
+        # Points covered up to each distance (ties share one running sum).
+        w = Window.partitionBy("pid").orderBy("d2").rangeBetween(Window.unboundedPreceding, 0)
+        cum = cand.withColumn("cum", F.sum("m").over(w))
+        reach = cum.where(F.col("cum") >= k_eff).groupBy("pid").agg(F.min("d2").alias("dk"))
+        keep = cum.join(reach, "pid").where(F.col("d2") <= F.col("dk")).select("pid", "nid", "d2")
+        done.append(keep.checkpoint(eager=True))
+        todo = todo.join(reach.select(F.col("pid").alias("id")), "id", "left_anti").checkpoint(eager=True)
         if last or todo.limit(1).count() == 0:
             break
         s *= 2.0
     else:
-        raise RuntimeError("knn did not resolve every point")
-    out = done[0]
+        raise RuntimeError("knn did not resolve every location")
+    loc_nn = done[0]
     for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(F.col("pid").alias("id"), "rank", F.col("nid").alias("neighbor_id"),
-                      F.sqrt("d2").alias("distance"))
+        loc_nn = loc_nn.unionByName(d)
+    # The k smallest ids of every location (location key = its smallest id).
+    # A hot location is one key on the big side of these joins: the small
+    # side is broadcast when its size allows, else AQE splits the skewed key.
+    members = points.join(checked_broadcast(locs.select("x", "y", F.col("id").alias("lid"))), ["x", "y"]).select(
+        "lid", "id"
+    )
+    ids = top_k_per_group(members, ["lid"], [F.col("id").asc()], k_eff, salt_buckets=salt_buckets, name="_r")
+    lists = loc_nn.join(ids.select(F.col("lid").alias("nid"), F.col("id").alias("neighbor_id")), "nid")
+    lists = top_k_per_group(lists, ["pid"], [F.col("d2").asc(), F.col("neighbor_id").asc()], k_eff, name="rank")
+    return members.join(checked_broadcast(lists.withColumnRenamed("pid", "lid")), "lid").select(
+        "id", "rank", "neighbor_id", F.sqrt("d2").alias("distance")
+    )
 
 
 def k_distance(nn: DataFrame, j: int) -> DataFrame:

@@ -7,6 +7,7 @@ the target document is the smallest key of the corpus.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,8 +50,26 @@ def english_docs(spark: SparkSession, sf_dir: str, lang: str | None = "en") -> D
     )
 
 
+_BUILT: dict[tuple, Corpus] = {}
+
+
 def build_corpus(spark: SparkSession, sf_dir: str, cap: int = features.FEATURE_CAP,
                  lang: str | None = "en") -> Corpus:
+    """The corpus tables, materialised once per Spark application, input
+    folder and parameters (the term table is what every analysis reads;
+    recomputing it per analysis would re-tokenise the whole corpus)."""
+    path = os.path.join(sf_dir, "documents.parquet")
+    try:
+        stamp = os.path.getmtime(path)
+    except OSError:
+        stamp = None
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), cap, lang, stamp)
+    if key not in _BUILT:
+        _BUILT[key] = _build(spark, sf_dir, cap, lang)
+    return _BUILT[key]
+
+
+def _build(spark: SparkSession, sf_dir: str, cap: int, lang: str | None) -> Corpus:
     docs = english_docs(spark, sf_dir, lang)
     stats = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_num").alias("t")).first()
     n_docs, target = int(stats["n"]), stats["t"]
