@@ -71,17 +71,22 @@ def topic_coherence(topics: DataFrame, docs: DataFrame, tokens: str = "tokens",
     cosine of its vector with the topic's summed vector; a topic's
     coherence is the mean score of its words.
     """
-    tw = topics.where(F.col("rank") <= top_n).select("topic", "term")
+    tw = topics.where(F.col("rank") <= top_n).select("topic", "term").distinct()
     ws = window_sets(docs, tw, tokens, window).checkpoint(eager=True)
     n = float(n_windows(docs, tokens, window))
     single = ws.groupBy("term").agg((F.count(F.lit(1)) / F.lit(n)).alias("p"))
-    a = ws.select("doc_num", "start", F.col("term").alias("w"))
-    b = ws.select("doc_num", "start", F.col("term").alias("v"))
-    joint = a.join(b, ["doc_num", "start"]).groupBy("w", "v").agg((F.count(F.lit(1)) / F.lit(n)).alias("pwv"))
+    # Co-occurrence only within a topic: a window yields at most top_n^2
+    # pairs per topic, never all pairs of its words.
+    wt = ws.join(F.broadcast(tw), "term")
+    a = wt.select("doc_num", "start", "topic", F.col("term").alias("w"))
+    b = wt.select("doc_num", "start", "topic", F.col("term").alias("v"))
+    joint = a.join(b, ["doc_num", "start", "topic"]).groupBy("topic", "w", "v").agg(
+        (F.count(F.lit(1)) / F.lit(n)).alias("pwv")
+    )
     pairs = (
         tw.select("topic", F.col("term").alias("w"))
         .join(tw.select("topic", F.col("term").alias("v")), "topic")
-        .join(joint, ["w", "v"], "left")
+        .join(joint, ["topic", "w", "v"], "left")
         .join(single.select(F.col("term").alias("w"), F.col("p").alias("pw")), "w", "left")
         .join(single.select(F.col("term").alias("v"), F.col("p").alias("pv")), "v", "left")
     )
