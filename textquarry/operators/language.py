@@ -10,7 +10,7 @@ behind a size check.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_spaces
@@ -36,18 +36,21 @@ def trigrams(df: DataFrame, key: str, text: str) -> DataFrame:
     return g.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
 
 
-def train_language_profiles(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+def train_language_profiles(df: DataFrame, key: str, text: str, lang: str,
+                            grams: DataFrame | None = None) -> DataFrame:
     """``(lang, g, logp)`` for every language and every trigram seen in any
-    language: ``ln((c + 1) / (N_lang + V))``."""
-    t = trigrams(df, key, text).join(df.select(F.col(key).alias("key"), F.col(lang).alias("lang")), "key")
+    language: ``ln((c + 1) / (N_lang + V))``. ``grams`` may pass an already
+    computed ``trigrams(df, key, text)`` table."""
+    tri = grams if grams is not None else trigrams(df, key, text)
+    t = tri.join(df.select(F.col(key).alias("key"), F.col(lang).alias("lang")), "key")
     # (languages x distinct trigrams) counts: small, and read three times
     # (vocabulary size, language list, profile), so written once.
     c = t.groupBy("lang", "g").agg(F.sum("n").alias("c")).checkpoint(eager=True)
     totals = c.groupBy("lang").agg(F.sum("c").alias("N"))
-    grams = c.select("g").distinct()
-    v = grams.count()
+    distinct = c.select("g").distinct()
+    v = distinct.count()
     langs = [r[0] for r in totals.select("lang").collect()]
-    full = grams.select("g", F.explode(F.array(*[F.lit(x) for x in sorted(langs)])).alias("lang"))
+    full = distinct.select("g", F.explode(F.array(*[F.lit(x) for x in sorted(langs)])).alias("lang"))
     full = full.join(c, ["lang", "g"], "left").join(F.broadcast(totals), "lang")
     return full.select(
         "lang", "g",
@@ -55,18 +58,37 @@ def train_language_profiles(df: DataFrame, key: str, text: str, lang: str) -> Da
     ).checkpoint(eager=True)
 
 
-def identify_language(df: DataFrame, key: str, text: str, profiles: DataFrame) -> DataFrame:
+def identify_language(df: DataFrame, key: str, text: str, profiles: DataFrame,
+                      grams: DataFrame | None = None) -> DataFrame:
     """``(key, lang_pred, score)``: the best-scoring language (ties: language
-    ascending); ``unknown`` when no trigram of the document is known."""
-    t = trigrams(df, key, text)
-    s = (
-        t.join(checked_broadcast(profiles), "g")
-        .groupBy("key", "lang")
-        .agg(F.sum(F.col("n") * F.col("logp")).alias("score"))
+    ascending); ``unknown`` when no trigram of the document is known.
+
+    Each trigram carries the log-probabilities of all languages as one
+    array (languages sorted), so a document's trigram rows are folded into
+    one score vector instead of being multiplied by the number of
+    languages; a document holds a bounded number of distinct trigrams
+    (its first words only).
+    """
+    langs = sorted(r[0] for r in profiles.select("lang").distinct().collect())
+    packed = profiles.groupBy("g").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("lang", "logp"))), lambda e: e["logp"]).alias("lp")
+    )
+    tri = grams if grams is not None else trigrams(df, key, text)
+    zero = F.array_repeat(F.lit(0.0), len(langs))
+    scores = (
+        tri.join(checked_broadcast(packed), "g")
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("n", "lp")).alias("rows"))
+        .select("key", F.aggregate("rows", zero, lambda acc, r: F.zip_with(acc, r["lp"], lambda a, b: a + r["n"] * b)).alias("s"))
+    )
+    names = F.array(*[F.lit(x) for x in langs])
+    # Best = largest score, earliest (alphabetical) language on a tie.
+    best = F.array_max(F.zip_with("s", F.sequence(F.lit(0), F.lit(len(langs) - 1)),
+                                  lambda sc, i: F.struct(sc.alias("score"), (-i).alias("neg"))))
+    picked = scores.select("key", best.alias("b")).select(
+        "key", F.element_at(names, -F.col("b.neg") + 1).alias("lang"), F.col("b.score").alias("score")
     )
-    w = Window.partitionBy("key").orderBy(F.col("score").desc(), F.col("lang").asc())
-    best = s.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
-    out = df.select(F.col(key).alias("key")).join(best, "key", "left")
+    out = df.select(F.col(key).alias("key")).join(picked, "key", "left")
     return out.select(
         F.col("key").alias(key),
         F.coalesce(F.col("lang"), F.lit("unknown")).alias("lang_pred"),
