@@ -44,3 +44,9 @@ def test_histogram_edges(spark):
     df = spark.createDataFrame([(0.0,), (0.05,), (0.999,), (1.0,), (-0.1,), (None,)], "s double")
     got = sorted((r.bucket, r["count"]) for r in counts.histogram(df, "s").collect() if r.bucket is not None)
     assert got == [(0, 1), (1, 2), (10, 1), (11, 1)]
+
+
+def test_text_source_by_position(spark):
+    df = spark.createDataFrame([("a b", "x", "c")], "t1 string, t2 string, t3 string")
+    got = sorted(r.text for r in counts.text_source(df, [0, 2]).collect())
+    assert got == ["a b", "c"]

@@ -88,3 +88,15 @@ def test_load_corpus_numbers_documents(spark, tmp_path):
     r = c.where("paper_id = 's1'").first()
     assert r.processed_text == "body one body two"
     assert r.all_text_list == r.processed_title_list + r.processed_abstract_list + r.processed_text_list
+
+
+def test_paper_documents_strict_dates(spark, tmp_path):
+    import pytest
+
+    write_fixture(str(tmp_path))
+    meta = read_metadata(spark, str(tmp_path / "meta.csv"))
+    papers = read_papers(spark, str(tmp_path / "papers"))
+    # s3 has a broken date but an empty body; add a paper matching row 2 with a body.
+    extra = spark.createDataFrame([("s3", "T", "a", "body")], "paper_id string, title string, abstract string, body_text string")
+    with pytest.raises(ValueError):
+        paper_documents(papers.unionByName(extra), meta, strict=True).collect()

@@ -17,10 +17,12 @@ from ..functions.text import explode_values, lower_words, strip_non_alnum
 from .joins import anti_join_small
 
 
-def text_source(df: DataFrame, cols: Sequence[str], name: str = "text") -> DataFrame:
+def text_source(df: DataFrame, cols: Sequence[str | int], name: str = "text") -> DataFrame:
     """Several text columns as one text column, one row per cell (UNION ALL
-    without a second scan): ``explode(array(c1, c2, ...))``."""
-    return df.select(F.explode(F.array(*[F.col(c).cast("string") for c in cols])).alias(name))
+    without a second scan): ``explode(array(c1, c2, ...))``. Columns may be
+    given by name or by 0-based position (e.g. ``[4, 9]``)."""
+    names = [df.columns[c] if isinstance(c, int) else c for c in cols]
+    return df.select(F.explode(F.array(*[F.col(f"`{c}`").cast("string") for c in names])).alias(name))
 
 
 def word_count(df: DataFrame, col: str = "text", stopwords=None) -> DataFrame:

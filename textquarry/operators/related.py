@@ -8,6 +8,7 @@ terms (``dim`` = document), i.e. document co-occurrence; a trained
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -103,7 +104,13 @@ def related_documents(x: DataFrame, scores: DataFrame, docs: DataFrame, top_feat
     # At most targets x top_feature rows; written once because the driver
     # reads the target list from it and the join below reuses it.
     kept = top_terms(scores, top_feature).select("target_word", "term").checkpoint(eager=True)
-    words = [r[0] for r in kept.select("target_word").distinct().collect()]
+    per_target = {r[0]: r[1] for r in kept.groupBy("target_word").count().collect()}
+    words = sorted(per_target)
+    if any(v < top_feature for v in per_target.values()):
+        warnings.warn(
+            f"top_feature ({top_feature}) is not smaller than the token list; no feature filtering is done",
+            stacklevel=2,
+        )
     sums = (
         x.join(checked_broadcast(kept), "term")
         .groupBy("target_word", "doc_num")

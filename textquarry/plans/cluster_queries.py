@@ -164,3 +164,23 @@ def q_project_sample(spark, sf_dir):
     proj, _ = cluster.pca(v, "id", k=2)
     labels = cluster.kmeans_assign(v, "id", "features", k=14, seed=20)
     return cluster.project_sample(proj, labels, "id", 300)
+
+
+@register("mixed_table_pca")
+def q_mixed_table_pca(spark, sf_dir):
+    """Mixed-table projection: documents with their labels, key and list
+    columns dropped, every string column label-encoded (full texts
+    included), all columns standardised, then a centred 2-D PCA."""
+    from ..operators import filters
+
+    d = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id", "left")
+    d = d.withColumn("text_list", F.split("text", " "))
+    kept = filters.drop_columns(d, ["doc_id"], regex=r"[a-z_]*_list")
+    key = d.select("doc_id", *kept.columns)
+    strings = [f.name for f in kept.schema.fields if f.dataType.simpleString() == "string"]
+    enc = features.label_encode(key, strings)
+    cols = [c for c in kept.columns]
+    std = features.standardize(enc.na.fill(0, subset=cols), cols)
+    vec = cluster.with_vector(std.select(F.col("doc_id").alias("id"), F.array(*[F.col(c) for c in cols]).alias("v")), "v")
+    proj, _ = cluster.pca(vec, "id", k=2)
+    return proj

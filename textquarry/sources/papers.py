@@ -100,10 +100,14 @@ DOCUMENT_COLUMNS = ("paper_id", "publish_time", "doi", "abstract", "body_text",
                     "abstract_summary")
 
 
-def paper_documents(papers: DataFrame, meta: DataFrame) -> DataFrame:
+def paper_documents(papers: DataFrame, meta: DataFrame, strict: bool = False) -> DataFrame:
     """The nine-column document table: papers joined to the first metadata
     row of their ``sha`` (by ``row_no``), empty bodies dropped, summary,
-    author list, title and date derived, then rows with any null dropped."""
+    author list, title and date derived, then rows with any null dropped.
+
+    An unparsable publication date becomes null and the row is dropped;
+    ``strict=True`` raises ``ValueError`` instead when any matched paper
+    has a missing or unparsable date."""
     body_ok = filters.drop_empty(papers, "body_text").select("paper_id", "abstract", "body_text")
     m = meta.select("sha", "row_no", "authors", "title", "journal", "doi", "publish_time")
     j = joins.first_match_join(body_ok, m, "paper_id", "sha", ["row_no"])
@@ -115,8 +119,13 @@ def paper_documents(papers: DataFrame, meta: DataFrame) -> DataFrame:
         TX.truncate_words("title", 40).alias("title"),
         "journal",
         TX.summary_or_body("abstract", "body_text", 100).alias("abstract_summary"),
+        F.col("publish_time").alias("_pub_text"),
     )
-    return filters.drop_null_rows(doc, DOCUMENT_COLUMNS)
+    if strict:
+        bad = doc.where(F.col("publish_time").isNull()).select("paper_id", "_pub_text").limit(5).collect()
+        if bad:
+            raise ValueError(f"unparsable publication dates: {[(r[0], r[1]) for r in bad]}")
+    return filters.drop_null_rows(doc.drop("_pub_text"), DOCUMENT_COLUMNS)
 
 
 def load_corpus(spark: SparkSession, meta_path: str, papers_path: str, stopwords,
