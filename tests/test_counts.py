@@ -50,3 +50,19 @@ def test_text_source_by_position(spark):
     df = spark.createDataFrame([("a b", "x", "c")], "t1 string, t2 string, t3 string")
     got = sorted(r.text for r in counts.text_source(df, [0, 2]).collect())
     assert got == ["a b", "c"]
+
+
+def test_avg_rank_many_ties_across_partitions(spark):
+    import random
+
+    rnd = random.Random(11)
+    vals = [rnd.randint(0, 60) / 4.0 for _ in range(5000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    got = {r.id: r.r for r in avg_rank(df, "v", ascending=True, name="r").collect()}
+    order = sorted(vals)
+    first = {}
+    for pos, v in enumerate(order, start=1):
+        first.setdefault(v, pos)
+    count = {v: order.count(v) for v in set(order)}
+    for i, v in enumerate(vals):
+        assert got[i] == first[v] + (count[v] - 1) / 2.0
