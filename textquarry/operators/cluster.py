@@ -311,7 +311,7 @@ def cluster_keywords(x: DataFrame, assign: DataFrame, n_terms: int = 10) -> Data
     cluster's documents (zeros included), top ``n_terms`` per cluster."""
     size = assign.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
     sums = x.join(assign, "doc_num").groupBy("cluster", "term").agg(F.sum("value").alias("s"))
-    means = sums.join(F.broadcast(size), "cluster").select("cluster", "term", (F.col("s") / F.col("size")).alias("mean"))
+    means = sums.join(checked_broadcast(size), "cluster").select("cluster", "term", (F.col("s") / F.col("size")).alias("mean"))
     return top_k_per_group(
         means.withColumn("_m", F.round("mean", 9)), ["cluster"], [F.col("_m").desc(), F.col("term").asc()], n_terms,
         name="rank",

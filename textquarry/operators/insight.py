@@ -49,7 +49,7 @@ def label_documents(x_tfidf: DataFrame, x_count: DataFrame, docs: DataFrame, top
     rel = related_documents(
         x_count, term_similarity(vectors, targets, token_list), docs, top_feature, top_document
     ).select(F.col("target_word").alias("topic"), "doc_num")
-    pairs = rel.join(F.broadcast(lab), "topic")
+    pairs = rel.join(checked_broadcast(lab), "topic")
     if scorer is None:
         lv = label_vectors(vectors, lab.select("label"), token_list, top_feature)
         raw = (

@@ -30,7 +30,7 @@ def vectors_from_counts(tf: DataFrame) -> DataFrame:
 
 def check_targets(vectors: DataFrame, targets: DataFrame) -> None:
     """Raise ``ValueError`` when a target word has no vector (small list)."""
-    present = vectors.join(F.broadcast(targets.select(F.col("target_word").alias("term"))), "term", "left_semi")
+    present = vectors.join(checked_broadcast(targets.select(F.col("target_word").alias("term"))), "term", "left_semi")
     present = present.select(F.col("term").alias("target_word")).distinct()
     missing = targets.join(present, "target_word", "left_anti")
     bad = [r[0] for r in missing.limit(20).collect()]
@@ -49,7 +49,7 @@ def term_similarity(vectors: DataFrame, targets: DataFrame, token_list: DataFram
     most one vocabulary and is broadcast.
     """
     tokens = checked_broadcast(token_list.select("term").distinct(), known_rows=cap)
-    tvec = vectors.join(F.broadcast(targets.select(F.col("target_word").alias("term"))), "term").select(
+    tvec = vectors.join(checked_broadcast(targets.select(F.col("target_word").alias("term"))), "term").select(
         F.col("term").alias("target_word"), "dim", F.col("value").alias("tval")
     )
     cand = vectors.join(tokens, "term")
@@ -65,7 +65,7 @@ def term_similarity(vectors: DataFrame, targets: DataFrame, token_list: DataFram
     return (
         grid.join(dots, ["target_word", "term"], "left")
         .join(norms, "term", "left")
-        .join(F.broadcast(tnorm), "target_word", "left")
+        .join(checked_broadcast(tnorm), "target_word", "left")
         .select("target_word", "term", F.try_divide(F.col("dot"), F.col("nrm") * F.col("tnrm")).alias("score"))
     )
 

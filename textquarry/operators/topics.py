@@ -77,7 +77,7 @@ def topic_coherence(topics: DataFrame, docs: DataFrame, tokens: str = "tokens",
     single = ws.groupBy("term").agg((F.count(F.lit(1)) / F.lit(n)).alias("p"))
     # Co-occurrence only within a topic: a window yields at most top_n^2
     # pairs per topic, never all pairs of its words.
-    wt = ws.join(F.broadcast(tw), "term")
+    wt = ws.join(checked_broadcast(tw), "term")
     a = wt.select("doc_num", "start", "topic", F.col("term").alias("w"))
     b = wt.select("doc_num", "start", "topic", F.col("term").alias("v"))
     joint = a.join(b, ["doc_num", "start", "topic"]).groupBy("topic", "w", "v").agg(
