@@ -8,7 +8,7 @@ Bayes, learned document concentration) on term-count vectors built by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import checked_broadcast
@@ -43,17 +43,28 @@ def topic_words(lda, cv, n: int = 10) -> DataFrame:
     return t.join(checked_broadcast(vocab, known_rows=len(cv.vocabulary)), "term_index").drop("term_index")
 
 
-def window_sets(docs: DataFrame, words: DataFrame, tokens: str = "tokens", window: int = 110) -> DataFrame:
-    """``(doc_num, start, term)``, distinct: the topic words present in each
-    boolean sliding window. A document shorter than the window is one
-    window. Only occurrences of topic words are exploded, to the window
-    starts that cover them."""
+def _occurrences(docs: DataFrame, words: DataFrame, tokens: str, window: int) -> DataFrame:
+    """``(doc_num, term, lo, hi)``: each occurrence of a topic word with the
+    range of window starts that cover it (a document shorter than the
+    window is one window, start 0)."""
     occ = docs.select("doc_num", F.size(tokens).alias("len"), F.posexplode(tokens).alias("pos", "term"))
     occ = occ.join(checked_broadcast(words.select("term").distinct()), "term")
     last_start = F.greatest(F.col("len") - F.lit(window), F.lit(0))
-    lo = F.greatest(F.col("pos") - F.lit(window - 1), F.lit(0))
-    hi = F.least(F.col("pos"), last_start)
-    return occ.select("doc_num", "term", F.explode(F.sequence(lo, hi)).alias("start")).distinct()
+    return occ.select(
+        "doc_num", "term",
+        F.greatest(F.col("pos") - F.lit(window - 1), F.lit(0)).alias("lo"),
+        F.least(F.col("pos"), last_start).alias("hi"),
+    )
+
+
+def _union_length(intervals: DataFrame, keys) -> DataFrame:
+    """Per ``keys`` (document included): the number of window starts in the
+    union of the ``[lo, hi]`` ranges, by one ordered pass (each range adds
+    what lies beyond the furthest end seen so far)."""
+    w = Window.partitionBy(*keys).orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.max("hi").over(w)
+    add = F.greatest(F.col("hi") - F.greatest(F.col("lo"), F.coalesce(prev + 1, F.col("lo"))) + 1, F.lit(0))
+    return intervals.select(*keys, add.alias("a")).groupBy(*keys).agg(F.sum("a").alias("u"))
 
 
 def n_windows(docs: DataFrame, tokens: str = "tokens", window: int = 110) -> int:
@@ -66,38 +77,46 @@ def topic_coherence(topics: DataFrame, docs: DataFrame, tokens: str = "tokens",
     ``topic = -1`` holding the mean over topics.
 
     ``topics`` is ``(topic, rank, term)``; the first ``top_n`` terms count.
+    Boolean sliding windows of ``window`` tokens: p(w) is the share of
+    windows holding w, p(w, v) of windows holding both.
     NPMI(w, v) = ln((p(w,v)+eps) / (p(w) p(v))) / -ln(p(w,v)+eps); each
     word's vector is its NPMI to every topic word; a word's score is the
     cosine of its vector with the topic's summed vector; a topic's
     coherence is the mean score of its words.
+
+    Window counts come from interval arithmetic, not from listing windows:
+    the windows holding w in a document are the union of the start ranges
+    of its occurrences, and |U_w ∩ U_v| = |U_w| + |U_v| - |U_w ∪ U_v|, the
+    last measured over both words' occurrences together. Work is linear in
+    the occurrences times the topic size.
     """
     tw = topics.where(F.col("rank") <= top_n).select("topic", "term").distinct()
-    ws = window_sets(docs, tw, tokens, window).checkpoint(eager=True)
+    occ = _occurrences(docs, tw, tokens, window).checkpoint(eager=True)
     n = float(n_windows(docs, tokens, window))
-    single = ws.groupBy("term").agg((F.count(F.lit(1)) / F.lit(n)).alias("p"))
-    # Co-occurrence only within a topic: a window yields at most top_n^2
-    # pairs per topic, never all pairs of its words.
-    wt = ws.join(checked_broadcast(tw), "term")
-    a = wt.select("doc_num", "start", "topic", F.col("term").alias("w"))
-    b = wt.select("doc_num", "start", "topic", F.col("term").alias("v"))
-    joint = a.join(b, ["doc_num", "start", "topic"]).groupBy("topic", "w", "v").agg(
-        (F.count(F.lit(1)) / F.lit(n)).alias("pwv")
-    )
-    pairs = (
-        tw.select("topic", F.col("term").alias("w"))
-        .join(tw.select("topic", F.col("term").alias("v")), "topic")
-        .join(joint, ["topic", "w", "v"], "left")
-        .join(single.select(F.col("term").alias("w"), F.col("p").alias("pw")), "w", "left")
-        .join(single.select(F.col("term").alias("v"), F.col("p").alias("pv")), "v", "left")
+    single_cnt = _union_length(occ, ["doc_num", "term"]).groupBy("term").agg(F.sum("u").alias("sw"))
+    single = single_cnt.select("term", (F.col("sw") / F.lit(n)).alias("p"), "sw")
+    pairs = tw.select("topic", F.col("term").alias("w")).join(tw.select("topic", F.col("term").alias("v")), "topic")
+    distinct_pairs = checked_broadcast(pairs.where(F.col("w") != F.col("v")))
+    both = (
+        occ.join(distinct_pairs, occ["term"] == distinct_pairs["w"]).select("doc_num", "topic", "w", "v", "lo", "hi")
+        .unionByName(
+            occ.join(distinct_pairs, occ["term"] == distinct_pairs["v"]).select("doc_num", "topic", "w", "v", "lo", "hi")
+        )
     )
-    pwv = F.coalesce(F.col("pwv"), F.lit(0.0)) + F.lit(EPS)
+    union_cnt = _union_length(both, ["doc_num", "topic", "w", "v"]).groupBy("topic", "w", "v").agg(F.sum("u").alias("swv"))
+    sw = single.select(F.col("term").alias("w"), F.col("p").alias("pw"), F.col("sw").alias("cw"))
+    sv = single.select(F.col("term").alias("v"), F.col("p").alias("pv"), F.col("sw").alias("cv"))
+    j = pairs.join(union_cnt, ["topic", "w", "v"], "left").join(sw, "w", "left").join(sv, "v", "left")
+    cw, cv = F.coalesce(F.col("cw"), F.lit(0)), F.coalesce(F.col("cv"), F.lit(0))
+    inter = F.when(F.col("w") == F.col("v"), cw).otherwise(cw + cv - F.coalesce(F.col("swv"), cw + cv))
+    pwv = inter / F.lit(n) + F.lit(EPS)
     npmi = F.coalesce(
         F.try_divide(F.log(F.try_divide(pwv, F.col("pw") * F.col("pv"))), -F.log(pwv)), F.lit(0.0)
     )
-    m = pairs.select("topic", "w", "v", npmi.alias("npmi"))
+    m = j.select("topic", "w", "v", npmi.alias("npmi"))
     tsum = m.groupBy("topic", "v").agg(F.sum("npmi").alias("s"))
-    j = m.join(tsum, ["topic", "v"])
-    cos = j.groupBy("topic", "w").agg(
+    jj = m.join(tsum, ["topic", "v"])
+    cos = jj.groupBy("topic", "w").agg(
         F.sum(F.col("npmi") * F.col("s")).alias("dot"),
         F.sqrt(F.sum(F.col("npmi") * F.col("npmi"))).alias("n1"),
         F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("n2"),
