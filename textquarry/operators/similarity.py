@@ -150,24 +150,15 @@ def _betainc(a: float, b: float, x: float) -> float:
 
 
 def with_pvalue(corr: DataFrame) -> DataFrame:
-    """Add ``pvalue`` to a small correlation table (one row per group).
-
-    The table is bounded by the number of groups (a handful of parameter
-    values), so it is computed on its rows with a pandas function.
-    """
-    import pandas as pd
-
+    """Add ``pvalue`` to a small correlation table (one row per group, e.g.
+    one per permutation count). Its rows are read on the driver (a handful)
+    and the p-value is computed there, so no library code has to be
+    importable on the executors."""
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     schema = StructType(list(corr.schema.fields) + [StructField("pvalue", DoubleType())])
-
-    def add(batches):
-        for pdf in batches:
-            pdf = pdf.copy()
-            pdf["pvalue"] = [t_pvalue(None if pd.isna(r) else float(r), int(n)) for r, n in zip(pdf["correlation"], pdf["n"])]
-            yield pdf
-
-    return corr.mapInPandas(add, schema)
+    rows = [tuple(r) + (t_pvalue(r["correlation"], int(r["n"])),) for r in corr.collect()]
+    return corr.sparkSession.createDataFrame(rows, schema)
 
 
 def rank_table(measures: Mapping[str, tuple[DataFrame, str, bool]], key: str = "doc_num") -> DataFrame:
