@@ -358,15 +358,34 @@ r_{name} AS (
 
 def _ranks(spark, sf_dir):
     """The five measures feed several driver decisions (best permutation
-    count, chosen hash) and the final ranks, so each is checkpointed once."""
+    count, chosen hash) and the final ranks, so each is checkpointed once.
+    The independent inputs are submitted as concurrent Spark jobs (one
+    driver thread each), so their small stages share the executors."""
+    from concurrent.futures import ThreadPoolExecutor
+
     c = build_corpus(spark, sf_dir)
-    k_tfidf = similarity.document_similarity(c.x_tfidf, c.docs, c.target).checkpoint(eager=True)
+
+    def exact(x):
+        return similarity.document_similarity(x, c.docs, c.target).checkpoint(eager=True)
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_tfidf, f_clip = pool.submit(exact, c.x_tfidf), pool.submit(exact, c.x_clip)
+        k_tfidf, k_clip = f_tfidf.result(), f_clip.result()
     k_count = similarity.document_similarity(c.x_count, c.docs, c.target)
-    k_clip = similarity.document_similarity(c.x_clip, c.docs, c.target).checkpoint(eager=True)
-    sweep = minhash.minhash_sweep(c.x_clip, c.docs, c.vocab, c.target, SWEEP, exact=k_clip).checkpoint(eager=True)
+
+    def sweep_job():
+        return minhash.minhash_sweep(c.x_clip, c.docs, c.vocab, c.target, SWEEP, exact=k_clip).checkpoint(eager=True)
+
+    def simhash_job(h):
+        return _simhash_result(c, h, k_tfidf).checkpoint(eager=True)
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_sweep = pool.submit(sweep_job)
+        f_res = {h: pool.submit(simhash_job, h) for h in ("md5", "sha1")}
+        sweep = f_sweep.result()
+        res = {h: f.result() for h, f in f_res.items()}
     best = minhash.best_num_perm(_quality(sweep))
     mh = sweep.where(F.col("num_perm") == F.lit(best)).select("doc_num", "sig_jaccard_similarity")
-    res = {h: _simhash_result(c, h, k_tfidf).checkpoint(eager=True) for h in ("md5", "sha1")}
     chosen = simhash.choose_hash(*[_simhash_corr(c, h, result=res[h]) for h in ("md5", "sha1")])
     sh = res[chosen].select("doc_num", "sig_hamming_distance")
     frames = {"xtfidf_sim": k_tfidf, "xcount_sim": k_count, "xclip_sim": k_clip, "mh_best": mh, "sh_best": sh}
