@@ -87,3 +87,15 @@ def test_knn_with_duplicate_hot_spot(spark):
     want = brute_knn(rows, 6)
     for i in want:
         assert [got[i][k] for k in range(1, 7)] == want[i]
+
+
+def test_knn_dense_region_of_distinct_points(spark):
+    rnd = random.Random(9)
+    rows = [(i, 0.5 + rnd.random() * 1e-3, 0.5 + rnd.random() * 1e-3) for i in range(600)]  # hot region
+    rows += [(1000 + i, rnd.random() * 10, rnd.random() * 10) for i in range(300)]
+    got = {}
+    for r in cluster.knn(pts(spark, rows), 5).collect():
+        got.setdefault(r.id, {})[r["rank"]] = r.neighbor_id
+    want = brute_knn(rows, 5)
+    for i in want:
+        assert [got[i][k] for k in range(1, 6)] == want[i]

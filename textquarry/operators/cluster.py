@@ -78,6 +78,15 @@ def knn(points: DataFrame, k: int = 7, salt_buckets: int = 32) -> DataFrame:
     area = max((x1 - x0) * (y1 - y0), 1e-12)
     s = max(math.sqrt(area * k_eff / (2.0 * n_locs)), 1e-9)
     span = max(x1 - x0, y1 - y0, 1e-9)
+    # Start finer where the data is denser than average: shrink the first
+    # cell width until the fullest cell holds about 16 k locations, so a
+    # dense region resolves on small blocks instead of one huge one.
+    limit = 16 * k_eff
+    for _ in range(8):
+        fullest = _grid(locs, s).groupBy("cx", "cy").count().agg(F.max("count")).first()[0] or 0
+        if fullest <= limit or s <= 1e-9:
+            break
+        s = max(s / math.sqrt(fullest / limit), 1e-9)
     todo = locs.select("id", "x", "y")
     done = []
     for _ in range(MAX_ROUNDS):
