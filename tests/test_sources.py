@@ -100,3 +100,17 @@ def test_paper_documents_strict_dates(spark, tmp_path):
     extra = spark.createDataFrame([("s3", "T", "a", "body")], "paper_id string, title string, abstract string, body_text string")
     with pytest.raises(ValueError):
         paper_documents(papers.unionByName(extra), meta, strict=True).collect()
+
+
+def test_load_corpus_with_language_profiles(spark, tmp_path):
+    from textquarry.operators.language import train_language_profiles
+
+    write_fixture(str(tmp_path))
+    train = spark.createDataFrame(
+        [(1, "the body of the text is here and there", "en"), (2, "le corps du texte est ici et la", "fr")],
+        "doc_id long, text string, lang string",
+    )
+    prof = train_language_profiles(train, "doc_id", "text", "lang")
+    c = load_corpus(spark, str(tmp_path / "meta.csv"), str(tmp_path / "papers"), full_stopwords(), profiles=prof)
+    langs = {r.paper_id: r.language for r in c.collect()}
+    assert set(langs.values()) <= {"en"}
