@@ -17,6 +17,7 @@ from ..functions.text import split_spaces
 from .joins import checked_broadcast
 
 HEAD_WORDS = 50
+TRIGRAM = r"(?s)(?=(.{3}))"
 
 
 def head_text(col: str, words: int = HEAD_WORDS):
@@ -27,12 +28,11 @@ def head_text(col: str, words: int = HEAD_WORDS):
 def trigrams(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, g, n)``: character trigram counts of the document head."""
     h = df.select(F.col(key).alias("key"), head_text(text).alias("h"))
-    g = h.select(
-        "key",
-        F.explode_outer(
-            F.transform(F.sequence(F.lit(1), F.length("h") - 2), lambda i: F.substring("h", i, 3))
-        ).alias("g"),
-    ).where(F.col("g").isNotNull() & (F.length("h") >= 3))
+    # Every overlapping 3-character substring in one regex pass (a lookahead
+    # group matches at each position; '.' with (?s) also takes newlines).
+    g = h.select("key", F.explode_outer(F.regexp_extract_all("h", F.lit(TRIGRAM), 1)).alias("g")).where(
+        F.col("g").isNotNull()
+    )
     return g.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
 
 
