@@ -1,18 +1,15 @@
 """Stop-word sets.
 
-The full set is Spark's English stop-word list, the corpus-specific words
-below and every ASCII punctuation character. Spark's list is read from the
-MLlib jar (the same file ``StopWordsRemover.loadDefaultStopWords`` reads),
-so no JVM is needed to build oracle SQL from it.
+The full set is Spark's English stop-word list (the one
+``StopWordsRemover.loadDefaultStopWords("english")`` returns), the
+corpus-specific words below and every ASCII punctuation character. The
+words are literals, so neither a JVM nor Spark's jar folder is needed.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
-import os
 import string
-import zipfile
 
 # Corpus-specific stop words that must equal the reference set.
 # First group: words found in most paper layouts; second group: general words.
@@ -44,17 +41,26 @@ CUSTOM_STOPWORDS = (
 PUNCTUATION = tuple(string.punctuation)
 
 
-@functools.lru_cache(maxsize=None)
-def english_stopwords() -> tuple[str, ...]:
-    """Spark's default English stop words, read from the MLlib jar."""
-    import pyspark
+# The English list published with Spark (Apache License 2.0).
+ENGLISH_STOPWORDS = tuple(
+    """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+    herself it its itself they them their theirs themselves what which who whom this that these those am is are
+    was were be been being have has had having do does did doing a an the and but if or because as until while
+    of at by for with about against between into through during before after above below to from up down in out
+    on off over under again further then once here there when where why how all any both each few more most
+    other some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll
+    she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've
+    you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't
+    shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's
+    who's why's would
+    """.split()
+)
 
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise RuntimeError("spark-mllib jar not found; cannot load default stop words")
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-    return tuple(w for w in text.split() if w)
+
+def english_stopwords() -> tuple[str, ...]:
+    """Spark's default English stop words."""
+    return ENGLISH_STOPWORDS
 
 
 @functools.lru_cache(maxsize=None)

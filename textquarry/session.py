@@ -4,6 +4,7 @@ checkpoint folder used to cut lineage in iterative operators."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only a session without one (local tests) gets a fresh folder.
+    as is. Only a session on a ``local`` master (tests, bench) gets a fresh
+    scratch folder; any other master without the setting is refused, as
+    executors would not see a folder of the driver's machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="textquarry-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
