@@ -2,50 +2,86 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame, which is written as Parquet and read again as the
-next stage's docs. All but the last return the columns of docs.
+next stage's docs. All but the last return the columns of docs; further
+columns of any name pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textquarry.llm.common import Store
-from textquarry.llm.simhash_dedup import simhash_groups
+from textquarry.llm import decontaminate, language_id, mixing, pii, simhash_dedup
+from textquarry.llm.common import Store, fresh
 from textquarry.session import read_table
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found stay.
+
+    Rejected is what the operator calls ``und``: null texts and texts without
+    a letter. A low score alone rejects nothing, as short clean texts have
+    one. The network is trained on the labelled rows of docs.
+    """
+    model = language_id.train(language_id.learnable(docs))
+    name = fresh(docs.columns, "_language")
+    scored = docs.withColumn(name, language_id.predict(F.col("text").cast("string"), model))
+    return scored.where(F.col(f"{name}.lang") != language_id.UND).drop(name)
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one with the smallest doc_id.
 
-    Rows that share a doc_id count as one document, of which the row with
-    the smallest text stays; rows without a doc_id can't be told apart by
-    the groups and all stay.
+    Rows that share a doc_id count as one document, of which the smallest
+    row (by text, language, source) stays; rows without a doc_id can't be
+    told apart by the groups and all stay.
     """
     kept = (
-        simhash_groups(docs, shingle=4, max_bits=4).where("component_id = doc_id")
+        simhash_dedup.simhash_groups(docs, shingle=4, max_bits=4).where("component_id = doc_id")
         .select(F.col("doc_id").alias("_kept_id")).distinct()
     )
     named = docs.where(F.col("doc_id").isNotNull())
     chosen = named.join(kept, named["doc_id"] == kept["_kept_id"], "left_semi")
-    return _one_row_per_id(chosen).unionByName(docs.where(F.col("doc_id").isNull()))
+    n = fresh(docs.columns, "_nth")
+    order = Window.partitionBy("doc_id").orderBy("doc_id", "text", "lang", "source")
+    one = chosen.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).drop(n)
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
-def _one_row_per_id(docs: DataFrame) -> DataFrame:
-    """The smallest row of every doc_id; the exchange of the join on doc_id serves it."""
-    from pyspark.sql import Window
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of ``benchmark`` go; rows without a
+    doc_id can't be named as leaks and stay."""
+    found = decontaminate.leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    leaky = found.select(F.col("doc_id").alias("_leaky_id")).distinct()
+    return docs.join(leaky, docs["doc_id"] == leaky["_leaky_id"], "left_anti")
 
-    from textquarry.llm.common import fresh
 
-    n = fresh(docs.columns, "_nth")
-    w = Window.partitionBy("doc_id").orderBy("doc_id", *[c for c in docs.columns if c in ("text", "lang", "source")])
-    return docs.withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(n)
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay, with surrogates for personal data; n_chars
+    follows the new text where something was replaced."""
+    found = fresh(docs.columns, "_types")
+    out = pii.surrogates(docs, found_col=found)
+    if "n_chars" in docs.columns:
+        n = F.when(F.size(found) > 0, F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
+    return out.drop(found)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for every repetition taken, see ``mixing.materialise``."""
+    return mixing.materialise(docs)
 
 
 STAGES = [
+    ("language_id", language_stage),
     ("simhash_dedup", simhash_stage),
+    ("decontaminate", decontamination_stage),
+    ("pii", pii_stage),
+    ("mixing", mixing_stage),
 ]
 
+# A trained network, hashes by task and keyed surrogates are beyond SQL; tests
+# hold every stage against a brute-force version.
 ORACLE_SQL = None
 
 

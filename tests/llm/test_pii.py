@@ -1,0 +1,116 @@
+"""Surrogates: types, formats, distinctness, coreference, collisions, odd rows."""
+
+import ipaddress
+import re
+
+import pytest
+
+from textquarry.llm import pii as P
+
+S = P.Surrogates("k")
+
+
+def one(text):
+    return [(k, v) for _, _, k, v in P.detect(text)]
+
+
+def test_detection():
+    assert one("mail Bob.Smith+x@Mail3.Example.com.") == [("email", "bob.smith+x@mail3.example.com")]
+    assert one("call +1 (588) 555-2485 4041894974608795 Edth") == [("phone", "5885552485"), ("card", "4041894974608795")]
+    assert one("42.144.35.254, 999.1.1.1 and 1.2.3.4.5") == [("ip", "42.144.35.254")]
+    assert one("+44 20 7946 0958") == [("phone", "442079460958")]
+    assert one("ssn 123-45-6789 no 2123-45-6789") == [("ssn", "123456789")]
+    assert one('in token = "1beb58b8af68854f0e01" x') == [("secret", "1beb58b8af68854f0e01")]
+    assert one("DE89 3704 0044 0532 0130 00 ok") == [("iban", "DE89370400440532013000")]
+    assert one("As. Mr. John Smith met Anna Jones.") == [
+        ("given m latin", "John"), ("surname latin", "Smith"), ("given f latin", "Anna"), ("surname latin", "Jones")]
+    assert one("Frau Анна Иванова") == [("given f cyrillic", "Анна"), ("surname cyrillic", "Иванов")]
+    for clean in ["", "The key word: answer", "Of the. And Thwh", "2020-01-01 12:30", "1,234,567.89", "Es el 42",
+                  "Version 9.9.", "a@b", "12345678901234567890123", "May Day Parade"]:
+        assert one(clean) == [], clean
+
+
+@pytest.mark.parametrize("kind,value", [
+    ("email", "a.b@mail3.example.com"), ("phone", "9885552485"), ("card", "4041894974608795"), ("card", "4111111111111111"),
+    ("ip", "42.144.35.254"), ("ip", "10.0.0.7"), ("ssn", "123456789"), ("iban", "DE89370400440532013000"),
+    ("secret", "1beb58b8af68854f0e01"), ("secret", "Ab9-" * 60), ("given f latin", "Anna"), ("surname latin", "Smith"),
+    ("surname latin", "Zyxwv"), ("given m cyrillic", "Иван")])
+def test_type_and_format_stay(kind, value):
+    new = S.of(kind, value)
+    assert new != value and new == P.Surrogates("k").of(kind, value)
+    assert new != P.Surrogates("other").of(kind, value) or kind.startswith("given")
+    if kind == "ip":
+        assert ipaddress.IPv4Address(new).is_global == ipaddress.IPv4Address(value).is_global
+    else:
+        assert [P._KIND.get(c, c) for c in new] == [P._KIND.get(c, c) for c in value] or kind in ("secret", "iban") or "given" in kind or "surname" in kind
+    if kind == "card":
+        assert P.luhn(new) == P.luhn(value) and new[0] == value[0]
+    if kind == "iban":
+        assert P.iban_valid(new)
+    if kind == "secret":
+        assert len(new) == len(value)
+    if kind.startswith("given"):
+        assert new in P.GIVEN[kind[6:]].split()
+
+
+def test_permutations_are_distinct():
+    for n in (2, 3, 10, 257, 1000):
+        assert sorted(S.permute(n, x, "t") for x in range(n)) == list(range(n))
+    assert len({S.of("phone", f"2125550{i:03d}") for i in range(1000)}) == 1000
+    assert len({S.of("card", f"40000000000{i:05d}") for i in range(3000)}) == 3000
+    assert len({S.of("email", f"u{i}@h{j}.com") for i in range(40) for j in range(20)}) == 800
+    names = P.SURNAMES["latin"].split() + [f"Q{c}{d}" for c in "abcdefgh" for d in "abcdefgh"]
+    assert len({S.of("surname latin", n) for n in names}) == len(names)
+
+
+def rows_of(spark, texts):
+    return spark.createDataFrame([(i, t, "x", [i]) for i, t in texts], "doc_id bigint, text string, _found string, t array<bigint>")
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_collisions_are_moved_on(spark, limit):
+    a = "9885552485"
+    b = S_key().of("phone", a)  # b is real as well: a's first surrogate must not be used
+    fmt = lambda p: f"+1 ({p[:3]}) {p[3:6]}-{p[6:]}"
+    texts = [(1, f"one {fmt(a)} end"), (2, f"two {fmt(b)} and {fmt(a)}"), (3, f"two {fmt(b)} and {fmt(a)}"), (4, "clean  text\n"),
+             (5, None), (6, ""), (None, f"nobody {a[:3]}-{a[3:6]}-{a[6:]}")]
+    out = P.surrogates(rows_of(spark, texts), found_col="found", exception_rows=limit).collect()
+    assert out[0].__fields__ == ["doc_id", "text", "_found", "t", "found"]
+    by = {r.doc_id: r for r in out}
+    assert by[4].text == "clean  text\n" and by[5].text is None and by[6].text == "" and by[5].found == []
+    digits = lambda t: [re.sub(r"\D", "", x)[-10:] for x in re.findall(r"[+\d][\d ()-]{9,}\d", t)]
+    new_a, = digits(by[1].text)
+    new_b, again_a = digits(by[2].text)
+    assert new_a == again_a == digits(by[None].text)[0] and by[2].text == by[3].text
+    assert len({a, b, new_a, new_b}) == 4 and by[2].found == ["phone", "phone"]
+
+
+def S_key():
+    return P.Surrogates(P.KEY)
+
+
+def test_whole_table(spark):
+    sf = "/root/testdata/sf0.01"
+    from textquarry.llm.queries import QUERIES
+
+    before = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    values, after = {}, {r.doc_id: r for r in QUERIES["op6_pii"](spark, sf).collect()}
+    assert set(before) == set(after)
+    planted = re.compile(r"[a-z]+\.\d\d@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}|\b4\d{15}\b|(?<=token = \")[0-9a-f]+")
+    hit = 0
+    for i, t in before.items():
+        raw = planted.findall(t)
+        hit += len(raw)
+        assert not any(v in after[i].text for v in raw)
+        if after[i].n_replaced == 0:
+            assert after[i].text == t and not raw
+        for _, _, k, v in P.detect(t):
+            values.setdefault(k, set()).add(v)
+    assert hit > 20
+    for k, vs in values.items():
+        new = {S_key().of(k, v) for v in vs}
+        assert len(new) == len(vs)
+
+
+def test_empty_table(spark):
+    assert P.surrogates(rows_of(spark, [(1, "a")]).limit(0)).collect() == []

@@ -4,10 +4,16 @@ operator on a whole table, with DuckDB SQL where SQL can say the same."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textquarry.session import read_table
 
-from . import simhash_dedup
+from . import decontaminate, language_id, mixing, pii, simhash_dedup
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents by the byte network."""
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +21,33 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_groups(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the item and the score."""
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced, how many values and of which types."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.surrogates(docs, found_col="found").select(
+        "doc_id", "text", F.size("found").cast("bigint").alias("n_replaced"),
+        F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("types"),
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of all documents."""
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_pii": op6_pii,
+    "op7_mixing": op7_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_mixing": mixing.MIX_SQL,
+}
