@@ -8,7 +8,18 @@ from pyspark.sql import functions as F
 
 from textquarry.session import read_table
 
-from . import decontaminate, language_id, mixing, pii, simhash_dedup
+from . import (
+    chat,
+    decontaminate,
+    embedding_dedup,
+    language_id,
+    licenses,
+    mixing,
+    pii,
+    simhash_dedup,
+    substring_dedup,
+    token_counts,
+)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +27,21 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all embeddings: equal label, cosine 0.93 or more."""
+    return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: 4-word shingles, at most 4 bits apart."""
     return simhash_dedup.simhash_groups(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the paragraphs that documents share."""
+    return substring_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items, with the item and the score."""
     return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -40,14 +61,40 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of all documents."""
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    """Tokens of all documents, by the word-end BPE of 49,408 pieces unless another path is given."""
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), str(tokenizer_path))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    return chat.collapse(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
+    "op8_license_scan": op8_license_scan,
+    "op9_token_counts": op9_token_counts,
+    "op10_chat_format": op10_chat_format,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_embedding_dedup": embedding_dedup.EMBEDDING_SQL,
     "op7_mixing": mixing.MIX_SQL,
+    "op10_chat_format": chat.CHAT_SQL,
 }
