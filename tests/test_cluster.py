@@ -99,3 +99,45 @@ def test_knn_dense_region_of_distinct_points(spark):
     want = brute_knn(rows, 5)
     for i in want:
         assert [got[i][k] for k in range(1, 6)] == want[i]
+
+
+def test_knn_vectors_exact_in_many_dimensions(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(8, 12)) * 4
+    x = centres[rng.integers(0, 8, 500)] + rng.normal(size=(500, 12)) * 0.3
+    x[300:380] = x[0]                                                   # a hot vector
+    x[380:500] = x[1] + rng.normal(size=(120, 12)) * 1e-3               # a hot cell
+    rows = [(int(i), [float(v) for v in x[i]]) for i in range(500)] + [(900, None)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    want = {i: [int(j) for j in np.lexsort((np.arange(500), d[i]))[:6]] for i in range(500)}
+    for blocks in ({}, {"query_block": 40, "vector_block": 60}):
+        got = {}
+        for r in cluster.knn_vectors(df, 6, **blocks).collect():
+            got.setdefault(r.id, {})[r["rank"]] = r.neighbor_id
+        assert {i: [g[k] for k in range(1, 7)] for i, g in got.items()} == want
+    assert cluster.knn_vectors(df.limit(0), 3).collect() == []
+    assert cluster.knn_vectors(df.where("id < 2"), 7).count() == 4
+
+
+def test_mixed_table_dbscan_against_brute_force(spark):
+    from textquarry.plans import cluster_queries as Q
+
+    sf = "/root/testdata/sf0.001"
+    p = [(r.id, r.pc) for r in Q._mixed_projection(spark, sf).collect()]
+    near = {i: [j for j, b in p if (a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2 <= Q.MIXED_EPS ** 2] for i, a in p}
+    core = {i for i, n in near.items() if len(n) >= Q.MIN_PTS}
+    label = {}
+    for i in sorted(core):
+        todo = [i] if i not in label else []
+        while todo:
+            j = todo.pop()
+            if j not in label:
+                label[j] = i
+                todo += [n for n in near[j] if n in core]
+    out = {r.id: r for r in Q.q_mixed_table_dbscan(spark, sf).collect()}
+    assert {i for i, r in out.items() if r.is_core} == core and core
+    numbers = {c: k for k, c in enumerate(sorted(set(label.values())))}
+    for i, _ in p:
+        of = [label[n] for n in near[i] if n in core]
+        assert out[i].cluster == (numbers[label[i]] if i in core else numbers[min(of)] if of else -1)

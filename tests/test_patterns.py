@@ -39,9 +39,20 @@ def test_rule_graph_edges(spark):
     assert any(r.dst.startswith("{") for r in e) and any(r.src.startswith("{") for r in e)
 
 
-def test_rules_reject_long_itemsets(spark):
-    import pytest
-
-    its = spark.createDataFrame([(list("abcdefghi"), 0.9)], "items array<string>, support double")
-    with pytest.raises(ValueError):
-        patterns.association_rules(its, max_len=8)
+def test_rules_of_long_itemsets(spark):
+    """Nine items: every split of every subset, sorted by the rule order."""
+    tx = spark.createDataFrame([(i, list("abcdefghi")) for i in range(4)] + [(9, ["a"])], "tid long, items array<string>")
+    its = patterns.apriori(tx, "tid", "items", 0.6)
+    assert as_set(its) == as_set(patterns.frequent_itemsets(tx, "items", 0.6)) and its.count() == 2**9 - 1
+    rules = patterns.association_rules(its, "support", 0.0).collect()
+    assert len(rules) == 3**9 - 2 * 2**9 + 1
+    keys = [(-r.lift, -r.antecedent_len, -r.consequents_len, -r.confidence, r.antecedents, r.consequents) for r in rules]
+    assert keys == sorted(keys)
+
+
+def test_apriori_plans_no_product(spark, capfd):
+    tx = spark.createDataFrame([(i, list("abc")) for i in range(5)], "tid long, items array<string>")
+    ti = tx.selectExpr("tid", "explode(items) item")
+    held = patterns._extend(ti.selectExpr("tid", "array(item) items"), ti)
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan

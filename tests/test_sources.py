@@ -82,7 +82,7 @@ def test_paper_documents_rules(spark, tmp_path):
 
 def test_load_corpus_numbers_documents(spark, tmp_path):
     write_fixture(str(tmp_path))
-    c = load_corpus(spark, str(tmp_path / "meta.csv"), str(tmp_path / "papers"), full_stopwords())
+    c = load_corpus(spark, str(tmp_path / "meta.csv"), str(tmp_path / "papers"), full_stopwords(), lang=None)
     rows = sorted((r.doc_num, r.paper_id) for r in c.collect())
     assert rows == [(0, "s1"), (1, "s5")]
     r = c.where("paper_id = 's1'").first()
@@ -102,6 +102,13 @@ def test_paper_documents_strict_dates(spark, tmp_path):
         paper_documents(papers.unionByName(extra), meta, strict=True).collect()
 
 
+def test_load_corpus_needs_profiles(spark, tmp_path):
+    import pytest
+
+    with pytest.raises(ValueError):
+        load_corpus(spark, str(tmp_path / "meta.csv"), str(tmp_path / "papers"), full_stopwords())
+
+
 def test_load_corpus_with_language_profiles(spark, tmp_path):
     from textquarry.operators.language import train_language_profiles
 

@@ -112,15 +112,163 @@ def knn(points: DataFrame, k: int = 7, salt_buckets: int = 32) -> DataFrame:
     loc_nn = done[0]
     for d in done[1:]:
         loc_nn = loc_nn.unionByName(d)
-    # The k smallest ids of every location (location key = its smallest id).
-    # A hot location is one key on the big side of these joins: the small
-    # side is broadcast when its size allows, else AQE splits the skewed key.
+    # The location key is its smallest id.
     members = points.join(checked_broadcast(locs.select("x", "y", F.col("id").alias("lid"))), ["x", "y"]).select(
         "lid", "id"
     )
-    ids = top_k_per_group(members, ["lid"], [F.col("id").asc()], k_eff, salt_buckets=salt_buckets, name="_r")
+    return _expanded(loc_nn, members, k_eff, salt_buckets)
+
+
+def _nearest_pivot(pivots):
+    """mapInArrow: every vector's cell (its nearest pivot) and the distance to it."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            v = np.asarray(b.column("v").flatten(), dtype=np.float64).reshape(b.num_rows, len(pivots[0]))
+            d = np.stack([np.sqrt(((v - p) ** 2).sum(axis=1)) for p in pivots], axis=1)
+            cell = d.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), b.column("v"), b.column("m"), pa.array(cell.astype(np.int64)),
+                 pa.array(d[np.arange(len(v)), cell])], ["id", "v", "m", "cell", "r"])
+
+    return run
+
+
+def _reached_cells(pivots, reach):
+    """mapInArrow: every vector once for each cell whose queries it may be near to."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            v = np.asarray(b.column("v").flatten(), dtype=np.float64).reshape(b.num_rows, len(pivots[0]))
+            for cell in np.flatnonzero(reach >= 0):
+                d = np.sqrt(((v - pivots[cell]) ** 2).sum(axis=1))
+                at = pa.array(np.flatnonzero(d <= reach[cell] * (1 + 1e-9) + 1e-12))
+                part = b.take(at)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("v"), part.column("m"),
+                     pa.array(np.full(len(at), cell, dtype=np.int64))], ["id", "v", "m", "cell"])
+
+    return run
+
+
+def _block_neighbours(k: int):
+    """applyInPandas over a block of queries and a block of vectors of one
+    cell: all vectors up to each query's k-th distance within the block."""
+    import numpy as np
+    import pandas as pd
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        q, s = rows[rows["query"]], rows[~rows["query"]]
+        if not len(q) or not len(s):
+            return pd.DataFrame({"pid": [], "nid": [], "m": [], "d2": []})
+        x, y = np.stack(q["v"]), np.stack(s["v"])
+        ids, m = s["id"].to_numpy(), s["m"].to_numpy()
+        y2, out = (y * y).sum(axis=1), []
+        for i, (pid, v) in enumerate(zip(q["id"], x)):
+            rough = y2 - 2 * (y @ v)
+            kth = np.partition(rough, min(k, len(rough)) - 1)[min(k, len(rough)) - 1]
+            near = np.flatnonzero(rough <= kth + 1e-9 * (abs(kth) + y2.max() + 1))
+            d2 = ((y[near] - v) ** 2).sum(axis=1)  # exact, for the few that remain
+            order = np.argsort(d2, kind="stable")
+            reached = np.searchsorted(np.cumsum(m[near][order]), k)
+            keep = near[d2 <= d2[order][min(reached, len(order) - 1)]]
+            out.append(pd.DataFrame({"pid": pid, "nid": ids[keep], "m": m[keep], "d2": ((y[keep] - v) ** 2).sum(axis=1)}))
+        return pd.concat(out, ignore_index=True)
+
+    return run
+
+
+def knn_vectors(vectors: DataFrame, k: int = 7, pivots: int = 64, query_block: int = 1024,
+                vector_block: int = 8192, salt_buckets: int = 32) -> DataFrame:
+    """Exact ``k`` nearest neighbours of vectors of any (one) length by
+    Euclidean distance: ``(id, rank, neighbor_id, distance)`` for ``vectors``
+    ``(id, v array<double>)``; the vector itself is included, ties go by
+    neighbour id. Null vectors are left out.
+
+    Distinct vectors (with a multiplicity) are dealt to the cells of a few
+    pivots. From each cell's radius and the smallest pivot distances of all
+    cells follows a bound on its queries' k-th distance, and by the triangle
+    inequality only vectors within radius + bound of its pivot can matter;
+    only these are sent there. A cell's queries and vectors are compared in
+    blocks of bounded size, so a cell holding a third of all vectors is many
+    tasks; the blocks' short lists are merged per query.
+    """
+    import numpy as np
+
+    spark = vectors.sparkSession
+    locs = (
+        vectors.where(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("id"))
+        .select("id", "v", "m").checkpoint(eager=True)
+    )
+    size = locs.agg(F.count(F.lit(1)), F.sum("m")).first()
+    if not size[0]:
+        return spark.createDataFrame([], "id long, rank long, neighbor_id long, distance double")
+    k_eff = min(k, size[1])
+    count = min(pivots, max(1, math.isqrt(size[0])))
+    p = np.array([r["v"] for r in locs.orderBy(F.xxhash64("id"), "id").limit(count).collect()], dtype=np.float64)
+    dealt = locs.mapInArrow(
+        _nearest_pivot(p), "id long, v array<double>, m long, cell long, r double"
+    ).checkpoint(eager=True)
+    stats = {r["cell"]: r for r in dealt.groupBy("cell").agg(
+        F.max("r").alias("radius"), F.count(F.lit(1)).alias("queries")).collect()}
+    closest = top_k_per_group(dealt.select("cell", "r", "m", "id"), ["cell"], [F.col("r").asc(), F.col("id").asc()], k_eff,
+                              salt_buckets=salt_buckets).select("cell", "r", "m").collect()
+    apart = np.sqrt(((p[:, None, :] - p[None]) ** 2).sum(axis=2))
+    reach = np.full(len(p), -1.0)
+    for cell, st in stats.items():
+        # k vectors are surely within: radius + way to their pivot + their distance from it
+        bound = sorted((st["radius"] + apart[cell, c["cell"]] + c["r"], c["m"]) for c in closest)
+        seen, limit = 0, bound[-1][0]
+        for d, m in bound:
+            seen += m
+            if seen >= k_eff:
+                limit = d
+                break
+        reach[cell] = st["radius"] + limit
+    near = dealt.select("id", "v", "m").mapInArrow(
+        _reached_cells(p, reach), "id long, v array<double>, m long, cell long"
+    ).checkpoint(eager=True)
+    sent = {r["cell"]: r["count"] for r in near.groupBy("cell").count().collect()}
+    q_parts = F.array(*[F.lit(-(-stats[c]["queries"] // query_block) if c in stats else 1) for c in range(len(p))])
+    s_parts = F.array(*[F.lit(max(1, -(-sent.get(c, 0) // vector_block))) for c in range(len(p))])
+
+    def parts(of):
+        return F.element_at(of, F.col("cell").cast("int") + 1).cast("int")
+
+    def block(of, salt):
+        return F.pmod(F.xxhash64("id", F.lit(salt)), parts(of)).cast("int")
+
+    def every(of):
+        return F.explode(F.sequence(F.lit(0), parts(of) - 1))
+
+    queries = dealt.select("id", "v", "m", "cell", F.lit(True).alias("query"), block(q_parts, 1).alias("qb"),
+                           every(s_parts).alias("sb"))
+    targets = near.select("id", "v", "m", "cell", F.lit(False).alias("query"), block(s_parts, 2).alias("sb"),
+                          every(q_parts).alias("qb"))
+    cand = queries.unionByName(targets).groupBy("cell", "qb", "sb").applyInPandas(
+        _block_neighbours(k_eff), "pid long, nid long, m long, d2 double")
+    w = Window.partitionBy("pid").orderBy("d2").rangeBetween(Window.unboundedPreceding, 0)
+    cum = cand.withColumn("cum", F.sum("m").over(w)).checkpoint(eager=True)
+    reached = cum.where(F.col("cum") >= k_eff).groupBy("pid").agg(F.min("d2").alias("dk"))
+    loc_nn = cum.join(reached, "pid").where(F.col("d2") <= F.col("dk")).select("pid", "nid", "d2")
+    members = vectors.join(locs.select("v", F.col("id").alias("lid")), "v").select("lid", "id")
+    return _expanded(loc_nn, members, k_eff, salt_buckets)
+
+
+def _expanded(loc_nn: DataFrame, members: DataFrame, k: int, salt_buckets: int) -> DataFrame:
+    """Neighbour lists of locations ``(pid, nid, d2)`` as lists of their
+    points ``(lid, id)``: each location's k smallest ids, k per list.
+
+    A hot location is one key on the big side of these joins: the small
+    side is broadcast when its size allows, else AQE splits the skewed key.
+    """
+    ids = top_k_per_group(members, ["lid"], [F.col("id").asc()], k, salt_buckets=salt_buckets, name="_r")
     lists = loc_nn.join(ids.select(F.col("lid").alias("nid"), F.col("id").alias("neighbor_id")), "nid")
-    lists = top_k_per_group(lists, ["pid"], [F.col("d2").asc(), F.col("neighbor_id").asc()], k_eff, name="rank")
+    lists = top_k_per_group(lists, ["pid"], [F.col("d2").asc(), F.col("neighbor_id").asc()], k, name="rank")
     return members.join(checked_broadcast(lists.withColumnRenamed("pid", "lid")), "lid").select(
         "id", "rank", "neighbor_id", F.sqrt("d2").alias("distance")
     )

@@ -63,7 +63,7 @@ def vocabulary(tf: DataFrame, n: int = FEATURE_CAP) -> DataFrame:
 
 def count_matrix(tf: DataFrame, vocab: DataFrame, cap: int = FEATURE_CAP) -> DataFrame:
     """Counts restricted to the vocabulary (broadcast: at most ``cap`` rows)."""
-    v = checked_broadcast(vocab.select("term"), known_rows=cap)
+    v = checked_broadcast(vocab.select("term"))
     return tf.join(v, "term").select("doc_num", "term", F.col("tf").cast("double").alias("value"))
 
 
@@ -81,7 +81,7 @@ def tfidf_matrix(tf: DataFrame, vocab: DataFrame, n_docs: int, cap: int = FEATUR
     idf = vocab.select(
         "term", (F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf")
     )
-    raw = tf.join(checked_broadcast(idf, known_rows=cap), "term").select(
+    raw = tf.join(checked_broadcast(idf), "term").select(
         "doc_num", "term", (F.col("tf") * F.col("idf")).alias("raw")
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_num")))
@@ -90,7 +90,7 @@ def tfidf_matrix(tf: DataFrame, vocab: DataFrame, n_docs: int, cap: int = FEATUR
 
 def bag_of_words(tf: DataFrame, vocab: DataFrame, cap: int = FEATURE_CAP) -> DataFrame:
     """``(doc_num, term_id, tf)`` over the vocabulary."""
-    v = checked_broadcast(vocab.select("term", "term_id"), known_rows=cap)
+    v = checked_broadcast(vocab.select("term", "term_id"))
     return tf.join(v, "term").select("doc_num", "term_id", "tf")
 
 

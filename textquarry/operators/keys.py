@@ -26,17 +26,16 @@ def _partitions(df: DataFrame) -> int:
 
 
 def _offset_expr(pid_totals: list[tuple[int, int]], pid_col: Column) -> Column:
-    """Map partition id -> number of rows in earlier partitions."""
-    offsets, running = {}, 0
-    for pid, total in sorted(pid_totals):
-        offsets[pid] = running
-        running += total
-    if not offsets:
+    """Number of rows in earlier partitions, looked up by position in one
+    array literal."""
+    if not pid_totals:
         return F.lit(0).cast("bigint")
-    kv = []
-    for pid, off in offsets.items():
-        kv += [F.lit(pid), F.lit(off).cast("bigint")]
-    return F.element_at(F.create_map(*kv), pid_col)
+    totals = dict(pid_totals)
+    offsets, running = [], 0
+    for pid in range(max(totals) + 1):
+        offsets.append(running)
+        running += totals.get(pid, 0)
+    return F.element_at(F.lit(offsets).cast("array<bigint>"), pid_col + 1)
 
 
 def ordered_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx", start: int = 0,

@@ -20,63 +20,54 @@ HEAD_WORDS = 50
 TRIGRAM = r"(?s)(?=(.{3}))"
 
 
-def head_text(col: str, words: int = HEAD_WORDS):
-    """First ``words`` single-space words, lower-cased."""
+def head_text(col: str, words: int | None = HEAD_WORDS):
+    """First ``words`` single-space words (all of them for None), lower-cased."""
+    if words is None:
+        return F.lower(F.col(col))
     return F.lower(F.array_join(F.slice(split_spaces(col), 1, words), " "))
 
 
-def trigrams(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, g, n)``: character trigram counts of the document head."""
-    h = df.select(F.col(key).alias("key"), head_text(text).alias("h"))
+def _exploded(df: DataFrame, keep: str, text) -> DataFrame:
     # Every overlapping 3-character substring in one regex pass (a lookahead
     # group matches at each position; '.' with (?s) also takes newlines).
-    g = h.select("key", F.explode_outer(F.regexp_extract_all("h", F.lit(TRIGRAM), 1)).alias("g")).where(
-        F.col("g").isNotNull()
-    )
-    return g.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(
+        F.col(keep).alias("key"), F.explode_outer(F.regexp_extract_all(text, F.lit(TRIGRAM), 1)).alias("g")
+    ).where(F.col("g").isNotNull())
+
+
+def trigrams(df: DataFrame, key: str, text: str, words: int | None = HEAD_WORDS) -> DataFrame:
+    """``(key, g, n)``: character trigram counts of the document head (of
+    the whole text for ``words=None``)."""
+    return _exploded(df, key, head_text(text, words)).groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
 
 
-def train_language_profiles(df: DataFrame, key: str, text: str, lang: str,
-                            grams: DataFrame | None = None) -> DataFrame:
+def train_language_profiles(df: DataFrame, key: str, text: str, lang: str, words: int | None = None) -> DataFrame:
     """``(lang, g, logp)`` for every language and every trigram seen in any
-    language: ``ln((c + 1) / (N_lang + V))``. ``grams`` may pass an already
-    computed ``trigrams(df, key, text)`` table."""
-    tri = grams if grams is not None else trigrams(df, key, text)
-    t = tri.join(df.select(F.col(key).alias("key"), F.col(lang).alias("lang")), "key")
+    language: ``ln((c + 1) / (N_lang + V))``. Whole texts are counted unless
+    ``words`` limits them to their first words."""
     # (languages x distinct trigrams) counts: small, and read three times
     # (vocabulary size, language list, profile), so written once.
-    c = t.groupBy("lang", "g").agg(F.sum("n").alias("c")).checkpoint(eager=True)
+    c = (
+        _exploded(df, lang, head_text(text, words)).groupBy(F.col("key").alias("lang"), "g")
+        .agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
+    )
     totals = c.groupBy("lang").agg(F.sum("c").alias("N"))
     distinct = c.select("g").distinct()
     v = distinct.count()
     langs = [r[0] for r in totals.select("lang").collect()]
     full = distinct.select("g", F.explode(F.array(*[F.lit(x) for x in sorted(langs)])).alias("lang"))
-    full = full.join(c, ["lang", "g"], "left").join(F.broadcast(totals), "lang")
+    full = full.join(c, ["lang", "g"], "left").join(checked_broadcast(totals), "lang")
     return full.select(
         "lang", "g",
         F.log((F.coalesce(F.col("c"), F.lit(0)) + F.lit(1.0)) / (F.col("N") + F.lit(float(v)))).alias("logp"),
     ).checkpoint(eager=True)
 
 
-def identify_language(df: DataFrame, key: str, text: str, profiles: DataFrame,
-                      grams: DataFrame | None = None) -> DataFrame:
-    """``(key, lang_pred, score)``: the best-scoring language (ties: language
-    ascending); ``unknown`` when no trigram of the document is known.
-
-    Each trigram carries the log-probabilities of all languages as one
-    array (languages sorted), so a document's trigram rows are folded into
-    one score vector instead of being multiplied by the number of
-    languages; a document holds a bounded number of distinct trigrams
-    (its first words only).
-    """
-    langs = sorted(r[0] for r in profiles.select("lang").distinct().collect())
-    packed = profiles.groupBy("g").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("lang", "logp"))), lambda e: e["logp"]).alias("lp")
-    )
-    tri = grams if grams is not None else trigrams(df, key, text)
+def _best_language(tri: DataFrame, langs: list[str], packed: DataFrame) -> DataFrame:
+    """``(key, lang, score)`` of the documents that hold a known trigram."""
     zero = F.array_repeat(F.lit(0.0), len(langs))
     scores = (
-        tri.join(checked_broadcast(packed), "g")
+        tri.join(packed, "g")
         .groupBy("key")
         .agg(F.collect_list(F.struct("n", "lp")).alias("rows"))
         .select("key", F.aggregate("rows", zero, lambda acc, r: F.zip_with(acc, r["lp"], lambda a, b: a + r["n"] * b)).alias("s"))
@@ -85,9 +76,34 @@ def identify_language(df: DataFrame, key: str, text: str, profiles: DataFrame,
     # Best = largest score, earliest (alphabetical) language on a tie.
     best = F.array_max(F.zip_with("s", F.sequence(F.lit(0), F.lit(len(langs) - 1)),
                                   lambda sc, i: F.struct(sc.alias("score"), (-i).alias("neg"))))
-    picked = scores.select("key", best.alias("b")).select(
+    return scores.select("key", best.alias("b")).select(
         "key", F.element_at(names, -F.col("b.neg") + 1).alias("lang"), F.col("b.score").alias("score")
     )
+
+
+def identify_language(df: DataFrame, key: str, text: str, profiles: DataFrame, words: int | None = HEAD_WORDS,
+                      summary: str | None = None) -> DataFrame:
+    """``(key, lang_pred, score)``: the best-scoring language (ties: language
+    ascending). A document whose head (first ``words`` words) holds no known
+    trigram is tried again by its distinct words, then by its ``summary``
+    column if one is given; what is left is ``unknown``.
+
+    Each trigram carries the log-probabilities of all languages as one
+    array (languages sorted), so a document's trigram rows are folded into
+    one score vector instead of being multiplied by the number of languages.
+    """
+    langs = sorted(r[0] for r in profiles.select("lang").distinct().collect())
+    packed = checked_broadcast(profiles.groupBy("g").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("lang", "logp"))), lambda e: e["logp"]).alias("lp")
+    ))
+    picked = _best_language(trigrams(df, key, text, words), langs, packed).checkpoint(eager=True)
+    tries = [F.lower(F.array_join(F.array_distinct(split_spaces(text)), " "))]
+    if summary is not None:
+        tries.append(F.lower(F.col(summary)))
+    for t in tries:
+        left = df.join(picked.select(F.col("key").alias("_done")), F.col(key) == F.col("_done"), "left_anti")
+        tri = _exploded(left, key, t).groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
+        picked = picked.unionByName(_best_language(tri, langs, packed))
     out = df.select(F.col(key).alias("key")).join(picked, "key", "left")
     return out.select(
         F.col("key").alias(key),

@@ -41,7 +41,7 @@ def minhash_signature(x_clip: DataFrame, docs: DataFrame, ranks: DataFrame, n_pe
                       cap: int = FEATURE_CAP) -> DataFrame:
     """``(doc_num, sig)``: per permutation the smallest rank among the
     document's present terms; a document with no term gets 1 everywhere."""
-    j = x_clip.where(F.col("value") > 0).join(checked_broadcast(ranks, known_rows=cap), "term")
+    j = x_clip.where(F.col("value") > 0).join(checked_broadcast(ranks), "term")
     # At most ``cap`` rank arrays per document: gathered and folded with an
     # element-wise ``least`` (one buffer per permutation would exceed the
     # whole-stage codegen field limit).

@@ -14,10 +14,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import checked_broadcast
-
-MAX_RULE_LEN = 8
-
 
 def _min_count(n: int, min_support: float) -> int:
     """Smallest frequency with ``freq / n >= min_support``, in exact decimals."""
@@ -34,7 +30,9 @@ def transactions(df: DataFrame, tid: str, item: str) -> DataFrame:
 def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float = 0.6,
                       max_len: int | None = None) -> DataFrame:
     """``(items, freq, support)`` with ``support = freq / n`` over all
-    transactions (empty ones included). Items are de-duplicated per row."""
+    transactions (empty ones included). Items are de-duplicated per row.
+    Sets of any length are mined unless ``max_len`` is given. The result is
+    checkpointed, so reading it several times mines once."""
     from pyspark.ml.fpm import FPGrowth
 
     data = tx.select(F.array_distinct(F.coalesce(F.col(items), F.array().cast("array<string>"))).alias("items"))
@@ -43,77 +41,71 @@ def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float =
     out = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("freq"))
     if max_len is not None:
         out = out.where(F.size("items") <= max_len)
-    return out.withColumn("support", F.col("freq") / F.lit(float(n)))
+    return out.withColumn("support", F.col("freq") / F.lit(float(n))).checkpoint(eager=True)
+
+
+def _extend(occurrences: DataFrame, ti: DataFrame) -> DataFrame:
+    """Every transaction's sets with one more, larger item of the transaction."""
+    more = ti.select(F.col("tid").alias("_tid"), F.col("item").alias("_item"))
+    on = (F.col("tid") == F.col("_tid")) & (F.element_at("items", -1) < F.col("_item"))
+    return occurrences.join(more, on).select("tid", F.concat("items", F.array("_item")).alias("items"))
 
 
 def apriori(tx: DataFrame, tid: str = "tid", items: str = "items", min_support: float = 0.6,
-            max_len: int | None = None, max_candidates: int = 2_000_000) -> DataFrame:
-    """Level-wise Apriori: ``(items, freq, support)``.
-
-    Level k: candidates from pairs of frequent (k-1)-sets sharing their
-    first k-2 items, pruned when a (k-1)-subset is infrequent, then counted
-    by joining transaction items to candidate items on ``item`` and keeping
-    (transaction, candidate) pairs that match all k items. Each level is
-    checkpointed; the loop stops when a level is empty or at ``max_len``.
+            max_len: int | None = None) -> DataFrame:
+    """Level-wise Apriori: ``(items, freq, support)``, sets of any length
+    unless ``max_len`` is given.
+
+    Level k extends the (k-1)-sets each transaction holds by one of its own
+    larger items (a join on the transaction), keeps the sets all of whose
+    (k-1)-subsets are frequent, and counts them; the item arrays are the
+    keys. So only sets that occur are ever listed and no level is a product
+    of items. Each level is checkpointed; the loop ends with an empty one.
     """
     n = tx.count()
     mc = _min_count(n, min_support)
     ti = tx.select(F.col(tid).alias("tid"), F.explode(F.array_distinct(items)).alias("item"))
-    l1 = ti.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= mc)
-    level = l1.select(F.array("item").alias("items"), F.col("freq").cast("bigint").alias("freq")).checkpoint(eager=True)
+    l1 = ti.groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("freq")).where(F.col("freq") >= mc)
+    level = l1.select(F.array("item").alias("items"), "freq").checkpoint(eager=True)
     result = level
-    freq_items = checked_broadcast(l1.select("item"))
-    ti = ti.join(freq_items, "item")  # items that can be in no frequent set are dropped once
+    # items that are in no frequent set are dropped once
+    ti = ti.join(l1.select("item"), "item", "left_semi").checkpoint(eager=True)
+    held = ti.select("tid", F.array("item").alias("items"))
     k = 2
-    while (max_len is None or k <= max_len) and level.limit(1).count() > 0:
-        a = level.select(F.col("items").alias("a"))
-        b = level.select(F.col("items").alias("b"))
-        prefix_a = F.slice("a", 1, k - 2) if k > 2 else F.array().cast("array<string>")
-        prefix_b = F.slice("b", 1, k - 2) if k > 2 else F.array().cast("array<string>")
-        cand = (
-            a.join(b, (prefix_a == prefix_b) & (F.element_at("a", k - 1) < F.element_at("b", k - 1)))
-            .select(F.concat("a", F.array(F.element_at("b", k - 1))).alias("items"))
-        )
+    while (max_len is None or k <= max_len) and not level.isEmpty():
+        held = _extend(held, ti)
         if k > 2:
+            cand = held.select("items").distinct()
             subsets = cand.select(
                 "items",
                 F.explode(
                     F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.filter("items", lambda x, j: j + 1 != i))
                 ).alias("sub"),
             )
-            bad = subsets.join(level.select(F.col("items").alias("sub")), "sub", "left_anti").select("items").distinct()
-            cand = cand.join(bad, "items", "left_anti")
-        cand = cand.withColumn("cid", F.xxhash64("items")).checkpoint(eager=True)
-        n_cand = cand.count()
-        if n_cand == 0:
-            break
-        if n_cand > max_candidates:
-            raise ValueError(f"{n_cand} candidates at level {k}; raise min_support or set max_len")
-        cand_items = cand.select("cid", F.explode("items").alias("item"))
-        hits = (
-            ti.join(checked_broadcast(cand_items), "item")
-            .groupBy("tid", "cid")
-            .agg(F.count(F.lit(1)).alias("m"))
-            .where(F.col("m") == k)
-            .groupBy("cid")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("freq"))
-            .where(F.col("freq") >= mc)
+            known = level.select(F.col("items").alias("sub"))
+            bad = subsets.join(known, "sub", "left_anti").select("items").distinct()
+            held = held.join(bad, "items", "left_anti").select("tid", "items")
+        held = held.checkpoint(eager=True)
+        level = (
+            held.groupBy("items").agg(F.count(F.lit(1)).cast("bigint").alias("freq")).where(F.col("freq") >= mc)
+            .checkpoint(eager=True)
         )
-        level = cand.join(hits, "cid").select("items", "freq").checkpoint(eager=True)
+        held = held.join(level.select("items"), "items", "left_semi").select("tid", "items")
         result = result.unionByName(level)
         k += 1
     return result.withColumn("support", F.col("freq") / F.lit(float(n)))
 
 
 def _bit(mask: Column, i: Column) -> Column:
-    return F.pmod(F.floor(mask / F.pow(F.lit(2.0), i)), F.lit(2)) == 1
+    return F.getbit(mask, i) == 1
 
 
-def association_rules(itemsets: DataFrame, metric: str = "lift", min_threshold: float = 1.0,
-                      max_len: int = MAX_RULE_LEN) -> DataFrame:
+def association_rules(itemsets: DataFrame, metric: str = "lift", min_threshold: float = 1.0) -> DataFrame:
     """Rules ``antecedents -> consequents`` from every itemset of two or more
     items: all non-empty proper splits by bit mask, supports looked up by
-    joining the itemset table on the (sorted) item arrays.
+    joining the itemset table on the (sorted) item arrays. Sets may have any
+    length up to 62 items; the masks of a long one are made in two steps, so
+    no row holds more than 65,536 of them.
 
     Measures: support, confidence, lift, leverage, conviction (NULL when
     confidence is 1); kept when ``metric >= min_threshold``; sorted by
@@ -121,14 +113,15 @@ def association_rules(itemsets: DataFrame, metric: str = "lift", min_threshold:
     """
     if metric not in ("support", "confidence", "lift", "leverage", "conviction"):
         raise ValueError(f"unknown metric {metric!r}")
-    longest = itemsets.agg(F.max(F.size("items"))).first()[0] or 0
-    if longest > max_len:
-        raise ValueError(f"itemsets of {longest} items exceed max_len={max_len} (2^k splits each)")
-    sup = checked_broadcast(itemsets.select(F.col("items").alias("k"), F.col("support").alias("s")))
-    big = itemsets.where(F.size("items") >= 2).select("items", "support")
-    splits = big.select(
-        "items", "support",
-        F.explode(F.sequence(F.lit(1), (F.pow(F.lit(2), F.size("items")) - 2).cast("int"))).alias("mask"),
+    sup = itemsets.select(F.col("items").alias("k"), F.col("support").alias("s"))
+    big = itemsets.where(F.size("items") >= 2).select("items", "support", F.size("items").alias("n"))
+    two = F.lit(2)
+    high = F.sequence(F.lit(0), (F.pow(two, F.greatest(F.col("n") - 16, F.lit(0))) - 1).cast("bigint"))
+    low = F.sequence(F.lit(0), (F.pow(two, F.least(F.col("n"), F.lit(16))) - 1).cast("bigint"))
+    splits = (
+        big.withColumn("high", F.explode(high)).withColumn("low", F.explode(low))
+        .withColumn("mask", F.col("high") * 65536 + F.col("low"))
+        .where((F.col("mask") > 0) & (F.col("mask") < F.pow(two, F.col("n")).cast("bigint") - 1))
     )
     splits = splits.select(
         "items", "support",
@@ -150,7 +143,7 @@ def association_rules(itemsets: DataFrame, metric: str = "lift", min_threshold:
         F.size("antecedents").alias("antecedent_len"),
         F.size("consequents").alias("consequents_len"),
     )
-    return r.where(F.col(metric) >= min_threshold)
+    return r.where(F.col(metric) >= min_threshold).orderBy(*rule_order())
 
 
 def rule_order() -> list[Column]:

@@ -48,7 +48,7 @@ def term_similarity(vectors: DataFrame, targets: DataFrame, token_list: DataFram
     is balanced (one row per dimension and target). The token list is at
     most one vocabulary and is broadcast.
     """
-    tokens = checked_broadcast(token_list.select("term").distinct(), known_rows=cap)
+    tokens = checked_broadcast(token_list.select("term").distinct())
     tvec = vectors.join(checked_broadcast(targets.select(F.col("target_word").alias("term"))), "term").select(
         F.col("term").alias("target_word"), "dim", F.col("value").alias("tval")
     )

@@ -56,7 +56,7 @@ def simhash(x: DataFrame, docs: DataFrame, vocab: DataFrame, hashing: str, cap:
     alternating pattern)."""
     width = WIDTH[hashing]
     signs = term_signs(vocab, hashing)
-    j = x.join(checked_broadcast(signs, known_rows=cap), "term")
+    j = x.join(checked_broadcast(signs), "term")
     # A document holds at most ``cap`` vocabulary terms, so its rows are
     # gathered (bounded) and folded into one vector of bit sums with
     # ``aggregate``/``zip_with``; one buffer per bit would exceed the

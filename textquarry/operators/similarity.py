@@ -38,7 +38,7 @@ def pair_stats(x: DataFrame, docs: DataFrame, target, cap: int = FEATURE_CAP) ->
     b = F.coalesce(F.col("b"), F.lit(0.0))
     a = F.col("value")
     per_doc = (
-        x.join(checked_broadcast(t, known_rows=cap), "term", "left")
+        x.join(checked_broadcast(t), "term", "left")
         .groupBy("doc_num")
         .agg(
             F.sum(a).alias("a1"),

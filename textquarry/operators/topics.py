@@ -40,7 +40,7 @@ def topic_words(lda, cv, n: int = 10) -> DataFrame:
         F.col("topic").cast("bigint"), (F.col("pos") + 1).cast("bigint").alias("rank"),
         F.col("tw.termIndices").alias("term_index"), F.col("tw.termWeights").alias("weight"),
     )
-    return t.join(checked_broadcast(vocab, known_rows=len(cv.vocabulary)), "term_index").drop("term_index")
+    return t.join(checked_broadcast(vocab), "term_index").drop("term_index")
 
 
 def _occurrences(docs: DataFrame, words: DataFrame, tokens: str, window: int) -> DataFrame:

@@ -1,7 +1,7 @@
 """Clustering, encoding and scaling queries.
 
-Points for the grid operators are the first two coordinates of the
-``embeddings`` vectors; the learned models use all 64 coordinates.
+Nearest neighbours and the learned models use all coordinates of the
+``embeddings`` vectors; the grid operators use their projection to a plane.
 """
 
 from __future__ import annotations
@@ -14,33 +14,46 @@ from .catalog import register
 from .corpus import build_corpus, corpus_ctes
 
 R = 6
-EPS = 0.03
+EPS = 0.15
+MIXED_EPS = 0.25
 MIN_PTS = 5
 K = 7
 
 
 def points(spark, sf_dir):
-    e = read_table(spark, sf_dir, "embeddings")
-    return e.select(
-        F.col("vec_id").alias("id"),
-        F.col("embedding")[0].cast("double").alias("x"),
-        F.col("embedding")[1].cast("double").alias("y"),
-    )
+    """``(id, x, y)``: all coordinates of the embeddings projected to a plane
+    by fixed cosines and sines (any engine computes the same points)."""
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+
+    def axis(wave):
+        terms = F.transform("v", lambda x, i: x * wave((i + 1).cast("double")))
+        return F.round(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), 9)
 
+    return e.select(F.col("vec_id").alias("id"), axis(F.cos).alias("x"), axis(F.sin).alias("y"))
 
-PTS_SQL = "pts AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings)"
 
-KNN_SQL = f"""WITH {PTS_SQL},
+PTS_SQL = """pts AS (
+  SELECT vec_id AS id, round(list_sum(list_transform(embedding, lambda v, i: v::DOUBLE * cos(i::DOUBLE))), 9) AS x,
+         round(list_sum(list_transform(embedding, lambda v, i: v::DOUBLE * sin(i::DOUBLE))), 9) AS y
+  FROM embeddings
+)"""
+
+KNN_SQL = f"""WITH vec AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
 nn AS (
-  SELECT a.id, b.id AS neighbor_id, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2,
-         row_number() OVER (PARTITION BY a.id ORDER BY (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y), b.id) AS rank
-  FROM pts a, pts b QUALIFY rank <= {K}
+  SELECT a.id, b.id AS neighbor_id, list_distance(a.v, b.v) AS distance,
+         row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS rank
+  FROM vec a, vec b QUALIFY rank <= {K}
 )"""
 
 
-@register("knn", KNN_SQL + "\nSELECT id, rank::BIGINT AS rank, neighbor_id, round(sqrt(d2), 6) AS distance FROM nn")
+def vectors(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+
+
+@register("knn", KNN_SQL + "\nSELECT id, rank::BIGINT AS rank, neighbor_id, round(distance, 6) AS distance FROM nn")
 def q_knn(spark, sf_dir):
-    nn = cluster.knn(points(spark, sf_dir), K)
+    nn = cluster.knn_vectors(vectors(spark, sf_dir), K)
     return nn.select("id", F.col("rank").cast("bigint"), "neighbor_id", F.round("distance", R).alias("distance"))
 
 
@@ -48,12 +61,13 @@ def q_knn(spark, sf_dir):
     "k_distance",
     KNN_SQL
     + """
-SELECT id, round(sqrt(d2), 6) AS distance, (row_number() OVER (ORDER BY d2, id) - 1)::BIGINT AS position
+SELECT id, round(distance, 6) AS distance, (row_number() OVER (ORDER BY round(distance, 9), id) - 1)::BIGINT AS position
 FROM nn WHERE rank = 2""",
 )
 def q_k_distance(spark, sf_dir):
     # rank 2 = nearest other point, the column the k-distance graph plots.
-    d = cluster.k_distance(cluster.knn(points(spark, sf_dir), K), 2)
+    nn = cluster.knn_vectors(vectors(spark, sf_dir), K).withColumn("distance", F.round("distance", 9))
+    d = cluster.k_distance(nn, 2)
     return d.select("id", F.round("distance", R).alias("distance"), F.col("position").cast("bigint"))
 
 
@@ -154,8 +168,9 @@ def q_kmeans_assign(spark, sf_dir):
 
 @register("hierarchy")
 def q_hierarchy(spark, sf_dir):
-    assign, _ = cluster.hierarchy(_vectors(spark, sf_dir), "id", "features", k=8)
-    return assign
+    """Every vector's cluster with the cluster's size and centre."""
+    assign, sizes = cluster.hierarchy(_vectors(spark, sf_dir), "id", "features", k=8)
+    return assign.join(sizes, "cluster")
 
 
 @register("project_sample")
@@ -166,21 +181,34 @@ def q_project_sample(spark, sf_dir):
     return cluster.project_sample(proj, labels, "id", 300)
 
 
-@register("mixed_table_pca")
-def q_mixed_table_pca(spark, sf_dir):
+def _mixed_projection(spark, sf_dir):
     """Mixed-table projection: documents with their labels, key and list
     columns dropped, every string column label-encoded (full texts
-    included), all columns standardised, then a centred 2-D PCA."""
+    included), all columns standardised, then a centred 2-D PCA. Documents
+    with a null in any column (those without labels) are dropped first."""
     from ..operators import filters
 
     d = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id", "left")
+    d = filters.drop_null_rows(d, d.columns)
     d = d.withColumn("text_list", F.split("text", " "))
     kept = filters.drop_columns(d, ["doc_id"], regex=r"[a-z_]*_list")
     key = d.select("doc_id", *kept.columns)
     strings = [f.name for f in kept.schema.fields if f.dataType.simpleString() == "string"]
     enc = features.label_encode(key, strings)
     cols = [c for c in kept.columns]
-    std = features.standardize(enc.na.fill(0, subset=cols), cols)
+    std = features.standardize(enc, cols)
     vec = cluster.with_vector(std.select(F.col("doc_id").alias("id"), F.array(*[F.col(c) for c in cols]).alias("v")), "v")
     proj, _ = cluster.pca(vec, "id", k=2)
     return proj
+
+
+@register("mixed_table_pca")
+def q_mixed_table_pca(spark, sf_dir):
+    return _mixed_projection(spark, sf_dir)
+
+
+@register("mixed_table_dbscan")
+def q_mixed_table_dbscan(spark, sf_dir):
+    """DBSCAN on the mixed-table projection."""
+    proj = _mixed_projection(spark, sf_dir).select("id", F.col("pc")[0].alias("x"), F.col("pc")[1].alias("y"))
+    return cluster.dbscan(proj, MIXED_EPS, MIN_PTS)

@@ -2,7 +2,7 @@
 
 Baskets: every order with the distinct part types of its line items
 (orders without line items are empty baskets). Minimum support 0.05,
-itemsets up to three items, rules kept at lift >= 1.
+itemsets of any length, rules kept at lift >= 1.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from .catalog import register
 from .corpus import build_corpus
 
 MIN_SUPPORT = 0.05
-MAX_LEN = 3
 TOKEN_SUPPORT = 0.2
 R = 6
 
@@ -40,19 +39,14 @@ baskets AS (
 ),
 ti AS (SELECT tid, unnest(items) AS item FROM baskets),
 nb AS (SELECT count(*) AS n, ceil({MIN_SUPPORT} * count(*)) AS mc FROM baskets),
-s1 AS (SELECT [item] AS items, count(*) AS freq FROM ti GROUP BY item HAVING count(*) >= (SELECT mc FROM nb)),
-s2 AS (
-  SELECT [a.item, b.item] AS items, count(*) AS freq FROM ti a JOIN ti b ON a.tid = b.tid AND a.item < b.item
-  GROUP BY a.item, b.item HAVING count(*) >= (SELECT mc FROM nb)
-),
-s3 AS (
-  SELECT [a.item, b.item, c.item] AS items, count(*) AS freq
-  FROM ti a JOIN ti b ON a.tid = b.tid AND a.item < b.item JOIN ti c ON c.tid = a.tid AND b.item < c.item
-  GROUP BY a.item, b.item, c.item HAVING count(*) >= (SELECT mc FROM nb)
+held(tid, items) AS (
+  SELECT tid, [item] FROM ti
+  UNION ALL
+  SELECT h.tid, list_append(h.items, t.item) FROM held h JOIN ti t ON t.tid = h.tid AND t.item > h.items[-1]
 ),
 itemsets AS (
   SELECT items, freq::BIGINT AS freq, freq / (SELECT n FROM nb) AS support
-  FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3)
+  FROM (SELECT items, count(*) AS freq FROM held GROUP BY items HAVING count(*) >= (SELECT mc FROM nb))
 )"""
 
 RULE_CTES = """
@@ -76,7 +70,7 @@ rules AS (
 
 
 def _itemsets(spark, sf_dir):
-    return patterns.frequent_itemsets(baskets(spark, sf_dir), "items", MIN_SUPPORT, MAX_LEN)
+    return patterns.frequent_itemsets(baskets(spark, sf_dir), "items", MIN_SUPPORT)
 
 
 def _round_rules(r):
@@ -88,20 +82,20 @@ def _round_rules(r):
     )
 
 
-@register("frequent_itemsets", f"WITH {BASKET_CTES}\nSELECT items, freq, round(support, 6) AS support FROM itemsets")
+@register("frequent_itemsets", f"WITH RECURSIVE {BASKET_CTES}\nSELECT items, freq, round(support, 6) AS support FROM itemsets")
 def q_frequent_itemsets(spark, sf_dir):
     return _itemsets(spark, sf_dir).select("items", "freq", F.round("support", R).alias("support"))
 
 
-@register("apriori", f"WITH {BASKET_CTES}\nSELECT items, freq, round(support, 6) AS support FROM itemsets")
+@register("apriori", f"WITH RECURSIVE {BASKET_CTES}\nSELECT items, freq, round(support, 6) AS support FROM itemsets")
 def q_apriori(spark, sf_dir):
-    a = patterns.apriori(baskets(spark, sf_dir), "tid", "items", MIN_SUPPORT, MAX_LEN)
+    a = patterns.apriori(baskets(spark, sf_dir), "tid", "items", MIN_SUPPORT)
     return a.select("items", "freq", F.round("support", R).alias("support"))
 
 
 @register(
     "association_rules",
-    f"WITH {BASKET_CTES},{RULE_CTES}\n"
+    f"WITH RECURSIVE {BASKET_CTES},{RULE_CTES}\n"
     + """SELECT antecedents, consequents, round(antecedent_support, 6) AS antecedent_support,
        round(consequent_support, 6) AS consequent_support, round(support, 6) AS support,
        round(confidence, 6) AS confidence, round(lift, 6) AS lift, round(leverage, 6) AS leverage,
@@ -119,7 +113,7 @@ def _topic_items(itemsets, k=3):
 
 @register(
     "rule_edges",
-    f"WITH {BASKET_CTES},{RULE_CTES},"
+    f"WITH RECURSIVE {BASKET_CTES},{RULE_CTES},"
     + """
 top AS (
   SELECT *, row_number() OVER (ORDER BY lift DESC, antecedent_len DESC, consequents_len DESC, confidence DESC,

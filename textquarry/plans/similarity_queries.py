@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import counts, minhash, similarity, simhash
+from ..operators import counts, embed, joins, minhash, similarity, simhash
 from .catalog import register
 from .corpus import build_corpus, corpus_ctes, sim_ctes
 
@@ -327,6 +327,7 @@ RANK_MEASURES = (
     ("clip_doc_l1_norm", "xclip_sim", "doc_l1_norm", True),
     ("minhash_jaccard", "mh_best", "sig_jaccard_similarity", False),
     ("simhash_hamming", "sh_best", "sig_hamming_distance", True),
+    ("doc2vec_cosine", "d2v_sim", "doc2vec_similarity", False),
 )
 BENCHMARK = "tfidf_doc_cosine"
 
@@ -340,6 +341,20 @@ sh_best AS (
   SELECT doc_num, sig_hamming_distance FROM res_md5 WHERE (SELECT chosen FROM choice) = 'md5'
   UNION ALL
   SELECT doc_num, sig_hamming_distance FROM res_sha1 WHERE (SELECT chosen FROM choice) = 'sha1'
+),
+hv AS (
+  SELECT doc_num, ('0x' || substr(md5(term), 1, 4))::INTEGER % 32 AS dim,
+         sum(value * CASE WHEN ('0x' || substr(md5(term), 5, 1))::INTEGER % 2 = 0 THEN 1.0 ELSE -1.0 END) AS s
+  FROM xtfidf GROUP BY ALL
+),
+hn AS (SELECT doc_num, sum(s * s) AS n2 FROM hv GROUP BY doc_num),
+hd AS (SELECT a.doc_num, sum(a.s * t.s) AS dot FROM hv a JOIN hv t ON t.dim = a.dim AND t.doc_num = (SELECT t FROM target)
+       GROUP BY a.doc_num),
+d2v_sim AS (
+  SELECT c.doc_num, CASE WHEN hn.n2 > 0 AND tn.n2 > 0 THEN coalesce(hd.dot, 0.0) / (sqrt(hn.n2) * sqrt(tn.n2)) ELSE 0.0 END
+           AS doc2vec_similarity
+  FROM corpus c LEFT JOIN hn USING (doc_num) LEFT JOIN hd USING (doc_num)
+  LEFT JOIN hn tn ON tn.doc_num = (SELECT t FROM target)
 )""")
     for name, src, col, asc in RANK_MEASURES:
         d = "ASC" if asc else "DESC"
@@ -356,8 +371,10 @@ r_{name} AS (
     return _with(*parts)
 
 
-def _ranks(spark, sf_dir):
-    """The five measures feed several driver decisions (best permutation
+def _measures(spark, sf_dir):
+    """The six measures, as name -> (frame, value column, ascending).
+
+    They feed several driver decisions (best permutation
     count, chosen hash) and the final ranks, so each is checkpointed once.
     The independent inputs are submitted as concurrent Spark jobs (one
     driver thread each), so their small stages share the executors."""
@@ -388,12 +405,57 @@ def _ranks(spark, sf_dir):
     mh = sweep.where(F.col("num_perm") == F.lit(best)).select("doc_num", "sig_jaccard_similarity")
     chosen = simhash.choose_hash(*[_simhash_corr(c, h, result=res[h]) for h in ("md5", "sha1")])
     sh = res[chosen].select("doc_num", "sig_hamming_distance")
-    frames = {"xtfidf_sim": k_tfidf, "xcount_sim": k_count, "xclip_sim": k_clip, "mh_best": mh, "sh_best": sh}
+    d2v = embed.embedding_similarity(embed.hashed_vectors(c.x_tfidf, c.docs).checkpoint(eager=True), c.target)
+    frames = {"xtfidf_sim": k_tfidf, "xcount_sim": k_count, "xclip_sim": k_clip, "mh_best": mh, "sh_best": sh,
+              "d2v_sim": d2v}
     measures = {}
     for name, src, col, asc in RANK_MEASURES:
         f = frames[src].select("doc_num", F.round(F.col(col).cast("double"), RANK_R).alias(col))
         measures[name] = (f, col, asc)
-    return similarity.rank_table(measures)
+    return measures
+
+
+def _ranks(spark, sf_dir):
+    return similarity.rank_table(_measures(spark, sf_dir))
+
+
+def _measure_sql() -> str:
+    parts = "".join(
+        f"m_{name} AS (SELECT doc_num, round({col}::DOUBLE, {RANK_R}) AS {name} FROM {src}),\n"
+        for name, src, col, _ in RANK_MEASURES
+    )
+    joined = " ".join(f"FULL JOIN m_{name} USING (doc_num)" for name, *_ in RANK_MEASURES[1:])
+    return _rank_sql_ctes() + ",\n" + parts + f"measures AS (SELECT * FROM m_{RANK_MEASURES[0][0]} {joined})"
+
+
+@register(
+    "measure_table",
+    _measure_sql() + "\nSELECT doc_num, " + ", ".join(f"round({n}, 6) AS {n}" for n, *_ in RANK_MEASURES) + " FROM measures",
+)
+def q_measure_table(spark, sf_dir):
+    """All six measures of every document side by side."""
+    frames = [f.withColumnRenamed(col, name) for name, (f, col, _) in _measures(spark, sf_dir).items()]
+    return joins.combine_results(frames).select("doc_num", *[_r(n) for n, *_ in RANK_MEASURES])
+
+
+@register(
+    "measure_top10",
+    _measure_sql() + "\n" + "\nUNION ALL\n".join(
+        f"""SELECT '{n}' AS measure, * FROM (
+  SELECT row_number() OVER (ORDER BY {n} {'ASC' if asc else 'DESC'} NULLS LAST, doc_num)::BIGINT AS position, doc_num,
+         round({n}, 6) AS value FROM measures QUALIFY position <= 10)"""
+        for n, _, _, asc in RANK_MEASURES
+    ),
+)
+def q_measure_top10(spark, sf_dir):
+    """The ten documents nearest to the target by each measure, in order."""
+    out = None
+    for name, (f, col, asc) in _measures(spark, sf_dir).items():
+        v = F.col(col).asc_nulls_last() if asc else F.col(col).desc_nulls_last()
+        top = counts.top_k(f, 10, [v, F.col("doc_num").asc()], ordinal="position").select(
+            F.lit(name).alias("measure"), F.col("position").cast("bigint"), "doc_num", _r(col, "value"))
+        out = top if out is None else out.unionByName(top)
+    return out
 
 
 @register("rank_table", _rank_sql_ctes() + "\nSELECT * FROM ranks")

@@ -18,9 +18,10 @@ from ..functions import text as TX
 from ..operators import features, filters, joins
 from ..operators.keys import ordered_index
 
-# Cells read as null in non-forced columns (pandas' default markers that
-# occur in such files); forced-string columns keep blanks as ''.
-NULL_TOKENS = ("", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "#N/A", "n/a", "-NaN", "-nan")
+# Cells read as null in non-forced columns, the default markers
+# of the CSV reader that wrote such files; forced-string columns keep blanks as ''.
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+               "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 FORCED_STRING = ("pubmed_id", "Microsoft Academic Paper ID", "doi")
 
 SECTION = T.ArrayType(T.StructType([T.StructField("text", T.StringType())]))
@@ -129,18 +130,21 @@ def paper_documents(papers: DataFrame, meta: DataFrame, strict: bool = False) ->
 
 
 def load_corpus(spark: SparkSession, meta_path: str, papers_path: str, stopwords,
-                profiles: DataFrame | None = None, lang: str = "en") -> DataFrame:
+                profiles: DataFrame | None = None, lang: str | None = "en") -> DataFrame:
     """Metadata + papers -> document table -> language -> cleaned text ->
     ``doc_num`` (0-based, in ``paper_id`` order).
 
-    ``profiles`` are trained language profiles (``train_language_profiles``);
-    without them every document is kept and ``language`` is null.
+    ``profiles`` are trained language profiles (``train_language_profiles``)
+    and are needed to keep the documents of one language; only ``lang=None``
+    keeps every document (``language`` is then null).
     """
     from ..operators.language import identify_language
 
+    if lang is not None and profiles is None:
+        raise ValueError("keeping one language needs language profiles; pass lang=None to keep all documents")
     doc = paper_documents(read_papers(spark, papers_path), read_metadata(spark, meta_path))
-    if profiles is not None:
-        pred = identify_language(doc, "paper_id", "body_text", profiles).select(
+    if lang is not None:
+        pred = identify_language(doc, "paper_id", "body_text", profiles, summary="abstract_summary").select(
             "paper_id", F.col("lang_pred").alias("language")
         )
         doc = filters.filter_language(doc.join(pred, "paper_id"), "language", lang)
