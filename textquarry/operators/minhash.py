@@ -6,8 +6,8 @@ reproducible in any engine, and computed by a window partitioned by
 ``perm`` (each partition holds one vocabulary, at most 4096 rows).
 
 Each term's ranks are packed into one array (vocabulary x permutations,
-bounded by the feature cap), broadcast, and folded per document with one
-``min`` aggregate per permutation: no exploded rows per permutation.
+bounded by the feature cap) and folded per document where its terms are: no
+rows or rank arrays per permutation cross the network.
 """
 
 from __future__ import annotations
@@ -17,8 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .features import FEATURE_CAP
-from .joins import checked_broadcast
+from .joins import BROADCAST_BYTES, side_bytes
 from .similarity import pair_stats, jaccard_expr
 
 
@@ -37,19 +36,49 @@ def rank_arrays(perms: DataFrame) -> DataFrame:
     )
 
 
+def _folded_ranks(ranks: DataFrame, n_perm: int):
+    """mapInArrow: the element-wise smallest ranks of every document's terms."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows = ranks.collect()
+    number = {r["term"]: i for i, r in enumerate(rows)}
+    matrix = np.array([r["ranks"][:n_perm] for r in rows], dtype=np.int32).reshape(len(rows), n_perm)
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):
+                b = whole.slice(at, 64)
+                lists = [[number[t] for t in ts if t in number] for ts in b.column("terms").to_pylist()]
+                sig = [matrix[ids].min(axis=0).tolist() if ids else [1] * n_perm for ids in lists]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_num"), pa.array(sig, pa.list_(pa.int32()))], ["doc_num", "sig"])
+
+    return run
+
+
 def minhash_signature(x_clip: DataFrame, docs: DataFrame, ranks: DataFrame, n_perm: int,
-                      cap: int = FEATURE_CAP) -> DataFrame:
+                      table_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(doc_num, sig)``: per permutation the smallest rank among the
-    document's present terms; a document with no term gets 1 everywhere."""
-    j = x_clip.where(F.col("value") > 0).join(checked_broadcast(ranks), "term")
-    # At most ``cap`` rank arrays per document: gathered and folded with an
-    # element-wise ``least`` (one buffer per permutation would exceed the
-    # whole-stage codegen field limit).
-    first = F.array_repeat(F.lit(2**31 - 1), n_perm)
-    sig = j.groupBy("doc_num").agg(F.collect_list("ranks").alias("rows")).select(
-        "doc_num",
-        F.aggregate("rows", first, lambda acc, r: F.zip_with(acc, r, lambda a, b: F.least(a, b))).alias("sig"),
-    )
+    document's present terms; a document with no term gets 1 everywhere.
+
+    Only a document's terms are shuffled; the ranks are folded where the
+    document then is, from the rank table, which goes to every task if it
+    holds at most ``table_bytes`` (vocabulary x permutations is bounded by
+    the feature cap). A larger table is joined term by term.
+    """
+    x = x_clip.where(F.col("value") > 0)
+    ranks = ranks.checkpoint(eager=True)
+    if side_bytes(ranks, table_bytes) <= table_bytes:
+        kind = docs.schema["doc_num"].dataType.simpleString()
+        terms = x.groupBy("doc_num").agg(F.collect_list("term").alias("terms"))
+        sig = terms.mapInArrow(_folded_ranks(ranks, n_perm), f"doc_num {kind}, sig array<int>")
+    else:
+        first = F.array_repeat(F.lit(2**31 - 1), n_perm)
+        sig = x.join(ranks, "term").groupBy("doc_num").agg(F.collect_list("ranks").alias("rows")).select(
+            "doc_num",
+            F.aggregate("rows", first, lambda acc, r: F.zip_with(acc, r, lambda a, b: F.least(a, b))).alias("sig"),
+        )
     ones = F.array_repeat(F.lit(1), n_perm)
     return docs.select("doc_num").join(sig, "doc_num", "left").select(
         "doc_num", F.coalesce(F.col("sig"), ones).alias("sig")

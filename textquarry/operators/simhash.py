@@ -1,8 +1,7 @@
 """SimHash fingerprints over a weighted matrix and Hamming distances.
 
-Each vocabulary term's hash bits are stored once as an array of +1/-1
-(vocabulary-sized, broadcast); a document's fingerprint is one ``sum``
-aggregate per bit over its rows, followed by a sign test.
+A document's fingerprint is the sign of the weighted sum of its terms' hash
+bits (as +1/-1), made where the document's terms are.
 """
 
 from __future__ import annotations
@@ -10,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .features import FEATURE_CAP
 from .joins import checked_broadcast
 
 WIDTH = {"md5": 128, "sha1": 160}
@@ -20,7 +18,7 @@ TIE_EPS = 1e-9
 
 def check_hash(hashing: str) -> None:
     if hashing not in WIDTH:
-        raise ValueError(f"Argument hashing is not md5 or sha1: {hashing}")
+        raise ValueError(f"unknown hash {hashing!r}: choose one of {sorted(WIDTH)}")
 
 
 def hash_bits(term: Column, hashing: str) -> Column:
@@ -45,26 +43,52 @@ def hash_bits(term: Column, hashing: str) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), bit)
 
 
-def term_signs(vocab: DataFrame, hashing: str) -> DataFrame:
-    """``(term, signs)`` with ``signs[i] = 2*bit_i - 1``."""
-    return vocab.select("term", F.transform(hash_bits(F.col("term"), hashing), lambda b: b * 2 - 1).alias("signs"))
+def _bit_sums(hashing: str):
+    """mapInArrow: the weighted sums of the signs of every document's terms."""
+    import hashlib
 
+    import numpy as np
+    import pyarrow as pa
 
-def simhash(x: DataFrame, docs: DataFrame, vocab: DataFrame, hashing: str, cap: int = FEATURE_CAP) -> DataFrame:
+    width = WIDTH[hashing]
+
+    def signs(term: str) -> np.ndarray:
+        digest = getattr(hashlib, hashing)(term.encode()).digest()
+        if hashing == "md5":
+            digest = digest[::-1]  # read as a little-endian number
+        return np.unpackbits(np.frombuffer(digest, dtype=np.uint8)).astype(np.float64) * 2 - 1
+
+    def run(batches):
+        known: dict[str, np.ndarray] = {}
+        for b in batches:
+            sums = np.zeros((b.num_rows, width))
+            for i, rows in enumerate(b.column("rows").to_pylist()):
+                if len(known) > 50_000:
+                    known.clear()
+                for r in rows:
+                    if r["term"] not in known:
+                        known[r["term"]] = signs(r["term"])
+                sums[i] = np.array([r["value"] for r in rows]) @ np.stack([known[r["term"]] for r in rows])
+            yield pa.RecordBatch.from_arrays([b.column("doc_num"), pa.array(list(sums), pa.list_(pa.float64()))],
+                                             ["doc_num", "sums"])
+
+    return run
+
+
+def simhash(x: DataFrame, docs: DataFrame, vocab: DataFrame, hashing: str) -> DataFrame:
     """``(doc_num, fp)``: bit i is 1 when the weighted sum is positive, 0 when
     negative, and ``i % 2`` on a tie (so a document with no term gets the
-    alternating pattern)."""
+    alternating pattern). Terms outside ``vocab`` don't count.
+
+    Only a document's terms and weights are shuffled; their hash bits are
+    made and summed where the document then is."""
+    check_hash(hashing)
     width = WIDTH[hashing]
-    signs = term_signs(vocab, hashing)
-    j = x.join(checked_broadcast(signs), "term")
-    # A document holds at most ``cap`` vocabulary terms, so its rows are
-    # gathered (bounded) and folded into one vector of bit sums with
-    # ``aggregate``/``zip_with``; one buffer per bit would exceed the
-    # whole-stage codegen field limit and run interpreted.
-    zero = F.array_repeat(F.lit(0.0), width)
-    sums = j.groupBy("doc_num").agg(F.collect_list(F.struct("value", "signs")).alias("rows")).select(
-        "doc_num",
-        F.aggregate("rows", zero, lambda acc, r: F.zip_with(acc, r["signs"], lambda a, b: a + r["value"] * b)).alias("sums"),
+    kind = docs.schema["doc_num"].dataType.simpleString()
+    sums = (
+        x.join(checked_broadcast(vocab.select("term")), "term", "left_semi")
+        .groupBy("doc_num").agg(F.collect_list(F.struct("term", "value")).alias("rows"))
+        .mapInArrow(_bit_sums(hashing), f"doc_num {kind}, sums array<double>")
     )
     filled = docs.select("doc_num").join(sums, "doc_num", "left").select(
         "doc_num", F.coalesce(F.col("sums"), F.array_repeat(F.lit(0.0), width)).alias("sums")
