@@ -41,8 +41,8 @@ RADIUS = 6
 MIN_WORDS = 16
 # Classes of one key that a task compares with all others of the key.
 SALT_ROWS = 2_000
-# Bytes of shared keys (8 each) that may go to every task.
-KEY_BYTES = 256 << 20
+# Bytes of shared keys (8 each) that may pass the driver and go to every task.
+KEY_BYTES = 64 << 20
 
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD],

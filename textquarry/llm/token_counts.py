@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from .common import Store, small_batches, text_bytes, word_blocks
 
-# Bytes of the table of counts (12 a pre-token) that may go to every task.
-TABLE_BYTES = 256 << 20
+# Bytes of the table of counts (12 a pre-token) that may pass the driver and go to
+# every task; the driver needs about five times as much while it is put together.
+TABLE_BYTES = 72 << 20
 # Pre-tokens longer than this (in bytes) are rare; each batch counts its own.
 LONG = 200
 # Distinct pre-tokens a task holds before it passes them on.
