@@ -141,3 +141,17 @@ def test_mixed_table_dbscan_against_brute_force(spark):
     for i, _ in p:
         of = [label[n] for n in near[i] if n in core]
         assert out[i].cluster == (numbers[label[i]] if i in core else numbers[min(of)] if of else -1)
+
+
+def test_dbscan_two_adjacent_hot_cells(spark):
+    """Two thirds of the points lie in neighbouring cells that just touch, or just don't."""
+    rng = np.random.default_rng(8)
+    eps = 1.0
+    for gap, clusters in ((0.999, 1), (1.001, 2)):
+        left = np.column_stack([rng.random(700) * 0.5, rng.random(700) * 0.5])
+        right = np.column_stack([0.5 + gap + rng.random(700) * 0.5, rng.random(700) * 0.5])
+        left[0], right[0] = (0.5, 0.25), (0.5 + gap, 0.25)
+        far = np.column_stack([50 + 7 * rng.random(300) * 10, 50 + rng.random(300) * 100])
+        rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(np.vstack([left, right, far]))]
+        out = {r.id: r.cluster for r in cluster.dbscan(pts(spark, rows), eps, 5).collect()}
+        assert len({out[i] for i in range(1400)}) == clusters and -1 not in {out[i] for i in range(1400)}

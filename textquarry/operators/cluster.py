@@ -282,6 +282,74 @@ def k_distance(nn: DataFrame, j: int) -> DataFrame:
     return ordered_index(d, ["distance", "id"], name="position")
 
 
+def _boxes(core: DataFrame, h: float, level: int, side: str) -> DataFrame:
+    """Bounding boxes of the core points in every part of a cell, a cell
+    being cut into 4**level parts along each axis."""
+    n = 4**level
+    part = h / n
+    sx = F.floor((F.col("x") - F.col("cx") * h) / part)
+    sy = F.floor((F.col("y") - F.col("cy") * h) / part)
+    return (
+        core.select("cx", "cy", sx.alias("sx"), sy.alias("sy"), "x", "y").groupBy("cx", "cy", "sx", "sy")
+        .agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+        .select(*[F.col(c).alias(side + c) for c in ("cx", "cy", "sx", "sy", "x0", "x1", "y0", "y1")],
+                F.floor(F.col("sx") / 4).alias(f"{side}px"), F.floor(F.col("sy") / 4).alias(f"{side}py"))
+    )
+
+
+def _linked_cells(core: DataFrame, h: float, eps: float) -> DataFrame:
+    """``(pcx, pcy, qcx, qcy)``: pairs of cells (both ways) that hold a pair
+    of core points within ``eps``.
+
+    Cells are compared by the bounding boxes of their parts, 16 to a part a
+    level: boxes wholly within ``eps`` link their cells, boxes farther apart
+    say nothing, and only undecided ones are cut again, until they are
+    single points. So no pairs of points are listed however many two
+    neighbouring cells hold.
+    """
+    e2 = F.lit(eps * eps)
+    cells = core.select("cx", "cy").distinct()
+    near = _block(cells.select(F.lit(0).alias("id"), F.lit(0).alias("x"), F.lit(0).alias("y"), "cx", "cy")
+                  .withColumn("id", F.struct("cx", "cy")), 2)
+    pairs = (
+        near.select(F.col("pid.cx").alias("acx"), F.col("pid.cy").alias("acy"), "cx", "cy")
+        .where("acx < cx OR (acx = cx AND acy < cy)").join(cells, ["cx", "cy"], "left_semi")
+        .select("acx", "acy", F.col("cx").alias("bcx"), F.col("cy").alias("bcy"))
+    )
+    open_boxes = pairs.select(
+        "acx", "acy", "bcx", "bcy", *[F.lit(0).cast("bigint").alias(c) for c in ("apx", "apy", "bpx", "bpy")])
+    linked, level = [], 1
+    while True:
+        a, b = _boxes(core, h, level, "a"), _boxes(core, h, level, "b")
+        both = open_boxes.join(a, ["acx", "acy", "apx", "apy"]).join(b, ["bcx", "bcy", "bpx", "bpy"])
+        gap, span = [], []
+        for c in ("x", "y"):
+            gap.append(F.greatest(F.lit(0.0), F.col(f"a{c}0") - F.col(f"b{c}1"), F.col(f"b{c}0") - F.col(f"a{c}1")))
+            span.append(F.greatest(F.col(f"a{c}1") - F.col(f"b{c}0"), F.col(f"b{c}1") - F.col(f"a{c}0")))
+        judged = (
+            both.withColumn("low", gap[0] * gap[0] + gap[1] * gap[1])
+            .withColumn("high", span[0] * span[0] + span[1] * span[1])
+            .where(F.col("low") <= e2)
+            .select("acx", "acy", "bcx", "bcy", "asx", "asy", "bsx", "bsy", "high").checkpoint(eager=True)
+        )
+        sure = judged.where(F.col("high") <= e2).select("acx", "acy", "bcx", "bcy").distinct().checkpoint(eager=True)
+        linked.append(sure)
+        open_boxes = (
+            judged.where(F.col("high") > e2).join(sure, ["acx", "acy", "bcx", "bcy"], "left_anti")
+            .select("acx", "acy", "bcx", "bcy", F.col("asx").alias("apx"), F.col("asy").alias("apy"),
+                    F.col("bsx").alias("bpx"), F.col("bsy").alias("bpy")).checkpoint(eager=True)
+        )
+        if open_boxes.isEmpty():
+            break
+        level += 1
+    one = linked[0]
+    for more in linked[1:]:
+        one = one.unionByName(more)
+    return one.select(F.col("acx").alias("pcx"), F.col("acy").alias("pcy"), F.col("bcx").alias("qcx"), F.col("bcy").alias("qcy")).unionByName(
+        one.select(F.col("bcx").alias("pcx"), F.col("bcy").alias("pcy"), F.col("acx").alias("qcx"), F.col("acy").alias("qcy"))
+    ).checkpoint(eager=True)
+
+
 def dbscan(points: DataFrame, eps: float, min_pts: int, max_rounds: int = 10_000) -> DataFrame:
     """``(id, cluster, is_core)``: DBSCAN with ``distance <= eps``; a point
     counts itself; border points join the lowest-numbered neighbouring
@@ -294,8 +362,9 @@ def dbscan(points: DataFrame, eps: float, min_pts: int, max_rounds: int = 10_000
     of sparse cells (fewer than ``min_pts`` each) list their neighbours in
     the 5x5 block around them, which bounds that work linearly. Components
     are found on cells: two core cells are linked when a core pair across
-    them is within ``eps``; min-label propagation runs over that cell graph,
-    one checkpointed round per step.
+    them is within ``eps``, found by boxes of ever smaller parts of the cells
+    and not by their points; min-label propagation runs over that cell
+    graph, one checkpointed round per step.
     """
     h = eps / math.sqrt(2.0) * (1.0 - 1e-9)
     e2 = F.lit(eps * eps)
@@ -317,18 +386,7 @@ def dbscan(points: DataFrame, eps: float, min_pts: int, max_rounds: int = 10_000
     # Cell graph: a node per cell with a core point, labelled by its smallest
     # core id; an edge where a core pair across two cells is within eps.
     cell_lab = cg.groupBy("cx", "cy").agg(F.min("id").alias("lab"))
-    qc = cg.select(F.col("id").alias("nid"), F.col("x").alias("qx"), F.col("y").alias("qy"),
-                   F.col("cx").alias("qcx"), F.col("cy").alias("qcy"))
-    blk = _block(cg, 2).withColumn("pcx", F.col("cx")).withColumn("pcy", F.col("cy"))
-    cross = (
-        blk.select("pid", "px", "py", F.col("cx").alias("qcx"), F.col("cy").alias("qcy"))
-        .join(cg.select(F.col("id").alias("pid"), F.col("cx").alias("pcx"), F.col("cy").alias("pcy")), "pid")
-        .where((F.col("pcx") != F.col("qcx")) | (F.col("pcy") != F.col("qcy")))
-        .join(qc, ["qcx", "qcy"])
-        .where(_d2() <= e2)
-        .select("pcx", "pcy", "qcx", "qcy")
-        .distinct()
-    ).checkpoint(eager=True)
+    cross = _linked_cells(cg, h, eps)
     labels = cell_lab.checkpoint(eager=True)
     # Pointer jumping: a label is a core point id, so a cell can also take
     # the label of the cell holding that point; chains shrink geometrically.
