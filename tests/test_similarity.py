@@ -95,6 +95,17 @@ def test_pvalue_known_values():
     assert abs(similarity.t_pvalue(0.5, 10) - 0.14111) < 1e-4
     assert similarity.t_pvalue(None, 10) is None
     assert similarity.t_pvalue(1.0, 10) == 0.0
+    assert abs(similarity.t_pvalue(0.0, 50) - 1.0) < 1e-12
+    # one and two degrees have closed forms
+    assert abs(similarity.t_pvalue(0.6, 3) - (1 - 2 / np.pi * np.arcsin(0.6))) < 1e-12
+    assert abs(similarity.t_pvalue(-0.3, 4) - 0.7) < 1e-12
+    # many degrees: the normal limit
+    import math
+
+    for n in (10**4, 10**9):
+        z = 2.0
+        r = z / math.sqrt(n - 2 + z * z)
+        assert abs(similarity.t_pvalue(r, n) - math.erfc(z / math.sqrt(2))) < 2e-5
 
 
 def test_choose_hash():

@@ -53,17 +53,18 @@ def english_docs(spark: SparkSession, sf_dir: str, lang: str | None = "en") -> D
 _BUILT: dict[tuple, Corpus] = {}
 
 
+def _modified(spark: SparkSession, path: str) -> int:
+    """Modification time of the input, in whatever store it lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
+
+
 def build_corpus(spark: SparkSession, sf_dir: str, cap: int = features.FEATURE_CAP,
                  lang: str | None = "en") -> Corpus:
     """The corpus tables, materialised once per Spark application, input
     folder and parameters (the term table is what every analysis reads;
     recomputing it per analysis would re-tokenise the whole corpus)."""
-    path = os.path.join(sf_dir, "documents.parquet")
-    try:
-        stamp = os.path.getmtime(path)
-    except OSError:
-        stamp = None
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), cap, lang, stamp)
+    key = (spark.sparkContext.applicationId, sf_dir, cap, lang, _modified(spark, os.path.join(sf_dir, "documents.parquet")))
     if key not in _BUILT:
         _BUILT[key] = _build(spark, sf_dir, cap, lang)
     return _BUILT[key]
