@@ -38,6 +38,11 @@ HEADLINE = [
     "dbscan",
     "cluster_keywords",
     "identify_language",
+    "apriori",
+    "mixed_table_pca",
+    "kmeans_assign",
+    "embed_documents",
+    "fit_topics",
 ]
 
 
