@@ -53,7 +53,7 @@ def test_graph_recall_and_widening():
     found = sum(len(g.within(x[i], 0.93 - 1e-5, E.BEAM)) for i in range(len(x)))
     assert found >= 0.98 * true.sum()
     # a graph without links finds nothing but by widening the beam to a scan
-    g.size[0][:] = 0
+    g.size[0][:], g.first[:] = 0, 0
     shard = (np.arange(len(x)), np.ones(len(x), dtype=int), x.astype(np.float64), g)
     got, beam = E.search_block((np.arange(100), x[:100].astype(np.float64)), shard, 0.93)
     assert beam >= len(x) and sum(map(len, got)) == (true[:100].sum() - 100)

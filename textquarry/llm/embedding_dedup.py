@@ -49,6 +49,11 @@ class Graph:
         self.entry, self.top = 0, int(level[0])
         for i in range(1, n):
             self._insert(i, int(level[i]))
+        # the ground level backwards: a node that others have dropped is found through its own links
+        to = self.links[0][np.arange(self.links[0].shape[1]) < self.size[0][:, None]]
+        order = np.argsort(to, kind="stable")
+        self.sources = np.repeat(np.arange(n), self.size[0])[order]
+        self.first = np.searchsorted(to[order], np.arange(n + 1))
 
     def near(self, i: int, level: int) -> np.ndarray:
         return self.links[level][i, : self.size[level][i]]
@@ -140,19 +145,22 @@ class Graph:
         if level > self.top:
             self.entry, self.top = i, level
 
-    def within(self, q: np.ndarray, least: float, width: int) -> np.ndarray:
+    def within(self, q: np.ndarray, least: float, width: int, node: int | None = None) -> np.ndarray:
         """Nodes with similarity ``least`` or more: the beam's, and what is
-        reached from them over nodes not much below."""
+        reached from them over nodes not much below. The beam starts at the
+        query's own ``node`` if the graph holds it."""
         if width >= len(self.v):
             return np.flatnonzero(self.v @ q >= least)
-        found = self.beam(q, self.descend(q, 0), width, 0)
+        found = self.beam(q, self.descend(q, 0) if node is None else node, width, 0)
         edge = np.array([j for s, j in found if s >= least - SLACK], dtype=np.int32)
         hits = [np.array([j for s, j in found if s >= least], dtype=np.int32)]
         self.mark += 1
         self.seen[edge] = self.mark
         while len(edge):
             filled = np.arange(self.links[0].shape[1]) < self.size[0][edge][:, None]
-            nb = np.unique(self.links[0][edge][filled])
+            lo, n = self.first[edge], self.first[edge + 1] - self.first[edge]
+            back = self.sources[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            nb = np.unique(np.concatenate([self.links[0][edge][filled], back]))
             nb = nb[self.seen[nb] != self.mark]
             self.seen[nb] = self.mark
             s = self.v[nb] @ q
@@ -197,15 +205,19 @@ def search_block(queries: tuple, shard: tuple, threshold: float, beam: int = BEA
         at = at[own[at] != keys[i]]
         return at[(x[at] @ q[i]) / (xn[at] * qn[i]) >= threshold]
 
+    node = np.minimum(np.searchsorted(own, keys), len(own) - 1)  # keys of a shard are sorted
+    node = [int(j) if own[j] == k else None for j, k in zip(node, keys)]
     least = threshold - 1e-5  # single precision finds a little more than is verified
     audit = np.unique(np.linspace(0, len(keys) - 1, min(AUDITED, len(keys))).astype(int))
     truth = {int(i): len(verified(i, np.flatnonzero(graph.v @ unit[i] >= least))) for i in audit}
     while True:
-        found = {i: verified(i, graph.within(unit[i], least, beam)) for i in truth}
+        found = {i: verified(i, graph.within(unit[i], least, beam, node[i])) for i in truth}
         if sum(map(len, found.values())) >= recall * sum(truth.values()) or beam >= len(own):
             break
         beam *= 2
-    return [found[i] if i in found else verified(i, graph.within(unit[i], least, beam)) for i in range(len(keys))], beam
+    rest = (i for i in range(len(keys)) if i not in found)
+    found |= {i: verified(i, graph.within(unit[i], least, beam, node[i])) for i in rest}
+    return [found[i] for i in range(len(keys))], beam
 
 
 def _search(threshold: float):
