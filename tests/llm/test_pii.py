@@ -64,6 +64,27 @@ def test_permutations_are_distinct():
     assert len({S.of("surname latin", n) for n in names}) == len(names)
 
 
+def test_listed_given_names_alone_or_last():
+    for text, want in [("Frau Charlotte kam.", [("given f latin", "Charlotte")]),
+                       ("Dr. Alexander left.", [("given m latin", "Alexander")]),
+                       ("and Maria Elisabeth too", [("given f latin", "Maria"), ("given f latin", "Elisabeth")]),
+                       ("James Alexander", [("given m latin", "James"), ("given m latin", "Alexander")]),
+                       ("Mr. John Bernard", [("given m latin", "John"), ("surname latin", "Bernard")])]:
+        assert one(text) == want
+        new, kinds = P.replace(text, "k", {})
+        assert kinds == [k for k, _ in want] and not any(v in new for _, v in want)
+    assert {S.of("given f latin", w) for w in P.GIVEN["f latin"].split()} == set(P.GIVEN["f latin"].split())
+
+
+def test_every_attempt_moves_a_listed_name_on():
+    for kind, names in [(f"given {k}", n) for k, n in P.GIVEN.items()] + [(f"surname {k}", n) for k, n in P.SURNAMES.items()]:
+        names = names.split()
+        for attempt in range(len(names) + 2):
+            new = [S.of(kind, w, attempt) for w in names]
+            assert sorted(new) == sorted(names) and all(a != b for a, b in zip(new, names))
+        assert len({S.of(kind, names[0], a) for a in range(len(names) - 1)}) == len(names) - 1
+
+
 def rows_of(spark, texts):
     return spark.createDataFrame([(i, t, "x", [i]) for i, t in texts], "doc_id bigint, text string, _found string, t array<bigint>")
 

@@ -159,7 +159,8 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             if words[0] in _GIVEN:
                 gender = _GIVEN[words[0]][0]
             for i, w in enumerate(words):
-                given = w in _GIVEN and i < len(words) - 1
+                # a listed given name is one wherever it stands, unless it ends the name and is a listed surname too
+                given = w in _GIVEN and (i < len(words) - 1 or w not in _SURNAME)
                 kind = f"given {_GIVEN[w]}" if given else f"surname {script_of(w)}"
                 if not given and kind == "surname cyrillic" and w.endswith("ова") and gender == "f":
                     found.append((at, at + len(w) - 1, kind, w[:-1]))  # the ending stays and keeps the gender
@@ -231,10 +232,11 @@ class Surrogates:
         return out
 
     @functools.lru_cache(maxsize=64)
-    def _next(self, kind: str, names: str) -> dict[str, str]:
-        """Every name of a list to the one after it in a keyed order."""
+    def _next(self, kind: str, names: str, attempt: int) -> dict[str, str]:
+        """Every name of a list to one after it in a keyed order, with each attempt one further."""
         order = sorted(names.split(), key=lambda w: hashlib.blake2b(f"{kind} {w}".encode(), key=self.key).digest())
-        return {w: order[(i + 1) % len(order)] for i, w in enumerate(order)}
+        by = 1 + attempt % (len(order) - 1)
+        return {w: order[(i + by) % len(order)] for i, w in enumerate(order)}
 
     def walk(self, value: str, tweak: str, step, same) -> str:
         """Steps of a permutation until ``same`` holds as it does for ``value``: again a permutation."""
@@ -247,11 +249,13 @@ class Surrogates:
         """The surrogate of a canonical value; ``attempt`` numbers its sequence."""
         tweak = f"{kind} {attempt}"
         if kind.startswith("given "):
-            return self._next(kind, GIVEN[kind[6:]])[canon]
+            return self._next(kind, GIVEN[kind[6:]], attempt)[canon]
         if kind.startswith("surname "):
-            script = kind[8:]
-            if canon in _SURNAME and _SURNAME[canon] == script:
-                return self._next(kind, SURNAMES[script])[canon]
+            if canon in _SURNAME:
+                return self._next(f"surname {_SURNAME[canon]}", SURNAMES[_SURNAME[canon]], attempt)[canon]
+            if canon in _GIVEN:
+                return self.of(f"given {_GIVEN[canon]}", canon, attempt)
+            # in no list, and so are nearly all values of a format: the walk is short
             return self.walk(canon, tweak, self.format, lambda w: w in _SURNAME or w in _GIVEN)
         if kind == "email":
             local, _, domain = canon.partition("@")
