@@ -85,6 +85,27 @@ def test_every_attempt_moves_a_listed_name_on():
         assert len({S.of(kind, names[0], a) for a in range(len(names) - 1)}) == len(names) - 1
 
 
+def test_single_mentions_of_a_name():
+    text = ("Smith spoke. Mr. John Smith met Dr. Priya Patel; later Smith's friend John, Patel and (Smith) left Smithfield. "
+            "Priya saw Charlotte Q. Turner’s car; Turner drove. James Cooper's son, Cooper, Анна Иванова и Иванова.")
+    new, kinds = P.replace(text, "k", {})
+    s = P.Surrogates("k")
+    john, smith = s.of("given m latin", "John"), s.of("surname latin", "Smith")
+    priya, patel = s.of("surname latin", "Priya"), s.of("surname latin", "Patel")
+    charlotte, turner = s.of("given f latin", "Charlotte"), s.of("surname latin", "Turner")
+    james, cooper = s.of("given m latin", "James"), s.of("surname latin", "Cooper")
+    anna, ivanov = s.of("given f cyrillic", "Анна"), s.of("surname cyrillic", "Иванов") + "а"
+    assert new == (
+        f"{smith} spoke. Mr. {john} {smith} met Dr. {priya} {patel}; later {smith}'s friend {john}, {patel} and ({smith}) left "
+        f"Smithfield. {priya} saw {charlotte} Q. {turner}’s car; {turner} drove. {james} {cooper}'s son, {cooper}, "
+        f"{anna} {ivanov} и {ivanov}.")
+    assert len(kinds) == 19
+    # a name is known in its own document only, and what is part of another value stays with it
+    assert one("Smith and John") == []
+    assert one("Mr. Smith, john.Smith@x.org") == [("surname latin", "Smith"), ("email", "john.smith@x.org")]
+    assert one("ask john@Smith.org for Mr. Smith") == [("email", "john@smith.org"), ("surname latin", "Smith")]
+
+
 def rows_of(spark, texts):
     return spark.createDataFrame([(i, t, "x", [i]) for i, t in texts], "doc_id bigint, text string, _found string, t array<bigint>")
 

@@ -83,7 +83,10 @@ _NUMBER = re.compile(
     r"|(?P<card>(?<![\d.-])(?:\d{4}[ -]){3}\d{1,7}(?!\d|-\d)|(?<!\d)\d{13,19}(?!\d))"
 )
 _NAME_START = re.compile(rf"\b({_CAP}[\w'’-]*)(\.?) (?={_CAP})")
-_NAME = re.compile(rf"{_CAP}[\w'’-]*[\w](?: {_CAP}[\w'’-]*[\w]){{0,2}}")
+# Up to three words; initials between them belong to the name and stay.
+_NAME = re.compile(rf"{_CAP}[\w'’-]*[\w](?:(?: {_CAP}\.){{0,2}} {_CAP}[\w'’-]*[\w]){{0,2}}")
+_HEAD = re.compile(r"\w+")
+_POSSESSIVE = ("'s", "’s")
 
 
 def luhn(digits: str) -> bool:
@@ -118,6 +121,18 @@ def _number(kind: str, raw: str) -> str | None:
     return digits
 
 
+def _mentions(text: str, persons: dict[str, tuple[str, str]]) -> Iterator[tuple[int, str]]:
+    """(place, word) of the words of names wherever they stand whole in a text: one pass."""
+    heads: dict[str, list[str]] = {}
+    for w in persons:
+        heads.setdefault(_HEAD.match(w)[0], []).append(w)
+    for m in _HEAD.finditer(text):
+        for w in heads.get(m[0], ()):
+            end = m.start() + len(w)
+            if text.startswith(w, m.start()) and not _HEAD.match(text, end):
+                yield m.start(), w
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical value) of the values in a text, in order, not overlapping."""
     found = []
@@ -142,7 +157,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                 canon = _number(m.lastgroup, m[0])
                 if canon is not None:
                     found.append((lo + m.start(), lo + m.end(), m.lastgroup, canon))
-    end = 0
+    end, persons = 0, {}  # words of names found: (type, canonical value)
     for m in _NAME_START.finditer(text):
         if m.start() < end:
             continue
@@ -154,19 +169,23 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         else:
             continue
         if names:
-            words = names[0].split(" ")
-            at, end = names.start(), names.end()
-            if words[0] in _GIVEN:
-                gender = _GIVEN[words[0]][0]
-            for i, w in enumerate(words):
+            end = names.end()
+            words = [(names.start() + w.start(), w[0][:-2] if w[0].endswith(_POSSESSIVE) else w[0])
+                     for w in re.finditer("[^ ]+", names[0]) if w[0][-1] != "."]
+            if words[0][1] in _GIVEN:
+                gender = _GIVEN[words[0][1]][0]
+            for i, (at, w) in enumerate(words):
                 # a listed given name is one wherever it stands, unless it ends the name and is a listed surname too
                 given = w in _GIVEN and (i < len(words) - 1 or w not in _SURNAME)
                 kind = f"given {_GIVEN[w]}" if given else f"surname {script_of(w)}"
+                canon = w
                 if not given and kind == "surname cyrillic" and w.endswith("ова") and gender == "f":
-                    found.append((at, at + len(w) - 1, kind, w[:-1]))  # the ending stays and keeps the gender
-                else:
-                    found.append((at, at + len(w), kind, w))
-                at += len(w) + 1
+                    canon = w[:-1]  # the ending stays and keeps the gender
+                found.append((at, at + len(canon), kind, canon))
+                persons.setdefault(w, (kind, canon))
+    if persons:
+        taken = {f[0] for f in found}
+        found += [(at, at + len(persons[w][1]), *persons[w]) for at, w in _mentions(text, persons) if at not in taken]
     found.sort(key=lambda f: (f[0], -f[1]))
     out, end = [], 0
     for f in found:
@@ -395,6 +414,11 @@ def surrogates(docs: DataFrame, text_col: str = "text", key: str = KEY, found_co
     surrogate in every row (repeated rows stay equal), different values
     different ones; the key alone decides, so reruns and other tables agree
     but for the values that the collision check moves on.
+
+    Names of persons: a title (``TITLES``) or a listed given name (``GIVEN``,
+    about 120 in three scripts) must stand before a capitalised word; all
+    words of a name so found are replaced in the whole text, alone as well.
+    Names that no text introduces that way are not found and stay.
     """
     store = Store(docs.sparkSession, "pii")
     texts = docs.select(F.col(text_col).cast("string").alias("t"))
