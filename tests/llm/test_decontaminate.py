@@ -81,6 +81,39 @@ def test_leaks_match_brute_force(spark):
     assert D.leaks(d.limit(0), b).collect() == [] and D.leaks(d, b.limit(0)).collect() == []
 
 
+def test_seed_size_fits_every_copy():
+    assert [D.gram_size(n, 5, 0.8) for n in (1, 4, 5, 6, 7, 8, 12, 16, 20, 39, 100)] == [1, 4, 2, 2, 3, 3, 3, 3, 3, 4, 3]
+
+
+def test_edited_copies_match_all_pairs(spark):
+    """All pairs, no filter: short and long items with as many replaced, missing or extra words as 0.8 allows."""
+    rnd = random.Random(9)
+    vocab = [f"w{i}" for i in range(400)]
+    items = [(k, " ".join(rnd.choice(vocab) for _ in range(n))) for k, n in enumerate([3, 5, 6, 7, 8, 9, 12, 16, 16, 20, 25, 39, 60])]
+    docs, planted = [], set()
+    for k, it in items:
+        src = it.split()
+        for copy in range(20):
+            p, lost = list(src), len(src) // 5
+            for x in sorted(rnd.sample(range(len(src)), lost), reverse=True):
+                p[x: x + 1] = rnd.choice([["new"], ["new"], [], [p[x], "more"]])
+            before, after = ([rnd.choice(vocab) for _ in range(rnd.randint(0, 60))] for _ in range(2))
+            docs.append((len(docs), " ".join(before + p + after)))
+            planted.add((len(docs) - 1, k))
+    d, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.matched for r in D.leaks(d, b).collect()}
+    want = {}
+    for i, t in docs:
+        w = t.split()
+        for k, it in items:
+            a = it.split()
+            if sum(x in a for x in w) >= 0.8 * len(a):
+                m = plain_align(a, w)[1]
+                if m >= 0.8 * len(a):
+                    want[i, k] = m
+    assert got == want and len(planted & set(want)) > 250
+
+
 def test_whole_table_finds_every_verbatim_copy(spark):
     sf = "/root/testdata/sf0.001"
     from textquarry.llm.queries import QUERIES

@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
-
-One pass over the documents finds the places that share a word n-gram with a
-test item and stores these passages, which are few. From them the frequency
-of every n-gram in the corpus is known; of each run of neighbouring n-grams
-of an item only the rarest stays as a seed (a relative rule: an item copied
-into a third of all documents keeps seeds as well). Passages joined to items
-by a seed are aligned word by word with Smith-Waterman, so edited and
+"""Benchmark decontamination: n-gram seeds that no copy can avoid, then Smith-Waterman.
+
+A copy that keeps the share of an item's words asked for has lost at most
+``lost`` of them, so the ``kept`` ones stand in at most ``lost + 1`` runs and
+one of these has ``kept // (lost + 1)`` words or more. Word n-grams of that
+size (at most ``NGRAM``) are the seeds of the item, all of them. One pass over
+the documents finds the places of the seeds; where the words an alignment may
+reach from there (its score stays above zero) hold enough words of the item,
+they are aligned with it word by word by Smith-Waterman, so edited and
 paraphrased copies score by what they kept.
 
 The items are looked up inside the tasks, in blocks of bounded size: a
@@ -21,16 +22,17 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BLOCK_BYTES, Store, small_batches
 
 NGRAM = 5
 THRESHOLD = 0.8
-# Of so many neighbouring n-grams that documents hold, the rarest is a seed.
+# An item's run of NGRAM + SPREAD - 1 words holds a seed, whatever else the copy lost.
 SPREAD = 3
+# (place, item) pairs of a text looked at together.
+PAIRS = 1 << 20
 # Characters of benchmark text looked up in one pass over the documents.
 BLOCK_CHARS = 16_000_000
 
@@ -50,10 +52,22 @@ def words_of(text: str) -> Iterator[list[str]]:
         pos = end
 
 
+def need(length: int, threshold: float) -> int:
+    """Words of an item that a copy must keep."""
+    return math.ceil(threshold * length - 1e-9)
+
+
+def gram_size(length: int, n: int, threshold: float) -> int:
+    """Size of an item's seeds: a run so long is left in every copy, as the
+    words kept stand in at most one run more than words are lost."""
+    kept = need(length, threshold)
+    return max(1, min(n, kept // (length - kept + 1)))
+
+
 class Items:
     """A block of test items: word numbers, n-gram hashes and where they occur."""
 
-    def __init__(self, rows: list[tuple], n: int):
+    def __init__(self, rows: list[tuple], n: int, threshold: float):
         self.vocab: dict[str, int] = {}
         self.keys, self.words = [], []
         for key, text in rows:
@@ -61,27 +75,31 @@ class Items:
             if ids:
                 self.keys.append(key)
                 self.words.append(np.array(ids, dtype=np.int32))
-        self.sizes = sorted({min(n, len(w)) for w in self.words})
+        self.length = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.need = np.array([need(len(w), threshold) for w in self.words], dtype=np.int64)
+        self.size = np.array([gram_size(len(w), n, threshold) for w in self.words], dtype=np.int64)
+        self.unique = [np.unique(w, return_counts=True) for w in self.words]
+        self.sizes = sorted(set(self.size.tolist()))
         rng = np.random.default_rng(5)
         self.mix = rng.integers(1, 1 << 63, len(self.vocab) + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.odd = rng.integers(1, 1 << 63, n + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         item, pos, gram = [], [], []
         for i, w in enumerate(self.words):
-            g = self.grams(w, min(n, len(w)))
+            g = self.grams(w, int(self.size[i]))
             item.append(np.full(len(g), i))
             pos.append(np.arange(len(g)))
             gram.append(g)
         empty = [np.zeros(0, dtype=np.int64)]
-        self.item, self.pos = np.concatenate(item or empty), np.concatenate(pos or empty)
-        self.gram = np.concatenate(gram or [np.zeros(0, dtype=np.uint64)])
-        order = np.argsort(self.gram, kind="stable")
-        self.sorted, first = np.unique(self.gram[order], return_index=True)
-        # words an alignment may reach to the left and right of an n-gram's place
-        length = np.array([len(w) for w in self.words], dtype=np.int64)[self.item[order]] if len(order) else first
-        slack = length // 4 + 2
-        off = self.pos[order]
-        self.left = np.maximum.reduceat(off + slack, first) if len(first) else first
-        self.right = np.maximum.reduceat(length - off + slack, first) if len(first) else first
+        item, pos = np.concatenate(item or empty), np.concatenate(pos or empty)
+        gram = np.concatenate(gram or [np.zeros(0, dtype=np.uint64)])
+        order = np.argsort(gram, kind="stable")
+        self.sorted, first = np.unique(gram[order], return_index=True)
+        self.item, self.first = item[order], np.append(first, len(order))
+        # An alignment's score stays above zero before and behind an n-gram: a
+        # matched word (2) pays for at most two extra ones.
+        off, size = pos[order], self.size[self.item]
+        self.left = 3 * off
+        self.right = size + 3 * (self.length[self.item] - off - size)
 
     def grams(self, ids: np.ndarray, n: int) -> np.ndarray:
         """Hash of the n words from every place on."""
@@ -140,13 +158,60 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best % _UNIT, end
 
 
-def _passages(items: Items):
+def _merged(lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The union of ranges as ranges in order."""
+    order = np.argsort(lo, kind="stable")
+    lo, reach = lo[order], np.maximum.accumulate(hi[order])
+    cut = np.flatnonzero(np.append(True, lo[1:] > reach[:-1]))
+    return zip(lo[cut].tolist(), reach[np.append(cut[1:], len(lo)) - 1].tolist())
+
+
+def _passages(items: Items, w: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(item, start, end) of the passages of a text that hold a seed of an
+    item and, around it, as many of the item's words as a copy must keep."""
+    place, gram = items.hits(w)
+    if not len(place):
+        return
+    known = np.concatenate([[0], np.cumsum(w > 0)])
+    count = items.first[gram + 1] - items.first[gram]
+    done = np.cumsum(count)
+    a = 0
+    while a < len(place):
+        z = max(a + 1, int(np.searchsorted(done, done[a] - count[a] + PAIRS, "right")))
+        n = count[a:z]
+        at = np.repeat(items.first[gram[a:z]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        p, item = np.repeat(place[a:z], n), items.item[at]
+        a = z
+        lo, hi = np.maximum(p - items.left[at], 0), np.minimum(p + items.right[at], len(w))
+        ok = known[hi] - known[lo] >= items.need[item]
+        item, lo, hi = item[ok], lo[ok], hi[ok]
+        order = np.argsort(item, kind="stable")
+        item, lo, hi = item[order], lo[order], hi[order]
+        edge = np.append(np.flatnonzero(np.append(True, item[1:] != item[:-1])), len(item)) if len(item) else [0]
+        for x, y in zip(edge[:-1], edge[1:]):
+            i = int(item[x])
+            words, times = items.unique[i]
+            low, high = lo[x:y], hi[x:y]
+            for s, e in _merged(low, high):
+                part = w[s:e]
+                at = np.minimum(np.searchsorted(words, part), len(words) - 1)
+                own = words[at] == part
+                if np.minimum(np.bincount(at[own], minlength=len(words)), times).sum() < items.need[i]:
+                    continue
+                held = np.concatenate([[0], np.cumsum(own)])
+                mine = (low >= s) & (high <= e)
+                mine[mine] = held[high[mine] - s] - held[low[mine] - s] >= items.need[i]
+                if mine.any():
+                    for b, f in _merged(low[mine], high[mine]):
+                        yield i, b, f
+
+
+def _aligned(items: Items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
         get = items.vocab.get
         for whole in batches:
             for b in small_batches(whole):
-                ids, starts, parts, grams, numbers = [], [], [], [], []
+                docs, keys, matched, length, last = [], [], [], [], []
                 for doc, text in zip(b.column("doc_id").to_pylist(), b.column("t").to_pylist()):
                     if not text:
                         continue
@@ -154,80 +219,32 @@ def _passages(items: Items):
                         np.fromiter(map(get, ws, repeat(0)), dtype=np.int32, count=len(ws)) for ws in words_of(text)
                     ]
                     w = blocks[0] if len(blocks) == 1 else np.concatenate(blocks)
-                    place, gram = items.hits(w)
-                    if not len(place):
-                        continue
-                    lo = np.maximum(place - items.left[gram], 0)
-                    hi = np.minimum(place + items.right[gram], len(w))
-                    order = np.argsort(lo, kind="stable")
-                    place, gram, lo, hi = place[order], gram[order], lo[order], hi[order]
-                    reach = np.maximum.accumulate(hi)
-                    cut = np.flatnonzero(np.append(True, lo[1:] > reach[:-1]))
-                    for a, z in zip(cut, np.append(cut[1:], len(lo))):
-                        number += 1
-                        numbers.append(number)
-                        ids.append(doc)
-                        starts.append(int(lo[a]))
-                        parts.append(w[lo[a]: reach[z - 1]].tobytes())
-                        grams.append(np.unique(gram[a:z]))
-                if ids:
+                    for i, start, stop in _passages(items, w):
+                        item, part = items.words[i], w[start:stop]
+                        got, end = verbatim(item, part) or align(item, part)
+                        if got >= items.need[i]:
+                            docs.append(doc)
+                            keys.append(items.keys[i])
+                            matched.append(got)
+                            length.append(len(item))
+                            last.append(start + end - 1)
+                if docs:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(numbers, pa.int64()), pa.array(ids, pa.int64()), pa.array(starts, pa.int64()),
-                         pa.array(parts, pa.binary()), pa.array(grams, pa.list_(pa.int64()))],
-                        ["passage", "doc_id", "start", "part", "grams"],
+                        [pa.array(docs, pa.int64()), pa.array(keys, pa.int64()), pa.array(matched, pa.int64()),
+                         pa.array(length, pa.int64()), pa.array(last, pa.int64())],
+                        ["doc_id", "item_id", "matched", "item_words", "last_word"],
                     )
 
     return run
 
 
-def _aligned(items: Items, threshold: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            docs, keys, matched, length, last = [], [], [], [], []
-            for doc, start, part, i in zip(*(b.column(c).to_pylist() for c in ("doc_id", "start", "part", "item"))):
-                text, item = np.frombuffer(part, dtype=np.int32), items.words[i]
-                at = part.find(item.tobytes())
-                if at >= 0 and at % 4 == 0:
-                    got, end = len(item), at // 4 + len(item)  # a verbatim copy: nothing aligns better
-                else:
-                    got, end = align(item, text)
-                if got >= threshold * len(item) - 1e-9:
-                    docs.append(doc)
-                    keys.append(items.keys[i])
-                    matched.append(got)
-                    length.append(len(item))
-                    last.append(start + end - 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(keys, pa.int64()), pa.array(matched, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(last, pa.int64())],
-                ["doc_id", "item_id", "matched", "item_words", "last_word"],
-            )
-
-    return run
-
-
-def _block(store: Store, docs: DataFrame, items: Items, threshold: float) -> DataFrame:
-    spark = docs.sparkSession
-    found = store.put(docs.mapInArrow(
-        _passages(items), "passage bigint, doc_id bigint, start bigint, part binary, grams array<bigint>"
-    ))
-    holds = found.select("passage", F.explode("grams").alias("gram"))
-    seen = store.put(holds.groupBy("gram").agg(F.count(F.lit(1)).alias("passages")))
-    number = np.searchsorted(items.sorted, items.gram)
-    grams = spark.createDataFrame(
-        pa.table({"item": items.item.astype(np.int64), "pos": items.pos.astype(np.int64),
-                  "gram": number.astype(np.int64)})
-    )
-    near = Window.partitionBy("item").orderBy("pos").rowsBetween(0, SPREAD - 1)
-    seeds = store.put(
-        grams.join(seen, "gram")
-        .select("item", F.min(F.struct("passages", "pos", "gram")).over(near)["gram"].alias("gram")).distinct()
-    )
-    pairs = holds.join(seeds, "gram").select("passage", "item").distinct()
-    return pairs.join(found.drop("grams"), "passage").select("doc_id", "start", "part", "item").mapInArrow(
-        _aligned(items, threshold),
-        "doc_id bigint, item_id bigint, matched bigint, item_words bigint, last_word bigint",
-    )
+def verbatim(item: np.ndarray, text: np.ndarray) -> tuple[int, int] | None:
+    """(matched words, end in text) of the first whole copy: nothing aligns better."""
+    raw, want, at = text.tobytes(), item.tobytes(), -1
+    while (at := raw.find(want, at + 1)) >= 0:
+        if at % 4 == 0:
+            return len(item), at // 4 + len(item)
+    return None
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -239,10 +256,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     least ``threshold`` of the item's words: doc_id, item_id, item_words,
     matched, score (matched / item_words), last_word (where the alignment
     ends, in words from 0; the first such place). Case and punctuation don't
-    count. A copy is found if it keeps n + SPREAD - 1 words in a row.
+    count. Every copy that keeps so many words and is edited (words replaced,
+    missing or put in) in no more places than it may lose words is found, at
+    0.8 in a fifth as many places as the item has words; with words put in at
+    yet more places a copy is found if a run of ``gram_size`` words is left.
 
-    Items of fewer than ``n`` words must stand whole; null, empty and
-    word-less items and texts match nothing. Repeated rows add nothing: rows
+    Null, empty and word-less items and texts match nothing. Repeated rows add nothing: rows
     that share an id count as one document (or item). Leaks of rows with a
     null id are returned with that null. An empty table on either side gives
     an empty result. Other columns are not read.
@@ -255,7 +274,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     out = None
     for k in range(blocks):
         rows = bench.where(F.pmod(F.xxhash64("k", "t"), F.lit(blocks)) == k).orderBy("k", "t").collect()
-        part = _block(store, src, Items([tuple(r) for r in rows], n), threshold)
+        items = Items([tuple(r) for r in rows], n, threshold)
+        part = store.put(src.mapInArrow(
+            _aligned(items), "doc_id bigint, item_id bigint, matched bigint, item_words bigint, last_word bigint"
+        ))
         out = part if out is None else out.unionByName(part)
     best = out.groupBy("doc_id", "item_id").agg(
         F.max(F.struct(F.col("matched") / F.col("item_words"), "matched", "item_words", -F.col("last_word"))).alias("b")
