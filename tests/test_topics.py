@@ -52,3 +52,13 @@ def test_coherence_matches_brute_force(spark):
     want = brute_cv(docs, tw, 3)
     for t in want:
         assert abs(got[t] - want[t]) < 1e-9
+
+
+def test_no_term_is_dropped(spark):
+    n = (1 << 18) + 100
+    docs = spark.range(4).selectExpr("id AS doc_num", f"transform(sequence(id, {n - 1}, 4), x -> concat('t', x)) AS tokens")
+    lda, cv, vec = topics.fit_topics(docs, "tokens", k=2, max_iter=1)
+    assert len(cv.vocabulary) == n == lda.vocabSize()
+    assert sum(r.features.values.sum() for r in vec.collect()) == n
+    words = topics.topic_words(lda, cv, 5).collect()
+    assert len(words) == 10 and {r.term for r in words} <= set(cv.vocabulary)

@@ -17,11 +17,15 @@ EPS = 1e-12
 
 
 def fit_topics(docs: DataFrame, tokens: str = "tokens", k: int = 4, max_iter: int = 10, seed: int = 42,
-               vocab_size: int = 1 << 18):
-    """Fit LDA; returns ``(lda_model, count_vectorizer_model, vectors)``."""
+               vocab_size: int | None = None):
+    """Fit LDA; returns ``(lda_model, count_vectorizer_model, vectors)``.
+
+    All terms count, unless ``vocab_size`` asks for the most frequent only."""
     from pyspark.ml.clustering import LDA
     from pyspark.ml.feature import CountVectorizer
 
+    if vocab_size is None:
+        vocab_size = max(1, docs.select(F.explode(tokens).alias("term")).agg(F.count_distinct("term")).first()[0])
     cv = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocab_size, minDF=1.0).fit(docs)
     vec = cv.transform(docs)
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", optimizeDocConcentration=True,
@@ -31,9 +35,11 @@ def fit_topics(docs: DataFrame, tokens: str = "tokens", k: int = 4, max_iter: in
 
 def topic_words(lda, cv, n: int = 10) -> DataFrame:
     """``(topic, rank, term, weight)``: each topic's ``n`` heaviest terms."""
-    spark = lda.describeTopics(n).sparkSession
-    vocab = spark.createDataFrame(list(enumerate(cv.vocabulary)), "term_index int, term string")
-    t = lda.describeTopics(n).select(
+    described = lda.describeTopics(n)
+    used = sorted({i for r in described.select("termIndices").collect() for i in r[0]})  # n a topic at most
+    terms = cv.vocabulary
+    vocab = described.sparkSession.createDataFrame([(i, terms[i]) for i in used], "term_index int, term string")
+    t = described.select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("pos", "tw")
     )
     t = t.select(
