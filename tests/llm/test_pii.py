@@ -106,6 +106,14 @@ def test_single_mentions_of_a_name():
     assert one("ask john@Smith.org for Mr. Smith") == [("email", "john@smith.org"), ("surname latin", "Smith")]
 
 
+def test_cards_by_check_digit_writing_or_word():
+    assert one("thouen 3627072101032238 this 4183418637171908.") == []
+    for text in ["4041894974608795", "4183 4186 3717 1908", "5183-4186-3717-1908", "my Visa: 4183418637171908",
+                 "Kreditkarte Nr. 4183418637171908"]:
+        assert [k for k, _ in one(f"so {text} it")] == ["card"], text
+    assert one("discard 4183418637171908 and 4183 4186-3717 1908") == []
+
+
 def rows_of(spark, texts):
     return spark.createDataFrame([(i, t, "x", [i]) for i, t in texts], "doc_id bigint, text string, _found string, t array<bigint>")
 

@@ -83,6 +83,11 @@ _NUMBER = re.compile(
     r"|(?P<card>(?<![\d.-])(?:\d{4}[ -]){3}\d{1,7}(?!\d|-\d)|(?<!\d)\d{13,19}(?!\d))"
 )
 _NAME_START = re.compile(rf"\b({_CAP}[\w'’-]*)(\.?) (?={_CAP})")
+# Before a number whose check digit fails, or in its writing, this tells a card.
+_CARD_WORD = re.compile(r"(?i)\b(?:(?:credit|debit|bank|master|kredit|giro)?(?:card|karte|carte|tarjeta)s?"
+                        r"|kartennummer|visa|amex|карт[аыуе])\b")
+_CARD_GROUPS = re.compile(r"[3-6]\d{3}([ -])\d{4}\1\d{4}\1\d{4}")
+_CARD_REACH = 32
 # Up to three words; initials between them belong to the name and stay.
 _NAME = re.compile(rf"{_CAP}[\w'’-]*[\w](?:(?: {_CAP}\.){{0,2}} {_CAP}[\w'’-]*[\w]){{0,2}}")
 _HEAD = re.compile(r"\w+")
@@ -106,7 +111,7 @@ def script_of(word: str) -> str:
     return "cyrillic" if "Ѐ" <= c <= "ӿ" else "greek" if "Ͱ" <= c <= "Ͽ" else "latin"
 
 
-def _number(kind: str, raw: str) -> str | None:
+def _number(kind: str, raw: str, before: str = "") -> str | None:
     """Canonical value of a number-like match, or None if it is none of its type."""
     digits = re.sub(r"\D", "", raw)
     if kind == "phone":
@@ -117,7 +122,11 @@ def _number(kind: str, raw: str) -> str | None:
         parts = raw.split(".")
         return raw if all(int(p) <= 255 and str(int(p)) == p for p in parts) else None
     if kind == "card":
-        return digits if 13 <= len(digits) <= 19 and (luhn(digits) or len(digits) == 16 and digits[0] in "3456") else None
+        if not 13 <= len(digits) <= 19:
+            return None
+        if luhn(digits) or _CARD_GROUPS.fullmatch(raw):
+            return digits
+        return digits if len(digits) == 16 and digits[0] in "3456" and _CARD_WORD.search(before) else None
     return digits
 
 
@@ -154,9 +163,10 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             lo, hi = max(0, run.start() - 2), min(len(text), run.end() + 2)
             part = text[lo:hi]
             for m in _NUMBER.finditer(part):
-                canon = _number(m.lastgroup, m[0])
+                at = lo + m.start()
+                canon = _number(m.lastgroup, m[0], text[max(0, at - _CARD_REACH): at])
                 if canon is not None:
-                    found.append((lo + m.start(), lo + m.end(), m.lastgroup, canon))
+                    found.append((at, lo + m.end(), m.lastgroup, canon))
     end, persons = 0, {}  # words of names found: (type, canonical value)
     for m in _NAME_START.finditer(text):
         if m.start() < end:
