@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from textquarry.session import read_table
 
 from . import (
+    alignment,
     chat,
     decontaminate,
     embedding_dedup,
@@ -16,9 +17,11 @@ from . import (
     licenses,
     mixing,
     pii,
+    sharding,
     simhash_dedup,
     substring_dedup,
     token_counts,
+    whitening,
 )
 
 
@@ -80,6 +83,27 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse(read_table(spark, sf_dir, "conversations"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight leading whitened components of all embeddings."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of even bytes, tokens and rows."""
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
+    """Token groups and links of all documents, between the byte-level BPE of 50,257
+    tokens and the pieces of 32,000 unless other paths are given."""
+    if a_path is None or b_path is None:
+        import public_tokenizers
+
+        a_path = a_path or public_tokenizers.path("byte_bpe_50k.json")
+        b_path = b_path or public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(read_table(spark, sf_dir, "documents"), str(a_path), str(b_path))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -91,6 +115,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_chat_format": op10_chat_format,
+    "op11_whitening": op11_whitening,
+    "op12_sharding": op12_sharding,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
