@@ -8,11 +8,12 @@ columns of any name pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textquarry.llm import decontaminate, language_id, mixing, pii, simhash_dedup
 from textquarry.llm.common import Store, fresh
+from textquarry.operators.joins import checked_broadcast
 from textquarry.session import read_table
 
 
@@ -29,31 +30,47 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return scored.where(F.col(f"{name}.lang") != language_id.UND).drop(name)
 
 
+def _numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written once with a number for every row, and the number's name.
+
+    Decisions name rows, not documents: rows may share a doc_id or have none.
+    The numbers are read back, so they stay whatever is computed again.
+    """
+    row = fresh(docs.columns, "_row")
+    return Store(spark, "rows").put(docs.withColumn(row, F.monotonically_increasing_id())), row
+
+
+def _without(rows: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose numbers aren't in ``dropped``; texts are shuffled only
+    if the numbers are too many to be broadcast."""
+    gone = checked_broadcast(dropped.select(F.col(row).alias("_gone")))
+    return rows.join(gone, rows[row] == gone["_gone"], "left_anti").drop(row)
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest doc_id.
+    """One row of each SimHash group stays: the one with the smallest doc_id.
 
-    Rows that share a doc_id count as one document, of which the smallest
-    row (by text, language, source) stays; rows without a doc_id can't be
-    told apart by the groups and all stay.
+    Rows without a doc_id come after those with one, rows of the same doc_id
+    in the order of a hash of their text. So a text that shares its doc_id
+    with another one stays, and so does exactly one of equal rows.
     """
-    kept = (
-        simhash_dedup.simhash_groups(docs, shingle=4, max_bits=4).where("component_id = doc_id")
-        .select(F.col("doc_id").alias("_kept_id")).distinct()
+    rows, row = _numbered(spark, docs)
+    groups = simhash_dedup.simhash_groups(rows, id_col=row, shingle=4, max_bits=4)
+    named = rows.select(F.col(row).alias("_id"), F.struct(
+        F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64(F.col("text").cast("string")), F.col(row)).alias("_place"))
+    first = (
+        groups.join(named, groups["doc_id"] == named["_id"])
+        .groupBy("component_id").agg(F.min("_place").alias("_place")).select(F.col(f"_place.{row}").alias("_kept"))
     )
-    named = docs.where(F.col("doc_id").isNotNull())
-    chosen = named.join(kept, named["doc_id"] == kept["_kept_id"], "left_semi")
-    n = fresh(docs.columns, "_nth")
-    order = Window.partitionBy("doc_id").orderBy("doc_id", "text", "lang", "source")
-    one = chosen.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).drop(n)
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    dropped = groups.select(F.col("doc_id").alias(row)).join(first, F.col(row) == F.col("_kept"), "left_anti")
+    return _without(rows, row, dropped)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold an item of ``benchmark`` go; rows without a
-    doc_id can't be named as leaks and stay."""
-    found = decontaminate.leaks(docs, read_table(spark, sf_dir, "benchmark"))
-    leaky = found.select(F.col("doc_id").alias("_leaky_id")).distinct()
-    return docs.join(leaky, docs["doc_id"] == leaky["_leaky_id"], "left_anti")
+    """Rows that hold an item of ``benchmark`` go, those without a doc_id as well."""
+    rows, row = _numbered(spark, docs)
+    found = decontaminate.leaks(rows, read_table(spark, sf_dir, "benchmark"), id_col=row)
+    return _without(rows, row, found.select(F.col("doc_id").alias(row)).distinct())
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
