@@ -77,6 +77,32 @@ def test_stages_on_odd_rows(spark):
     assert set(got["mixing"]) <= {-1, 1, 4, 5, 6}
 
 
+def test_rows_that_share_a_doc_id_or_have_none(spark):
+    x, y, z = ("Of the words that stand in this text there are some that nobody knows.",
+               "Another text altogether speaks of rivers and mountains and of what lies between.",
+               "A third one with numbers and names tells nothing about either of the others here.")
+    rows = [(3, x), (5, x), (5, y), (5, y), (None, y), (None, z), (None, z), (7, z + " " + x)]
+    docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = [(r.doc_id, r.text) for r in C.simhash_stage(spark, docs, SMALL).collect()]
+    fps = [(k, brute_fp(t, 4)) for k, (_, t) in enumerate(rows)]
+    groups = collections.defaultdict(list)
+    for (k, _), c in zip(fps, brute_groups(fps, 4)):
+        groups[c].append(rows[k])
+    want = [min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups.values()]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+    assert {(3, x), (5, y), (None, z)} <= set(kept)
+
+
+def test_leaks_without_a_doc_id_go(spark):
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
+    rows = [(None, "before " + item + " after"), (None, "a clean text"), (4, "a clean text"), (4, item)]
+    docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = [(r.doc_id, r.text) for r in C.decontamination_stage(spark, docs, SMALL).collect()]
+    assert sorted(out, key=repr) == [(4, "a clean text"), (None, "a clean text")]
+
+
 def test_registered_run(spark):
     import __spark_entry__ as e
 
