@@ -66,3 +66,29 @@ def test_avg_rank_many_ties_across_partitions(spark):
     count = {v: order.count(v) for v in set(order)}
     for i, v in enumerate(vals):
         assert got[i] == first[v] + (count[v] - 1) / 2.0
+
+
+def test_exact_median_against_sorting(spark):
+    import random
+    import statistics
+
+    r = random.Random(2)
+    groups = {
+        "one": [4.5], "two": [1.0, 2.0], "equal": [3.0] * 50, "odd": [r.gauss(0, 1) for _ in range(1001)],
+        "wide": [r.uniform(-1, 1) * 10.0 ** r.randint(-300, 300) for _ in range(500)], "huge": [-1.7e308, 1.7e308, 5.0],
+        "skew": [1.0] * 700 + [1.0 + i * 1e-15 for i in range(800)], None: [2.0, 8.0, 4.0, 6.0],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("one", None), ("one", float("nan")), ("none", None)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    for buckets in (64, 1024):
+        got = {x.g: x["m"] for x in counts.exact_median(df, ["g"], "v", "m", buckets).collect()}
+        assert got == {**{g: statistics.median(vs) for g, vs in groups.items()}, "none": None}
+    assert counts.exact_median(df.limit(0), ["g"], "v").collect() == []
+
+
+def test_group_summary_keeps_every_group(spark):
+    df = spark.createDataFrame([("a", "x", 1, 2.0), ("a", "x", 2, 4.0), ("a", None, 3, 5.0), ("b", "y", None, None)],
+                               "t string, l string, doc_num long, score double")
+    got = {(r.t, r.l): tuple(r)[2:] for r in counts.group_summary(df, ["t", "l"], "doc_num", "score").collect()}
+    assert got == {("a", "x"): (2, 3.0, 3.0), ("a", None): (1, 5.0, 5.0), ("b", "y"): (0, None, None)}

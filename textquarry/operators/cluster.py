@@ -442,15 +442,15 @@ def with_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFra
 def kmeans_elbow(df: DataFrame, features: str = "features", ks: Sequence[int] = range(2, 21, 2),
                  seed: int = 20) -> DataFrame:
     """``(k, sse)``: k-means training cost for each ``k`` (one fit per k on
-    the cached feature column)."""
+    the feature column; ``df`` should be a stored table, which each fit reads
+    and a lost executor reads again)."""
     from pyspark.ml.clustering import KMeans
 
-    data = df.select(features).cache()
+    data = df.select(features)
     rows = []
     for k in ks:
         model = KMeans(k=k, seed=seed, featuresCol=features).fit(data)
         rows.append((int(k), float(model.summary.trainingCost)))
-    data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k long, sse double")
 
 

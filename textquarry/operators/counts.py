@@ -8,13 +8,14 @@ task before the shuffle and never lands whole in one reducer.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import explode_values, lower_words, strip_non_alnum
-from .joins import anti_join_small
+from .joins import anti_join_small, checked_broadcast
 
 
 def text_source(df: DataFrame, cols: Sequence[str | int], name: str = "text") -> DataFrame:
@@ -98,14 +99,72 @@ def histogram(df: DataFrame, col: str, by: Iterable[str] = (), lo: float = 0.0,
     )
 
 
+def _magnitude(v: Column) -> Column:
+    """Rises with ``v``, by one where its size doubles."""
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.log2(F.abs(v)) + 1100))
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value_col: str, name: str = "median",
+                 buckets: int = 1024) -> DataFrame:
+    """``keys`` and the exact median of ``value_col``, which no task gathers.
+
+    Two order statistics a group (the same one for an odd count) are found by
+    refining histograms: the range of a group is cut into ``buckets``, by size
+    while it spans more than a doubling and evenly below that; each bucket's count, least and largest value are one partially aggregated row,
+    and the range becomes that of the bucket that holds the rank, until all
+    its values are equal. A group that holds most rows thus costs a few counting
+    passes over ``df``, which should be a stored table. Null and NaN values are left out; a group without others has
+    a null median. Null keys are a group.
+    """
+    v = F.col(value_col).cast("double")
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.when(~F.isnan(v), v).alias("_v"))
+    groups = rows.groupBy(*names).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    groups = groups.checkpoint(eager=True)
+    # rank: how many values of the range stand before the one sought
+    open_ = groups.where("_n > 0").select(
+        *names, F.explode(F.array(F.expr("(_n - 1) div 2"), F.expr("_n div 2"))).alias("_place"), "_lo", "_hi",
+    ).distinct().withColumn("_rank", F.col("_place"))
+    found = []
+    while True:
+        found.append(open_.where("_lo = _hi").select(*names, "_place", F.col("_lo").alias("_at")))
+        open_ = open_.where("_lo < _hi")
+        if open_.isEmpty():
+            break
+        side = checked_broadcast(open_.select(*[F.col(n).alias(f"{n}s") for n in names], "_place", "_rank", "_lo", "_hi"))
+        same = functools.reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}s")) for n in names], F.lit(True))
+        low, wide = _magnitude(F.col("_lo")), _magnitude(F.col("_hi")) - _magnitude(F.col("_lo"))
+        share = F.when(wide >= 1, (_magnitude(F.col("_v")) - low) / wide).otherwise(
+            (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")))
+        cells = (
+            rows.join(side, same & (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+            .groupBy(*names, "_place", "_rank", F.least(F.floor(share * buckets), F.lit(buckets - 1)).alias("_b"))
+            .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        )
+        before = F.sum("_c").over(Window.partitionBy(*names, "_place").orderBy("_b")) - F.col("_c")
+        open_ = (
+            cells.withColumn("_before", before).where("_before <= _rank and _rank < _before + _c")
+            .select(*names, "_place", "_lo", "_hi", (F.col("_rank") - F.col("_before")).alias("_rank"))
+            .checkpoint(eager=True)
+        )
+    at = functools.reduce(lambda a, b: a.unionByName(b), found)
+    middle = at.groupBy(*[F.col(n).alias(f"{n}s") for n in names]).agg(F.avg("_at").alias("_m"))
+    on = functools.reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}s")) for n in names], F.lit(True))
+    return groups.join(middle, on, "left").select(*[F.col(n).alias(k) for k, n in zip(keys, names)], F.col("_m").alias(name))
+
+
 def group_summary(df: DataFrame, keys: Sequence[str], count_col: str, value_col: str) -> DataFrame:
     """Count of ``count_col`` and mean/median of ``value_col`` per group,
     with flat column names."""
-    return df.groupBy(*keys).agg(
+    df = df.select(*dict.fromkeys([*keys, count_col, value_col])).checkpoint(eager=True)
+    flat = df.groupBy(*keys).agg(
         F.count(count_col).alias(f"{count_col}_count"),
         F.avg(value_col).alias(f"{value_col}_mean"),
-        F.median(value_col).alias(f"{value_col}_median"),
     )
+    middle = exact_median(df, keys, value_col, f"{value_col}_median")
+    other = middle.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], f"{value_col}_median")
+    on = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_o{i}")) for i, k in enumerate(keys)], F.lit(True))
+    return flat.join(other, on).select(*flat.columns, f"{value_col}_median")
 
 
 def column_variance(df: DataFrame, cols: Sequence[str], name: str = "metric",

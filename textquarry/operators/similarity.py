@@ -107,55 +107,61 @@ def pearson(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
     return out
 
 
-def t_pvalue(r: float | None, n: int) -> float | None:
-    """Two-sided p-value of a Pearson correlation (t test, n-2 degrees).
-
-    With t = sqrt(d) tan(a) the tail of Student's t is the integral of
-    cos(x)**(d-1) from a to pi/2, times a constant. It is taken by
-    Gauss-Legendre quadrature, over the stretch where the integrand is not
-    negligible, with twice the nodes until the value stands.
-    """
-    import numpy as np
-
-    if r is None or n < 3 or math.isnan(r):
-        return None
-    if abs(r) >= 1.0:
-        return 0.0
-    d = n - 2
-    start = math.atan(abs(r) / math.sqrt(1.0 - r * r))
-    # the integrand falls at least like exp(-(d-1) x**2 / 2) and exp(-(d-1) tan(start) x)
-    power = max(d - 1, 1)
-    end = min(math.pi / 2, start + min(12.0 / math.sqrt(power), 60.0 / (power * max(math.tan(start), 1e-12))))
-    if d < 1_000_000:
-        constant = math.lgamma((d + 1) / 2) - math.lgamma(d / 2)
-    else:  # the difference of two large numbers, by its series
-        constant = 0.5 * math.log(d / 2) - 1 / (4 * d)
-    constant += (d - 1) * math.log(math.cos(start)) - 0.5 * math.log(math.pi)
-    before, nodes = None, 32
-    while True:
-        x, w = np.polynomial.legendre.leggauss(nodes)
-        step = (x + 1) * (end - start) / 2
-        # cos(start + step) / cos(start) - 1, without cancellation
-        fall = -2 * np.sin(start + step / 2) * np.sin(step / 2) / math.cos(start)
-        height = np.exp((d - 1) * np.log1p(fall))
-        value = float(w @ height) * (end - start) / 2
-        if before is not None and abs(value - before) <= 1e-11 * value:
-            return min(1.0, 2.0 * math.exp(constant) * value)
-        if nodes > 1024:
-            raise ArithmeticError(f"p-value of r={r}, n={n} did not settle")
-        before, nodes = value, 2 * nodes
+def _log_gamma_step(a: Column) -> Column:
+    """``ln(gamma(a + 1/2) / gamma(a))``: the asymptotic series sixteen steps up,
+    and the quotients of the recurrence on the way."""
+    z = a + 16.0
+    odd = F.lit(1.0) / z
+    series = (
+        0.5 * F.log(z) - odd / 8 + F.pow(odd, 3) / 192 - F.pow(odd, 5) / 640 + F.pow(odd, 7) * (17 / 14336)
+        - F.pow(odd, 9) * (31 / 18432)
+    )
+    steps = F.aggregate(F.sequence(F.lit(0), F.lit(15)), F.lit(0.0), lambda s, j: s + F.log((a + j) / (a + j + 0.5)))
+    return series + steps
+
+
+def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
+    """The continued fraction of the incomplete beta function, folded from its
+    front; of a length at which it has settled left of the mean."""
+    def turn(s, coefficient):
+        d, c = F.lit(1.0) / (1.0 + coefficient * s["d"]), 1.0 + coefficient / s["c"]
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * d * c).alias("h"))
+
+    def term(s, k):
+        m = k.cast("double")
+        s = turn(s, m * (b - m) * x / ((a + 2 * m - 1.0) * (a + 2 * m)))
+        return turn(s, -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1.0)))
+
+    first = F.lit(1.0) / (1.0 - (a + b) * x / (a + 1.0))
+    length = (F.ceil(4 * F.sqrt(F.greatest(a, b))) + 64).cast("int")
+    folded = F.aggregate(F.sequence(F.lit(1), length),
+                         F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("h")), term)
+    return folded["h"]
+
+
+def log_pvalue(r: Column, n: Column) -> Column:
+    """Natural logarithm of the two-sided p-value of a Pearson correlation (t test,
+    n - 2 degrees): ``I_x(d/2, 1/2)`` with ``x = 1 - r^2``. Null without a correlation
+    or with fewer than three rows, minus infinity at a correlation of one."""
+    r = r.cast("double")
+    a, b = (n.cast("double") - 2.0) / 2.0, F.lit(0.5)
+    x, y = (1.0 - r) * (1.0 + r), r * r
+    front = a * F.log1p(-y) + 0.5 * F.log(y) + _log_gamma_step(a) - 0.5 * math.log(math.pi)
+    left = front - F.log(a) + F.log(_beta_fraction(a, b, x))
+    right = F.log1p(-F.exp(front + math.log(2.0)) * _beta_fraction(b, a, y))
+    return (
+        F.when(r.isNull() | F.isnan(r) | (n < 3), None)
+        .when(F.abs(r) >= 1.0, F.lit(float("-inf"))).when(r == 0.0, F.lit(0.0))
+        .when(x < (a + 1.0) / (a + 2.5), left).otherwise(right)
+    )
 
 
 def with_pvalue(corr: DataFrame) -> DataFrame:
-    """Add ``pvalue`` to a small correlation table (one row per group, e.g.
-    one per permutation count). Its rows are read on the driver (a handful)
-    and the p-value is computed there, so no library code has to be
-    importable on the executors."""
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    schema = StructType(list(corr.schema.fields) + [StructField("pvalue", DoubleType())])
-    rows = [tuple(r) + (t_pvalue(r["correlation"], int(r["n"])),) for r in corr.collect()]
-    return corr.sparkSession.createDataFrame(rows, schema)
+    """Adds ``pvalue`` and its decimal logarithm ``log10_pvalue``, which holds on
+    where the value itself is too small for a double."""
+    log = log_pvalue(F.col("correlation"), F.col("n"))
+    return corr.withColumn("_log", log).select(
+        "*", F.exp("_log").alias("pvalue"), (F.col("_log") / math.log(10.0)).alias("log10_pvalue")).drop("_log")
 
 
 def rank_table(measures: Mapping[str, tuple[DataFrame, str, bool]], key: str = "doc_num") -> DataFrame:

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cluster, features
+from ..operators import cluster, factor, features
 from ..session import read_table
 from .catalog import register
-from .corpus import build_corpus, corpus_ctes
+from .corpus import build_corpus, corpus_ctes, once_per_corpus
 
 R = 6
 EPS = 0.15
@@ -212,3 +212,59 @@ def q_mixed_table_dbscan(spark, sf_dir):
     """DBSCAN on the mixed-table projection."""
     proj = _mixed_projection(spark, sf_dir).select("id", F.col("pc")[0].alias("x"), F.col("pc")[1].alias("y"))
     return cluster.dbscan(proj, MIXED_EPS, MIN_PTS)
+
+
+# -------------------------------------------- the documents themselves (TF-IDF)
+
+DOC_CLUSTERS = 14
+
+
+@once_per_corpus
+def document_rows(spark, sf_dir, c):
+    """TF-IDF rows of the corpus as sparse vectors by term id, written once."""
+    return factor.write_rows(factor.sparse_rows(c.x_tfidf, c.vocab, c.docs), features.FEATURE_CAP)
+
+
+@once_per_corpus
+def document_assignment(spark, sf_dir, c):
+    """``(doc_num, cluster)``: k-means with 14 clusters on the TF-IDF rows, written
+    once, so that keywords, projection and assignment speak of the same fit."""
+    rows = document_rows(spark, sf_dir)
+    return cluster.kmeans_assign(rows, "doc_num", "features", k=DOC_CLUSTERS, seed=20).checkpoint(eager=True)
+
+
+@register("document_elbow")
+def q_document_elbow(spark, sf_dir):
+    return cluster.kmeans_elbow(document_rows(spark, sf_dir), "features", range(2, 21, 2), seed=20)
+
+
+@register("document_clusters")
+def q_document_clusters(spark, sf_dir):
+    return document_assignment(spark, sf_dir)
+
+
+@register("document_keywords")
+def q_document_keywords(spark, sf_dir):
+    """Top 10 terms of every k-means cluster of the documents, by mean TF-IDF."""
+    k = cluster.cluster_keywords(build_corpus(spark, sf_dir).x_tfidf, document_assignment(spark, sf_dir), 10)
+    return k.select("cluster", "term", F.round("mean", R).alias("mean"), "rank")
+
+
+@register("document_components")
+def q_document_components(spark, sf_dir):
+    """Shares of the variance of the ten leading components of the TF-IDF rows."""
+    found = factor.components(document_rows(spark, sf_dir), features.FEATURE_CAP, k=10)
+    shares = [] if found is None else [float(s) for s in found.shares]
+    rows = [(i, s, sum(shares[: i + 1])) for i, s in enumerate(shares)]
+    return spark.createDataFrame(rows, "component long, variance_share double, cumulative double")
+
+
+@register("document_projection")
+def q_document_projection(spark, sf_dir):
+    """300 documents on the two leading components, with their clusters."""
+    rows = document_rows(spark, sf_dir)
+    found = factor.components(rows, features.FEATURE_CAP, k=2)
+    labels = document_assignment(spark, sf_dir)
+    if found is None:
+        return labels.select("doc_num", F.array().cast("array<double>").alias("pc"), "cluster")
+    return cluster.project_sample(factor.project(rows, found), labels, "doc_num", 300)

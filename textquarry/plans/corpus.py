@@ -7,6 +7,7 @@ the target document is the smallest key of the corpus.
 
 from __future__ import annotations
 
+import functools
 import os
 from dataclasses import dataclass
 
@@ -70,6 +71,21 @@ def build_corpus(spark: SparkSession, sf_dir: str, cap: int = features.FEATURE_C
     return _BUILT[key]
 
 
+def once_per_corpus(fn):
+    """``fn(spark, sf_dir, corpus)`` as ``(spark, sf_dir)``, run once for the English
+    corpus of a folder; its result must be a stored table."""
+    made: dict[int, tuple[Corpus, DataFrame]] = {}
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        c = build_corpus(spark, sf_dir)
+        if id(c) not in made:
+            made[id(c)] = c, fn(spark, sf_dir, c)  # the corpus is kept, so its id stays its own
+        return made[id(c)][1]
+
+    return run
+
+
 def _build(spark: SparkSession, sf_dir: str, cap: int, lang: str | None) -> Corpus:
     docs = english_docs(spark, sf_dir, lang)
     stats = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_num").alias("t")).first()

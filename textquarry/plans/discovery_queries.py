@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import insight, related
+from ..operators import cooccur, features, insight, related
 from .catalog import register
-from .corpus import build_corpus, corpus_ctes
+from .corpus import build_corpus, corpus_ctes, once_per_corpus
 
 R = 6
 
@@ -138,6 +138,59 @@ def q_term_similarity(spark, sf_dir):
     return s.select("target_word", "term", F.round("score", R).alias("score"))
 
 
+CO_SQL = "WITH " + corpus_ctes() + """,
+tok AS (SELECT doc_num, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS pos FROM corpus),
+near AS (
+  SELECT a.term AS a, b.term AS b FROM tok a, generate_series(1, 5) g(o), tok b
+  WHERE b.doc_num = a.doc_num AND b.pos = a.pos + o
+    AND a.term IN (SELECT term FROM vocab) AND b.term IN (SELECT term FROM vocab)
+),
+co AS (
+  SELECT term, context, count(*)::BIGINT AS n
+  FROM (SELECT a AS term, b AS context FROM near UNION ALL SELECT b, a FROM near) GROUP BY ALL
+),
+mass AS (SELECT term, sum(n)::DOUBLE AS s FROM co GROUP BY term),
+pmi AS (
+  SELECT term, context, ln(n * (SELECT sum(s) FROM mass) / (a.s * b.s)) AS pmi
+  FROM co JOIN mass a USING (term) JOIN mass b ON b.term = co.context
+)"""
+
+
+@once_per_corpus
+def _cooccurrence(spark, sf_dir, c):
+    return cooccur.cooccurrence(c.docs, c.vocab).checkpoint(eager=True)
+
+
+@once_per_corpus
+def _term_vectors(spark, sf_dir, c):
+    pmi = cooccur.positive_pmi(_cooccurrence(spark, sf_dir))
+    return cooccur.term_vectors(pmi, c.vocab, features.FEATURE_CAP).checkpoint(eager=True)
+
+
+@register("cooccurrence", CO_SQL + "\nSELECT term, context, n FROM co")
+def q_cooccurrence(spark, sf_dir):
+    return _cooccurrence(spark, sf_dir)
+
+
+@register("positive_pmi", CO_SQL + "\nSELECT term, context, round(pmi, 6) AS pmi FROM pmi WHERE pmi > 1e-9")
+def q_positive_pmi(spark, sf_dir):
+    pmi = cooccur.positive_pmi(_cooccurrence(spark, sf_dir)).where("pmi > 1e-9")
+    return pmi.select("term", "context", F.round("pmi", R).alias("pmi"))
+
+
+@register("term_vectors")
+def q_term_vectors(spark, sf_dir):
+    """Term vectors: the 50 leading singular vectors of the positive PMI."""
+    return _term_vectors(spark, sf_dir)
+
+
+@register("term_vector_similarity")
+def q_term_vector_similarity(spark, sf_dir):
+    """Similarity of all terms to the target words by their PMI vectors."""
+    c = build_corpus(spark, sf_dir)
+    return related.term_similarity(_term_vectors(spark, sf_dir), _targets(spark, c), c.vocab)
+
+
 def _related(spark, c, targets):
     vec = _vectors(c)
     related.check_targets(vec, targets)

@@ -207,11 +207,36 @@ def q_minhash_quality(spark, sf_dir):
     return _quality(sweep).select("num_perm", _r("correlation"), "n")
 
 
-@register("minhash_quality_pvalue")
+# The tail of Student's t as an integral of cos^(d-1) by Simpson's rule, less its value at the start.
+PVALUE_SQL = """,
+tail AS (
+  SELECT num_perm, correlation, n, n - 2 AS d, atan(abs(correlation) / sqrt(1 - correlation * correlation)) AS a0
+  FROM quality WHERE correlation IS NOT NULL AND n > 3 AND abs(correlation) < 1 AND correlation <> 0
+),
+span AS (
+  SELECT *, least(pi() / 2, a0 + least(12 / sqrt(d - 1), 60 / ((d - 1) * tan(a0)))) - a0 AS w FROM tail
+),
+node AS (
+  SELECT num_perm, CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+         * exp((d - 1) * ln(greatest(cos(a0 + w * i / 4000), 1e-300) / cos(a0))) * w / 12000 AS part
+  FROM span, generate_series(0, 4000) g(i)
+),
+pv AS (
+  SELECT num_perm, any_value(correlation) AS correlation, any_value(n) AS n,
+         (ln(2) + lgamma((any_value(d) + 1) / 2) - lgamma(any_value(d) / 2) - 0.5 * ln(pi())
+          + (any_value(d) - 1) * ln(cos(any_value(a0))) + ln(sum(part))) AS lp
+  FROM span JOIN node USING (num_perm) GROUP BY num_perm
+)
+SELECT num_perm, round(correlation, 6) AS correlation, n, round(exp(lp), 6) AS pvalue, round(lp / ln(10), 4) AS log10_pvalue
+FROM pv"""
+
+
+@register("minhash_quality_pvalue", _with(corpus_ctes(), sim_ctes("xclip"), _minhash_ctes()) + PVALUE_SQL)
 def q_minhash_quality_pvalue(spark, sf_dir):
-    """Adds the two-sided p-value (t distribution); no SQL oracle."""
+    """Adds the two-sided p-value (t distribution) and its decimal logarithm."""
     _, sweep = _mh_base(spark, sf_dir)
-    return similarity.with_pvalue(_quality(sweep)).orderBy(F.col("num_perm").desc())
+    q = similarity.with_pvalue(_quality(sweep))
+    return q.select("num_perm", _r("correlation"), "n", _r("pvalue"), F.round("log10_pvalue", 4).alias("log10_pvalue"))
 
 
 @register(
