@@ -20,15 +20,16 @@ def fit_topics(docs: DataFrame, tokens: str = "tokens", k: int = 4, max_iter: in
                vocab_size: int | None = None):
     """Fit LDA; returns ``(lda_model, count_vectorizer_model, vectors)``.
 
-    All terms count, unless ``vocab_size`` asks for the most frequent only."""
+    All terms count, unless ``vocab_size`` asks for the most frequent only. Each of
+    the ``max_iter`` passes reads all documents, from vectors stored once."""
     from pyspark.ml.clustering import LDA
     from pyspark.ml.feature import CountVectorizer
 
     if vocab_size is None:
         vocab_size = max(1, docs.select(F.explode(tokens).alias("term")).agg(F.count_distinct("term")).first()[0])
     cv = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocab_size, minDF=1.0).fit(docs)
-    vec = cv.transform(docs)
-    lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", optimizeDocConcentration=True,
+    vec = cv.transform(docs).checkpoint(eager=True)
+    lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", optimizeDocConcentration=True, subsamplingRate=1.0,
               featuresCol="features").fit(vec)
     return lda, cv, vec
 
