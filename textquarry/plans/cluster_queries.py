@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cluster, factor, features
+from ..operators import cluster, factor, features, linkage
 from ..session import read_table
 from .catalog import register
 from .corpus import build_corpus, corpus_ctes, once_per_corpus
@@ -181,11 +181,11 @@ def q_project_sample(spark, sf_dir):
     return cluster.project_sample(proj, labels, "id", 300)
 
 
-def _mixed_projection(spark, sf_dir):
-    """Mixed-table projection: documents with their labels, key and list
-    columns dropped, every string column label-encoded (full texts
-    included), all columns standardised, then a centred 2-D PCA. Documents
-    with a null in any column (those without labels) are dropped first."""
+def _mixed_table(spark, sf_dir):
+    """Documents with their labels, key and list columns dropped, every string
+    column label-encoded (full texts included), all columns standardised.
+    Documents with a null in any column (those without labels) are dropped
+    first. Returns the table with its key, and the columns."""
     from ..operators import filters
 
     d = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id", "left")
@@ -196,7 +196,12 @@ def _mixed_projection(spark, sf_dir):
     strings = [f.name for f in kept.schema.fields if f.dataType.simpleString() == "string"]
     enc = features.label_encode(key, strings)
     cols = [c for c in kept.columns]
-    std = features.standardize(enc, cols)
+    return features.standardize(enc, cols), cols
+
+
+def _mixed_projection(spark, sf_dir):
+    """The mixed table on its two leading components, centred."""
+    std, cols = _mixed_table(spark, sf_dir)
     vec = cluster.with_vector(std.select(F.col("doc_id").alias("id"), F.array(*[F.col(c) for c in cols]).alias("v")), "v")
     proj, _ = cluster.pca(vec, "id", k=2)
     return proj
@@ -214,6 +219,19 @@ def q_mixed_table_dbscan(spark, sf_dir):
     return cluster.dbscan(proj, MIXED_EPS, MIN_PTS)
 
 
+@register("ward_merges")
+def q_ward_merges(spark, sf_dir):
+    """Ward's merges of the mixed table without its source and without its text."""
+    std, cols = _mixed_table(spark, sf_dir)
+    std = std.checkpoint(eager=True)
+    parts = []
+    for left_out in ("source", "text"):
+        v = F.array(*[F.col(c).cast("double") for c in cols if c != left_out])
+        cf = linkage.clustering_features(std.select(v.alias("v")))
+        parts.append(cf.withColumn("subset", F.lit(f"without {left_out}")))
+    return linkage.ward_merges(parts[0].unionByName(parts[1]))
+
+
 # -------------------------------------------- the documents themselves (TF-IDF)
 
 DOC_CLUSTERS = 14
