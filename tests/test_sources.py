@@ -2,7 +2,10 @@ import datetime
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from textquarry.functions.stopwords import full_stopwords
+from textquarry.sources import papers as P
 from textquarry.sources import load_corpus, paper_documents, read_metadata, read_papers
 
 META = '''idx,sha,title,doi,pubmed_id,authors,journal,publish_time,abstract,url
@@ -121,3 +124,37 @@ def test_load_corpus_with_language_profiles(spark, tmp_path):
     c = load_corpus(spark, str(tmp_path / "meta.csv"), str(tmp_path / "papers"), full_stopwords(), profiles=prof)
     langs = {r.paper_id: r.language for r in c.collect()}
     assert set(langs.values()) <= {"en"}
+
+
+def test_bad_files_name_path_and_reason(spark, tmp_path):
+    import json
+
+    good = {"paper_id": "a", "metadata": {"title": None}, "abstract": [], "body_text": [{"text": "x"}]}
+    files = {
+        "good": json.dumps(good), "cut": json.dumps(good)[:20], "list": "[1, 2]", "blank": " ",
+        "no_id": json.dumps({k: v for k, v in good.items() if k != "paper_id"}),
+        "no_meta": json.dumps({k: v for k, v in good.items() if k != "metadata"}),
+        "no_title": json.dumps(good | {"metadata": {}}), "null_id": json.dumps(good | {"paper_id": None}),
+        "null_body": json.dumps(good | {"body_text": None}), "section": json.dumps(good | {"abstract": [{"text": None}]}),
+    }
+    (tmp_path / "deep").mkdir()
+    for name, text in files.items():
+        (tmp_path / ("deep" if len(name) % 2 else ".") / f"{name}.json").write_text(text)
+    bad = {r.path.rsplit("/", 1)[1][:-5]: r for r in P.bad_files(spark, str(tmp_path)).collect()}
+    assert {n: r.reason for n, r in bad.items()} == {
+        "cut": "not a JSON object", "list": "not a JSON object", "blank": "not a JSON object", "no_id": "no paper_id",
+        "no_meta": "no metadata", "no_title": "no metadata.title", "null_id": "paper_id is null or of another type",
+        "null_body": "body_text is null or of another type", "section": "abstract has a section without text",
+    }
+    assert all(r.bytes == len(files[n]) for n, r in bad.items())
+    assert [r.paper_id for r in P.read_papers(spark, str(tmp_path)).collect()] == ["a"]
+
+
+def test_written_papers_read_back(spark, tmp_path):
+    rows = [("1", 'a "title",\nof two lines', "", "body\ntext"), ("2", None, "x", 'q"uote, é')]
+    df = spark.createDataFrame(rows, "paper_id string, title string, abstract string, body_text string")
+    P.write_papers(df, f"{tmp_path}/p")
+    assert sorted(map(tuple, P.read_papers(spark, f"{tmp_path}/p", ".txt").collect())) == rows
+    P.write_metadata(df.select(F.col("paper_id").cast("bigint").alias("n"), "title", "abstract", "body_text"), f"{tmp_path}/m")
+    got = sorted(map(tuple, P.read_metadata(spark, f"{tmp_path}/m").collect()))
+    assert got == [(1, rows[0][1], None, "body\ntext"), (2, None, "x", 'q"uote, é')]

@@ -44,6 +44,7 @@ def _load_all() -> None:
         model_queries,
         pattern_queries,
         similarity_queries,
+        source_queries,
         text_queries,
     )
 

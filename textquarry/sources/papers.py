@@ -64,32 +64,37 @@ def read_metadata(spark: SparkSession, path: str, columns: Iterable[str] | None
     return raw.select(*cols)
 
 
-def read_papers(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
-    """``(paper_id, title, abstract, body_text)`` from nested paper JSON.
-
-    A file is skipped when it is not valid JSON, when ``paper_id``,
-    ``abstract``, ``body_text`` or ``metadata.title`` is absent, when
-    ``paper_id`` is null, or when a section entry has no text. A present
-    but null title is kept. Section texts are joined with newlines.
-    """
+def _parsed_papers(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """One row a file: its path, size, parsed paper ``p`` and ``reason``, null for a usable one."""
     # (``text()`` has its own ``wholetext=False`` default, so it is passed here.)
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
     parsed = files.select(
-        F.col("value").alias("raw"),
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"),
         F.from_json("value", PAPER_SCHEMA, {"mode": "PERMISSIVE"}).alias("p"),
         F.json_object_keys("value").alias("keys"),
         F.json_object_keys(F.get_json_object("value", "$.metadata")).alias("meta_keys"),
     )
-    ok = (
-        F.col("keys").isNotNull()
-        & F.array_contains("keys", "paper_id") & F.array_contains("keys", "abstract")
-        & F.array_contains("keys", "body_text") & F.array_contains("keys", "metadata")
-        & F.coalesce(F.array_contains("meta_keys", "title"), F.lit(False))
-        & F.col("p.paper_id").isNotNull() & F.col("p.abstract").isNotNull() & F.col("p.body_text").isNotNull()
-        & ~F.exists("p.abstract", lambda s: s["text"].isNull())
-        & ~F.exists("p.body_text", lambda s: s["text"].isNull())
-    )
-    return parsed.where(ok).select(
+    reason = F.when(F.col("keys").isNull(), "not a JSON object")
+    for key in ("paper_id", "abstract", "body_text", "metadata"):
+        reason = reason.when(~F.array_contains("keys", key), f"no {key}")
+    reason = reason.when(~F.coalesce(F.array_contains("meta_keys", "title"), F.lit(False)), "no metadata.title")
+    for key in ("paper_id", "abstract", "body_text"):
+        reason = reason.when(F.col(f"p.{key}").isNull(), f"{key} is null or of another type")
+    for key in ("abstract", "body_text"):
+        reason = reason.when(F.exists(f"p.{key}", lambda s: s["text"].isNull()), f"{key} has a section without text")
+    return parsed.select("path", "bytes", "p", reason.alias("reason"))
+
+
+def read_papers(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
+    """``(paper_id, title, abstract, body_text)`` from nested paper JSON.
+
+    A file is skipped when it is not valid JSON, when ``paper_id``,
+    ``abstract``, ``body_text`` or ``metadata.title`` is absent, when
+    ``paper_id`` is null, or when a section entry has no text. A present
+    but null title is kept. Section texts are joined with newlines. What is
+    skipped, and why, is told by ``bad_files``.
+    """
+    return _parsed_papers(spark, path, suffix).where(F.col("reason").isNull()).select(
         F.col("p.paper_id").alias("paper_id"),
         F.col("p.metadata.title").alias("title"),
         F.array_join(F.transform("p.abstract", lambda s: s["text"]), "\n").alias("abstract"),
@@ -97,6 +102,30 @@ def read_papers(spark: SparkSession, path: str, suffix: str = ".json") -> DataFr
     )
 
 
+def bad_files(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
+    """``(path, bytes, reason)`` of every file that ``read_papers`` skips: the
+    first of its reasons, in the order of the checks. Files of no bytes at all are
+    not listed, as Spark's file sources pass them over."""
+    return _parsed_papers(spark, path, suffix).where(F.col("reason").isNotNull()).select("path", "bytes", "reason")
+
+
+def write_papers(papers: DataFrame, path: str) -> None:
+    """One file a paper (``paper_id, title, abstract, body_text``), below a folder
+    named by its id, as ``read_papers`` reads them with ``suffix='.txt'``; a column
+    ``raw``, if there is one, is written instead where it isn't null."""
+    section = [F.array(F.struct(F.col(c).alias("text"))).alias(c) for c in ("abstract", "body_text")]
+    value = F.to_json(F.struct("paper_id", F.struct("title").alias("metadata"), *section), {"ignoreNullFields": "false"})
+    if "raw" in papers.columns:
+        value = F.coalesce("raw", value)
+    papers.select(F.col("paper_id").alias("paper"), value.alias("value")).write.partitionBy("paper").text(path)
+
+
+def write_metadata(meta: DataFrame, path: str) -> None:
+    """Metadata as ``read_metadata`` reads it; the first column is the row index."""
+    meta.write.option("header", True).option("quoteAll", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
 DOCUMENT_COLUMNS = ("paper_id", "publish_time", "doi", "abstract", "body_text", "authors", "title", "journal",
                     "abstract_summary")
 
@@ -130,7 +159,7 @@ def paper_documents(papers: DataFrame, meta: DataFrame, strict: bool = False) ->
 
 
 def load_corpus(spark: SparkSession, meta_path: str, papers_path: str, stopwords,
-                profiles: DataFrame | None = None, lang: str | None = "en") -> DataFrame:
+                profiles: DataFrame | None = None, lang: str | None = "en", suffix: str = ".json") -> DataFrame:
     """Metadata + papers -> document table -> language -> cleaned text ->
     ``doc_num`` (0-based, in ``paper_id`` order).
 
@@ -142,7 +171,7 @@ def load_corpus(spark: SparkSession, meta_path: str, papers_path: str, stopwords
 
     if lang is not None and profiles is None:
         raise ValueError("keeping one language needs language profiles; pass lang=None to keep all documents")
-    doc = paper_documents(read_papers(spark, papers_path), read_metadata(spark, meta_path))
+    doc = paper_documents(read_papers(spark, papers_path, suffix), read_metadata(spark, meta_path))
     if lang is not None:
         pred = identify_language(doc, "paper_id", "body_text", profiles, summary="abstract_summary").select(
             "paper_id", F.col("lang_pred").alias("language")
