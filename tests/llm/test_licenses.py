@@ -26,10 +26,17 @@ def brute(text, templates=L.TEMPLATES, phrases=L.PHRASES, threshold=0.8):
         for t in ts:
             tw = split(t)
             for b in range(0, max(1, len(w)), len(tw)):
-                c = len(set(tw) & set(w[b: b + 2 * len(tw)])) / len(set(tw))
-                if c >= threshold - 1e-9:
-                    labels.add(label)
-                    best = max(best, c)
+                pieces = [[]]
+                for x in w[b: b + 2 * len(tw)]:
+                    if x in L.BARRED.get(label, ()):
+                        pieces.append([])
+                    else:
+                        pieces[-1].append(x)
+                for piece in pieces:
+                    c = len(set(tw) & set(piece)) / len(set(tw))
+                    if c >= threshold - 1e-9 and all(g & set(piece) for g in L.NEEDED.get(label, ())):
+                        labels.add(label)
+                        best = max(best, c)
     places = [i for v in at.values() for i in v]
     return (len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(at)),
             ",".join(sorted(set(at) | labels)), 1.0 if places else best)
@@ -54,6 +61,19 @@ def test_documents_match_plain_scan(spark):
     assert L.scan_licenses(df.limit(0)).collect() == []
 
 
+def test_a_notice_has_its_own_label_only(spark):
+    rows = [(label, f"{lead} {t} {lead}") for label, ts in L.TEMPLATES.items() for t in ts for lead in ("", "words about this file")]
+    rows += [("cc by", "Licensed under CC BY 4.0"), ("cc by nc", "This page is licensed under a Creative Commons "
+             "Attribution-NonCommercial 4.0 International License, see there"),
+             ("cc by nc sa", "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+             ("cc by,cc by nc", "Licensed under CC BY-NC 4.0 and some parts Licensed under CC BY 4.0"),
+             ("", "licensed under a contract by NC")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.scan_licenses(df, phrases={}).collect()}
+    assert [got[i].labels for i in range(len(rows))] == [label for label, _ in rows]
+    assert [got[i].score >= 0.8 for i in range(len(rows))] == [bool(label) for label, _ in rows]
+
+
 def test_whole_table(spark):
     from textquarry.llm.queries import QUERIES
 

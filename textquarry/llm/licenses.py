@@ -11,6 +11,11 @@ of the template's first |T| - ceil(threshold |T|) + 1 words (prefix filter),
 enough words at all (length filter), and enough of the template after the
 first common word (positional filter); what passes is counted exactly.
 
+Licenses of a family differ by a word or two, which the threshold alone would
+let pass. So a label can have words of which a match must hold one each, and
+words that belong to its sisters: blocks are cut at these, and a
+piece has to contain the template by itself.
+
 Short phrases are templates of which every word is needed, in its place:
 their rarest word leads to the places, which are then compared word by word.
 """
@@ -58,9 +63,14 @@ TEMPLATES = {
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ],
-    "cc by nc": ["Licensed under CC BY-NC 4.0", "licensed under a Creative Commons Attribution NonCommercial 4.0 "
-                                               "International License"],
-    "cc by": ["licensed under a Creative Commons Attribution 4.0 International License"],
+    "lgpl": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation",
+    ],
+    "agpl": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation",
+    ],
     "isc": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
@@ -68,6 +78,22 @@ TEMPLATES = {
     "unlicense": ["This is free and unencumbered software released into the public domain"],
 }
 
+# The Creative Commons family: the elements that go with attribution, and the words for each.
+_ELEMENTS = {"nc": ("NonCommercial", {"nc", "noncommercial", "commercial"}), "sa": ("ShareAlike", {"sa", "sharealike"}),
+             "nd": ("NoDerivatives", {"nd", "noderivatives", "noderivs"})}
+# Of each group a match holds a word (needed), and none of the others (barred).
+NEEDED = {"lgpl": [{"lesser", "library"}], "agpl": [{"affero"}]}
+BARRED = {"gpl": {"lesser", "affero"}, "lgpl": {"affero"}, "agpl": {"lesser"}}
+for _with in ((), ("nc",), ("sa",), ("nd",), ("nc", "sa"), ("nc", "nd")):
+    _label = " ".join(["cc by", *_with])
+    _names = "".join(f"-{_ELEMENTS[e][0]}" for e in _with)
+    TEMPLATES[_label] = [
+        f"Licensed under {'-'.join(['CC BY', *(e.upper() for e in _with)])} 4.0",
+        f"licensed under a Creative Commons Attribution{_names} 4.0 International License",
+    ]
+    NEEDED[_label] = [_ELEMENTS[e][1] for e in _with]
+    BARRED[_label] = set().union(*(words for e, (_, words) in _ELEMENTS.items() if e not in _with))
+
 # ASCII letters to lower case; every other ASCII sign but digits ends a word.
 _TABLE = bytes(
     c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else c + 32 if 0x41 <= c <= 0x5A else 0x20
@@ -89,13 +115,17 @@ def words_of(text: bytes) -> Iterator[list[bytes]]:
 class Templates:
     """Templates and phrases as word numbers, with the prefixes of a word order."""
 
-    def __init__(self, templates: dict[str, list[str]], phrases: dict[str, str], threshold: float):
+    def __init__(self, templates: dict[str, list[str]], phrases: dict[str, str], threshold: float,
+                 needed: dict[str, list[set[str]]], barred: dict[str, set[str]]):
         split = lambda t: [w for ws in words_of(t.encode()) for w in ws]
         self.notices = [(label, split(t)) for label, ts in sorted(templates.items()) for t in ts]
         self.notices = [(label, ws) for label, ws in self.notices if ws]
         self.phrases = [(label, split(p)) for p, label in sorted(phrases.items())]
         self.threshold = threshold
+        self.needed = {label: [{w.encode() for w in g} for g in groups] for label, groups in needed.items()}
+        self.barred = {label: {w.encode() for w in g} for label, g in barred.items()}
         words = {w for _, ws in self.notices + self.phrases for w in ws}
+        words |= set().union(*self.barred.values(), *(g for groups in self.needed.values() for g in groups))
         self.number = {w: i + 1 for i, w in enumerate(sorted(words))}
 
     def order(self, frequency: dict[bytes, int]) -> Templates:
@@ -103,7 +133,8 @@ class Templates:
         ranked = sorted(self.number, key=lambda w: (frequency.get(w, 0), w))
         rank = {w: i for i, w in enumerate(ranked)}
         n = len(self.number) + 1
-        self.sets = []  # label, length in words, words in the global order, words needed
+        self.sets = []  # label, length in words, words in the global order, how many are needed
+        self.marks = []  # groups of words to hold one of each, and which words cut a block
         self.leads = np.zeros((len(self.notices), n), dtype=bool)  # is a prefix word of the template
         self.any_lead = np.zeros(n, dtype=bool)
         for k, (label, ws) in enumerate(self.notices):
@@ -111,6 +142,9 @@ class Templates:
             need = max(1, math.ceil(self.threshold * len(own) - 1e-9))
             self.leads[k, own[: len(own) - need + 1]] = True
             self.sets.append((label, len(ws), own, need))
+            cut = np.zeros(n, dtype=bool)
+            cut[[self.number[w] for w in self.barred.get(label, ())]] = True
+            self.marks.append(([[self.number[w] for w in g] for g in self.needed.get(label, ())], cut if cut.any() else None))
         self.any_lead = self.leads.any(axis=0)
         self.places = []  # label, word numbers, offset of the rarest word
         for label, ws in self.phrases:
@@ -135,22 +169,27 @@ class Templates:
                 base.add(label)
                 starts.append(start)
         for k, (label, length, own, need) in enumerate(self.sets):
+            groups, barred = self.marks[k]
             hit = lead[self.leads[k][at_lead]]
             blocks = np.unique(hit // length)
             for b in np.unique(np.concatenate([blocks, blocks[blocks > 0] - 1])):
-                part = ids[b * length: (b + 2) * length]
-                if len(part) < need:  # length filter: too few words for the overlap
-                    continue
-                there = np.zeros(len(self.number) + 1, dtype=bool)
-                there[part] = True
-                common = there[own]
-                first = int(common.argmax())
-                if not common[first] or len(own) - first < need:  # positional filter
-                    continue
-                got = int(common.sum())
-                if got >= need:
-                    found.add(label)
-                    best = max(best, got / len(own))
+                block = ids[b * length: (b + 2) * length]
+                cuts = [] if barred is None else np.flatnonzero(barred[block])
+                for part in np.split(block, cuts) if len(cuts) else [block]:
+                    if len(cuts) and len(part) and barred[part[0]]:
+                        part = part[1:]
+                    if len(part) < need:  # length filter: too few words for the overlap
+                        continue
+                    there = np.zeros(len(self.number) + 1, dtype=bool)
+                    there[part] = True
+                    common = there[own]
+                    first = int(common.argmax())
+                    if not common[first] or len(own) - first < need:  # positional filter
+                        continue
+                    got = int(common.sum())
+                    if got >= need and all(there[g].any() for g in groups):
+                        found.add(label)
+                        best = max(best, got / len(own))
         if starts:
             s = np.concatenate(starts)
             return len(s), int(s.min()), int(s.max()), base, found, 1.0
@@ -183,7 +222,8 @@ def frequencies(texts: DataFrame, templates: Templates) -> dict[bytes, int]:
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   templates: dict[str, list[str]] | None = None, phrases: dict[str, str] | None = None,
-                  threshold: float = THRESHOLD) -> DataFrame:
+                  threshold: float = THRESHOLD, needed: dict[str, list[set[str]]] | None = None,
+                  barred: dict[str, set[str]] | None = None) -> DataFrame:
     """License notices in every document.
 
     Returns one row per row of ``docs``: doc_id, n_words, n_base (places of
@@ -195,9 +235,13 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A null text counts as empty; repeated rows and null ids each get a row;
     an empty table gives an empty result; other columns are not read. The
-    templates are a parameter and go to every task.
+    templates are a parameter and go to every task; ``needed`` (per label,
+    groups of words a match holds one of each) and ``barred`` (words that cut
+    its blocks) are those of the built-in templates unless given.
     """
-    base = Templates(TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases, threshold)
+    base = Templates(
+        TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases, threshold,
+        NEEDED if needed is None else needed, BARRED if barred is None else barred)
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
     ordered = base.order(frequencies(src.select("t"), base))
 
