@@ -10,8 +10,9 @@ from textquarry.llm import chat as C
 def brute(rows, segment=C.SEGMENT_TURNS):
     conv = {}
     for c, t, r, x in rows:
-        conv.setdefault(c, []).append((t is not None, t or 0, r is not None, r or "", C_digest(r, x), r, x))
-    full = {c: [(r, x) for *_, r, x in sorted(v, key=lambda v: v[:5])] for c, v in conv.items()}
+        conv.setdefault(c, []).append(
+            (t is not None, t or 0, r is not None, (r or "").encode(), x is not None, (x or "").encode(), r, x))
+    full = {c: [(r, x) for *_, r, x in sorted(v, key=lambda v: v[:6])] for c, v in conv.items()}
     out = []
     for c, turns in full.items():
         same = [k for k, v in full.items() if v == turns]
@@ -26,14 +27,6 @@ def brute(rows, segment=C.SEGMENT_TURNS):
     return sorted(out, key=repr)
 
 
-def C_digest(role, text):
-    import hashlib
-    import json
-
-    d = {k: v for k, v in (("role", role), ("text", text)) if v is not None}
-    return hashlib.sha256(json.dumps(d, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest()
-
-
 def test_query_matches_oracle(same):
     same("op10_chat_format")
 
@@ -57,6 +50,27 @@ def test_snapshots_collapse(spark, segment):
     assert C.collapse(df.limit(0)).collect() == []
 
 
+def test_ties_and_long_conversations_match_the_oracle(spark):
+    import duckdb
+
+    rows = [(1, t, "user", f"long {t}") for t in range(2500)] + [(2, t, "user", f"long {t}") for t in range(1200)]
+    rows += [(c, 0, "user", x) for c in (3, 4) for x in ("b", "a", "B", "é", "z", "", None, "a")]
+    rows += [(5, 0, r, x) for r in ("b", None, "a", "") for x in ("2", "1")] + [(6, None, "a", "x"), (6, 0, "a", "x")]
+    rows += [(7, t // 3, "user", f"t{t * 7 % 5}") for t in range(1000)] + [(8, 0, "user", "a"), (9, 0, "user", "b")]
+    random.Random(5).shuffle(rows)
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = con.execute(C.CHAT_SQL)
+    cols = [d[0] for d in want.description]
+    want = sorted(want.fetchall(), key=repr)
+    got = sorted((tuple(r[c] for c in cols) for r in C.collapse(df).collect()), key=repr)
+    assert got == want == brute(rows)
+    assert {r[1] for r in got if r[0] == 1} == {0, 1, 2}
+
+
 def test_plan_is_native(spark):
     from textquarry.llm.queries import QUERIES
 

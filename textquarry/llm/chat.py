@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import Store
 
-# Turns rendered into one row; a longer conversation has several segments.
+# Turns rendered into one row; a longer conversation has several segments, one row each.
 SEGMENT_TURNS = 1000
 
 
@@ -48,7 +48,7 @@ def ordered_turns(store: Store, turns: DataFrame) -> DataFrame:
     and the place in it, and digest, the hash of role and text."""
     spark = turns.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["conv", "turn", "role", "digest"]
+    keys = ["conv", "turn", "role", "text"]
     s = turns.withColumn("digest", F.sha2(F.to_json(F.struct("role", "text")), 256))
     return store.put(
         s.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -100,8 +100,8 @@ def collapse(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     conv_id stands for them) and text, one row per conversation that is no
     prefix of a longer one.
 
-    Turns go by their number (null first), ties by role, then by the hash of
-    role and text; only their order counts, not the numbers. Repeated rows
+    Turns go by their number, ties by role, then by text (null first, else by
+    their bytes); only their order counts, not the numbers. Repeated rows
     are turns of their own. Turns with a null conv_id are one conversation.
     Null roles and texts are rendered as empty but differ from empty ones.
     An empty table gives an empty result; other columns are not read.
@@ -140,17 +140,21 @@ def collapse(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     ).select(F.col("conv").alias("conv_id"), "segment", "n_turns", "n_copies", "text")
 
 
-CHAT_SQL = """
+CHAT_SQL = f"""
 WITH c AS (
   SELECT conv_id, count(*) AS n,
-         list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS l,
-         string_agg('<|im_start|>' || replace(coalesce(role, ''), '<|', '< |') || chr(10)
-                    || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10), ''
-                    ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS text
+         list({{'r': role, 't': text}} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS l,
+         list('<|im_start|>' || replace(coalesce(role, ''), '<|', '< |') || chr(10)
+              || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10)
+              ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pieces
   FROM conversations GROUP BY conv_id
 ), d AS (
-  SELECT min(conv_id) AS conv_id, l, any_value(n) AS n, any_value(text) AS text, count(*) AS n_copies FROM c GROUP BY l
+  SELECT min(conv_id) AS conv_id, l, any_value(n) AS n, any_value(pieces) AS pieces, count(*) AS n_copies FROM c GROUP BY l
+), kept AS (
+  SELECT conv_id, n, n_copies, pieces, unnest(generate_series(0, (n - 1) // {SEGMENT_TURNS})) AS segment FROM d a
+  WHERE NOT EXISTS (SELECT 1 FROM d b WHERE b.n > a.n AND b.l[1] = a.l[1] AND b.l[1:a.n] = a.l)
 )
-SELECT conv_id, CAST(0 AS BIGINT) AS segment, n AS n_turns, n_copies, text FROM d a
-WHERE NOT EXISTS (SELECT 1 FROM d b WHERE b.n > a.n AND b.l[1] = a.l[1] AND b.l[1:a.n] = a.l)
+SELECT conv_id, CAST(segment AS BIGINT) AS segment, n AS n_turns, n_copies,
+       array_to_string(pieces[segment * {SEGMENT_TURNS} + 1:(segment + 1) * {SEGMENT_TURNS}], '') AS text
+FROM kept
 """
