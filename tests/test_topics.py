@@ -62,3 +62,21 @@ def test_no_term_is_dropped(spark):
     assert sum(r.features.values.sum() for r in vec.collect()) == n
     words = topics.topic_words(lda, cv, 5).collect()
     assert len(words) == 10 and {r.term for r in words} <= set(cv.vocabulary)
+
+
+def test_every_pass_reads_all_documents(spark):
+    """Two vocabularies that never meet become two topics, and the model's passes use the whole corpus."""
+    import random
+
+    from textquarry.operators import topics
+
+    r = random.Random(4)
+    words = [[f"{side}{i}" for i in range(8)] for side in ("a", "b")]
+    rows = [(i, [r.choice(words[i % 2]) for _ in range(30)]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_num long, tokens array<string>")
+    lda, cv, vec = topics.fit_topics(docs, k=2, max_iter=10)
+    assert lda.getOrDefault("subsamplingRate") == 1.0 and vec.count() == 60
+    found = {}
+    for w in topics.topic_words(lda, cv, 8).collect():
+        found.setdefault(w.topic, set()).add(w.term)
+    assert sorted(map(sorted, found.values())) == [sorted(words[0]), sorted(words[1])]
