@@ -56,3 +56,49 @@ def test_apriori_plans_no_product(spark, capfd):
     held = patterns._extend(ti.selectExpr("tid", "array(item) items"), ti)
     plan = held._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_apriori_over_many_blocks(spark):
+    """Random transactions over several blocks and partitions, nulls, repeated
+    items, empty and null rows: sets and frequencies of a plain count."""
+    import itertools
+    import random
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(3000):
+        t = [x for x, p in zip("abcdefg", (0.9, 0.7, 0.5, 0.4, 0.3, 0.05, 0.6)) if rnd.random() < p]
+        rows.append((i % 50, t + t[:1] + [None] if i % 3 else t))
+    rows += [(1, []), (None, None), (2, [None])]
+    df = spark.createDataFrame(rows, "tid long, items array<string>").repartition(5)
+    want = {}
+    for _, t in rows:
+        held = sorted({x for x in t or [] if x is not None})
+        for k in range(1, len(held) + 1):
+            for c in itertools.combinations(held, k):
+                want[c] = want.get(c, 0) + 1
+    for support in (0.02, 0.1, 0.35):
+        got = patterns.apriori(df, "tid", "items", support).collect()
+        assert len({tuple(r["items"]) for r in got}) == len(got)
+        assert {(tuple(r["items"]), r["freq"]) for r in got} == {(c, n) for c, n in want.items() if n >= support * len(rows)}
+        assert all(r["support"] == r["freq"] / len(rows) for r in got)
+    short = patterns.apriori(df, "tid", "items", 0.1, max_len=2)
+    assert {len(r["items"]) for r in short.collect()} == {1, 2}
+
+
+def test_apriori_of_no_rows(spark):
+    none = spark.createDataFrame([], "tid long, items array<string>")
+    assert patterns.apriori(none).count() == 0
+    assert patterns.apriori(spark.createDataFrame([(1, [])], none.schema)).count() == 0
+
+
+def test_bitmap_level_plans_no_product(spark):
+    tx = spark.createDataFrame([(i, list("abc")) for i in range(5)], "tid long, items array<string>")
+    plan = patterns.apriori(tx)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    level = spark.createDataFrame([(list("ab"), 0), (list("ac"), 1), (list("bc"), 2), (list("ad"), 3)],
+                                  "items array<string>, set_id long")
+    cand = patterns._candidates(level, 3)
+    assert [(r["items"], r["l"], r["r"]) for r in cand.collect()] == [(list("abc"), 0, 1)]
+    plan = cand._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
