@@ -165,3 +165,35 @@ def test_pvalue_columns_against_quadrature(spark):
     assert got[None, 9].pvalue is None and got[0.5, 2].pvalue is None
     small = spark.createDataFrame([(0.99, 100_000)], "correlation double, n long")
     assert similarity.with_pvalue(small).first().log10_pvalue < -80_000
+
+
+def test_minhash_sweep_of_many_documents(spark):
+    """Signatures by plain minima over more documents than a block holds, some
+    without a known term; the sweep's measures with and without given exact ones."""
+    rng = np.random.default_rng(4)
+    dense = (rng.random((150, 6)) < 0.4).astype(float)
+    dense[[3, 64, 149]] = 0
+    x, docs = long_matrix(spark, dense)
+    vocab = spark.createDataFrame([(t,) for t in TERMS[:5]], "term string")  # one term is in no permutation
+    perms = {(r.term, r.perm): r["rank"] for r in minhash.permutations(vocab, 8).collect()}
+    want = {}
+    for d in range(150):
+        held = [t for t, v in zip(TERMS[:5], dense[d]) if v]
+        want[d] = [min(perms[t, p] for t in held) if held else 1 for p in range(8)]
+    ranks = minhash.rank_arrays(minhash.permutations(vocab, 8))
+    one = docs.coalesce(1)
+    for table_bytes in (1 << 20, 0):
+        got = {r.doc_num: list(r.sig) for r in minhash.minhash_signature(
+            x.coalesce(1), one, ranks, 8, table_bytes=table_bytes).collect()}
+        assert got == want
+    exact = similarity.document_similarity(x, docs, 0, jaccard=True)
+    given = minhash.minhash_sweep(x, docs, vocab, 0, (4, 8), exact=exact).collect()
+    alone = minhash.minhash_sweep(x, docs, vocab, 0, (4, 8)).collect()
+    assert len(given) == len(alone) == 300
+    key = lambda r: (r.doc_num, r.num_perm, r.sig_cosine_similarity, r.sig_jaccard_similarity, r.doc_jaccard_similarity)
+    assert sorted(map(key, given)) == sorted(map(key, alone))
+    for r in given:
+        a, b = set(want[r.doc_num][: r.num_perm]), set(want[0][: r.num_perm])
+        assert abs(r.sig_jaccard_similarity - len(a & b) / len(a | b)) < 1e-12
+        union = np.maximum(dense[r.doc_num], dense[0]).sum()
+        assert abs(r.doc_jaccard_similarity - np.minimum(dense[r.doc_num], dense[0]).sum() / union) < 1e-12

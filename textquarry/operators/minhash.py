@@ -37,22 +37,34 @@ def rank_arrays(perms: DataFrame) -> DataFrame:
 
 
 def _folded_ranks(ranks: DataFrame, n_perm: int):
-    """mapInArrow: the element-wise smallest ranks of every document's terms."""
+    """mapInArrow: the element-wise smallest ranks of every document's terms,
+    for a few documents at a time, from one broadcast table."""
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     rows = ranks.collect()
-    number = {r["term"]: i for i, r in enumerate(rows)}
     matrix = np.array([r["ranks"][:n_perm] for r in rows], dtype=np.int32).reshape(len(rows), n_perm)
+    table = ranks.sparkSession.sparkContext.broadcast(([r["term"] for r in rows], matrix))
 
     def run(batches):
+        vocab, matrix = pa.array(table.value[0], pa.string()), table.value[1]
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
                 b = whole.slice(at, 64)
-                lists = [[number[t] for t in ts if t in number] for ts in b.column("terms").to_pylist()]
-                sig = [matrix[ids].min(axis=0).tolist() if ids else [1] * n_perm for ids in lists]
+                lists = b.column("terms")
+                # documents and rows of the table of all their known terms, one document after the other
+                doc = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+                term = pc.index_in(pc.list_flatten(lists), vocab)
+                known = term.is_valid().to_numpy(zero_copy_only=False)
+                term, doc = term.drop_null().to_numpy(), doc[known]
+                sig = np.ones((b.num_rows, n_perm), dtype=np.int32)
+                if len(doc):
+                    first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+                    sig[doc[first]] = np.minimum.reduceat(matrix[term], first, axis=0)
+                ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * n_perm)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_num"), pa.array(sig, pa.list_(pa.int32()))], ["doc_num", "sig"])
+                    [b.column("doc_num"), pa.ListArray.from_arrays(ends, pa.array(sig.ravel()))], ["doc_num", "sig"])
 
     return run
 
@@ -145,26 +157,32 @@ def minhash_sweep(x_clip: DataFrame, docs: DataFrame, vocab: DataFrame, target,
                   exact: DataFrame | None = None) -> DataFrame:
     """One frame over several permutation counts (column ``num_perm``).
 
-    The largest set of permutations is built once, the signatures are
-    computed once and checkpointed (one row per document), and every
-    smaller count uses their prefix. ``exact`` (the presence-matrix
-    measures) is joined on.
+    The largest set of permutations is built once and every smaller count
+    uses its prefix: all sizes are measured on a document's one signature
+    row, which the exact measures are joined to before it becomes a row per
+    size. ``exact`` (the presence-matrix measures) is joined on; its
+    ``doc_jaccard_similarity``, if it has one, is not computed again.
     """
     n_max = max(sizes)
     ranks = rank_arrays(permutations(vocab, n_max))
     sig = minhash_signature(x_clip, docs, ranks, n_max).checkpoint(eager=True)
     tsig = target_signature(sig, target)
-    jac = exact_jaccard(x_clip, docs, target)
-    frames = []
+    each = []
     for n in sizes:
-        m = minhash_similarity(sig, x_clip, docs, target, n_perm=n, estimator=estimator, tsig=tsig, exact=jac)
-        frames.append(m.withColumn("num_perm", F.lit(n)))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+        cos, jac = signature_measures(F.slice("sig", 1, n), tsig[:n], estimator)
+        each.append(F.struct(cos.alias("sig_cosine_similarity"), jac.alias("sig_jaccard_similarity"),
+                             F.lit(n).alias("num_perm")))
+    wide = sig.select("doc_num", F.array(*each).alias("each"))
+    if exact is None or "doc_jaccard_similarity" not in exact.columns:
+        wide = wide.join(exact_jaccard(x_clip, docs, target), "doc_num", "full")
     if exact is not None:
-        out = out.join(exact, "doc_num", "full")
-    return out
+        wide = wide.join(exact, "doc_num", "full")
+    # documents of the measures alone keep a row per size
+    none = F.array(*[F.struct(F.lit(None).cast("double").alias("sig_cosine_similarity"),
+                              F.lit(None).cast("double").alias("sig_jaccard_similarity"), F.lit(n).alias("num_perm"))
+                     for n in sizes])
+    others = [c for c in wide.columns if c not in ("doc_num", "each")]
+    return wide.select("doc_num", F.inline(F.coalesce("each", none)), *others)
 
 
 def best_num_perm(quality: DataFrame):

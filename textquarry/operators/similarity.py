@@ -77,8 +77,10 @@ def jaccard_expr() -> Column:
     )
 
 
-def document_similarity(x: DataFrame, docs: DataFrame, target, attrs: Sequence[str] = ()) -> DataFrame:
-    """L1, L2 and cosine of every document against the target document.
+def document_similarity(x: DataFrame, docs: DataFrame, target, attrs: Sequence[str] = (),
+                        jaccard: bool = False) -> DataFrame:
+    """L1, L2 and cosine of every document against the target document, with
+    ``jaccard`` also the Jaccard similarity of presence rows.
 
     Every document of ``docs`` gets a row (documents without any
     vocabulary term included); a zero norm gives cosine 0. Attribute
@@ -90,6 +92,7 @@ def document_similarity(x: DataFrame, docs: DataFrame, target, attrs: Sequence[s
         l1_expr().alias("doc_l1_norm"),
         l2_expr().alias("doc_l2_norm"),
         cosine_expr().alias("doc_cosine_similarity"),
+        *([jaccard_expr().alias("doc_jaccard_similarity")] if jaccard else []),
     )
     if attrs:
         out = out.join(docs.select("doc_num", *attrs), "doc_num", "left")

@@ -142,7 +142,7 @@ best AS (SELECT num_perm, correlation FROM quality WHERE correlation IS NOT NULL
 
 def _mh_base(spark, sf_dir):
     c = build_corpus(spark, sf_dir)
-    exact = similarity.document_similarity(c.x_clip, c.docs, c.target)
+    exact = similarity.document_similarity(c.x_clip, c.docs, c.target, jaccard=True)
     sweep = minhash.minhash_sweep(c.x_clip, c.docs, c.vocab, c.target, SWEEP, exact=exact)
     return c, sweep
 
@@ -408,7 +408,7 @@ def _measures(spark, sf_dir):
     c = build_corpus(spark, sf_dir)
 
     def exact(x):
-        return similarity.document_similarity(x, c.docs, c.target).checkpoint(eager=True)
+        return similarity.document_similarity(x, c.docs, c.target, jaccard=x is c.x_clip).checkpoint(eager=True)
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         f_tfidf, f_clip = pool.submit(exact, c.x_tfidf), pool.submit(exact, c.x_clip)
