@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import patterns
 from ..session import read_table
 from .catalog import register
-from .corpus import build_corpus
+from .corpus import build_corpus, corpus_ctes
 
 MIN_SUPPORT = 0.05
 TOKEN_SUPPORT = 0.2
@@ -137,10 +137,25 @@ def q_rule_edges(spark, sf_dir):
     return patterns.rule_edges(rules, _topic_items(its), 5)
 
 
-@register("frequent_tokens")
+@register(
+    "frequent_tokens",
+    f"WITH RECURSIVE {corpus_ctes()},"
+    + f"""
+least AS (SELECT ceil({TOKEN_SUPPORT} * n) AS mc, n FROM ndocs),
+held AS (SELECT term, list(doc_num) AS docs FROM tf GROUP BY term HAVING count(*) >= (SELECT mc FROM least)),
+sets(items, docs) AS (
+  SELECT [term], docs FROM held
+  UNION ALL
+  SELECT items, docs FROM (
+    SELECT list_append(s.items, h.term) AS items, list_intersect(s.docs, h.docs) AS docs
+    FROM sets s JOIN held h ON h.term > s.items[-1]
+  ) WHERE len(docs) >= (SELECT mc FROM least)
+)
+SELECT items, len(docs)::BIGINT AS freq, round(len(docs) / (SELECT n FROM least), 6) AS support FROM sets""",
+)
 def q_frequent_tokens(spark, sf_dir):
     """Frequent token sets of the English documents (support 0.2), by the
-    level-wise operator; checked against FP-growth in the tests."""
+    level-wise operator."""
     c = build_corpus(spark, sf_dir)
     tx = c.docs.select(F.col("doc_num").alias("tid"), F.array_distinct("tokens").alias("items"))
     a = patterns.apriori(tx, "tid", "items", TOKEN_SUPPORT)
