@@ -197,3 +197,18 @@ def test_minhash_sweep_of_many_documents(spark):
         assert abs(r.sig_jaccard_similarity - len(a & b) / len(a | b)) < 1e-12
         union = np.maximum(dense[r.doc_num], dense[0]).sum()
         assert abs(r.doc_jaccard_similarity - np.minimum(dense[r.doc_num], dense[0]).sum() / union) < 1e-12
+
+
+def test_simhash_of_many_documents(spark):
+    """Bits by plain sums over more documents than a block holds, some without a term."""
+    rng = np.random.default_rng(6)
+    dense = np.where(rng.random((150, 6)) < 0.5, rng.random((150, 6)), 0.0)
+    dense[[0, 70, 149]] = 0
+    x, docs = long_matrix(spark, dense)
+    vocab = spark.createDataFrame([(t,) for t in TERMS[:5]], "term string")  # one term doesn't count
+    for h in ("md5", "sha1"):
+        signs = np.array([np.array(python_bits(t, h)) * 2 - 1 for t in TERMS[:5]])
+        sums = dense[:, :5] @ signs
+        want = np.where(sums > 1e-9, 1, np.where(sums < -1e-9, 0, np.arange(signs.shape[1]) % 2))
+        got = {r.doc_num: list(r.fp) for r in simhash.simhash(x.coalesce(1), docs, vocab, h).collect()}
+        assert got == {d: list(want[d]) for d in range(150)}

@@ -44,33 +44,37 @@ def hash_bits(term: Column, hashing: str) -> Column:
 
 
 def _bit_sums(hashing: str):
-    """mapInArrow: the weighted sums of the signs of every document's terms."""
+    """mapInArrow: the weighted sums of the signs of every document's terms, a
+    few documents at a time as the product of their weights and the signs."""
     import hashlib
 
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     width = WIDTH[hashing]
 
-    def signs(term: str) -> np.ndarray:
-        digest = getattr(hashlib, hashing)(term.encode()).digest()
+    def signs(terms: list[str]) -> np.ndarray:
+        digests = b"".join(getattr(hashlib, hashing)(t.encode()).digest() for t in terms)
+        octets = np.frombuffer(digests, dtype=np.uint8).reshape(len(terms), width // 8)
         if hashing == "md5":
-            digest = digest[::-1]  # read as a little-endian number
-        return np.unpackbits(np.frombuffer(digest, dtype=np.uint8)).astype(np.float64) * 2 - 1
+            octets = octets[:, ::-1]  # read as a little-endian number
+        return np.unpackbits(octets, axis=1).astype(np.float64) * 2 - 1
 
     def run(batches):
-        known: dict[str, np.ndarray] = {}
-        for b in batches:
-            sums = np.zeros((b.num_rows, width))
-            for i, rows in enumerate(b.column("rows").to_pylist()):
-                if len(known) > 50_000:
-                    known.clear()
-                for r in rows:
-                    if r["term"] not in known:
-                        known[r["term"]] = signs(r["term"])
-                sums[i] = np.array([r["value"] for r in rows]) @ np.stack([known[r["term"]] for r in rows])
-            yield pa.RecordBatch.from_arrays([b.column("doc_num"), pa.array(list(sums), pa.list_(pa.float64()))],
-                                             ["doc_num", "sums"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):
+                b = whole.slice(at, 64)
+                doc = pc.list_parent_indices(b.column("rows")).to_numpy(zero_copy_only=False)
+                cells = pc.list_flatten(b.column("rows"))
+                term = pc.struct_field(cells, "term").dictionary_encode()
+                weights = np.zeros((b.num_rows, len(term.dictionary)))
+                value = pc.struct_field(cells, "value").to_numpy(zero_copy_only=False)
+                np.add.at(weights, (doc, term.indices.to_numpy(zero_copy_only=False)), value)
+                sums = weights @ signs(term.dictionary.to_pylist())
+                ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * width)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_num"), pa.ListArray.from_arrays(ends, pa.array(sums.ravel()))], ["doc_num", "sums"])
 
     return run
 
