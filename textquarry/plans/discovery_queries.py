@@ -113,19 +113,19 @@ def _vectors(c):
 
 @register(
     "vocab_coverage",
-    _with(corpus_ctes())
-    + """
-SELECT count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM tf WHERE tf.term = vocab.term AND length(tf.term) < 8))::BIGINT AS missing,
-       count(*)::BIGINT AS tokens,
-       round(count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM tf WHERE tf.term = vocab.term AND length(tf.term) < 8)) / count(*), 6)
-         AS missing_share
-FROM vocab""",
+    _with(corpus_ctes(lang=None))
+    + """,
+known AS (SELECT DISTINCT term FROM (SELECT unnest(tokens) AS term FROM corpus WHERE lang = 'en')),
+judged AS (SELECT vocab.term, known.term IS NULL AS lacks FROM vocab LEFT JOIN known USING (term))
+SELECT count(*) FILTER (WHERE lacks)::BIGINT AS missing, count(*)::BIGINT AS tokens,
+       round(count(*) FILTER (WHERE lacks) / count(*), 6) AS missing_share
+FROM judged""",
 )
 def q_vocab_coverage(spark, sf_dir):
-    c = build_corpus(spark, sf_dir)
-    # A vector table without the terms of eight or more letters.
-    vec = _vectors(c).where(F.length("term") < 8)
-    return related.vocab_coverage(c.vocab, vec).select("missing", "tokens", F.round("missing_share", R).alias("missing_share"))
+    """Terms of the vocabulary of all languages that the English vectors lack."""
+    every = build_corpus(spark, sf_dir, lang=None)
+    vec = _vectors(build_corpus(spark, sf_dir))
+    return related.vocab_coverage(every.vocab, vec).select("missing", "tokens", F.round("missing_share", R).alias("missing_share"))
 
 
 @register(
