@@ -86,11 +86,13 @@ def bitmaps(tx: DataFrame, items: str = "items") -> DataFrame:
     bitmap of the null item is that of all rows, with or without items.
 
     Rows are numbered within their partition, so a block never spans two
-    and its bitmaps are folded where the rows lie. The numbers last only as
-    long as the rows stay where they are: the result is checkpointed.
+    and its bitmaps are folded where the rows lie. They are sorted there
+    first, so that a task repeated after a lost executor gives its rows the
+    same numbers; the result is checkpointed.
     """
     # numbered before they are exploded: a number in the same select would count the items
-    row = tx.select(F.monotonically_increasing_id().alias("row"), F.array_distinct(items).alias("items"))
+    row = tx.select(F.array_sort(F.array_distinct(items)).alias("items")).sortWithinPartitions(F.xxhash64("items"), "items")
+    row = row.select(F.monotonically_increasing_id().alias("row"), "items")
     none = F.array(F.lit(None).cast("string"))
     row = row.select("row", F.explode(F.concat(F.coalesce("items", none), none)).alias("item"))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("row") % 64).cast("int"))
