@@ -158,3 +158,34 @@ def test_written_papers_read_back(spark, tmp_path):
     P.write_metadata(df.select(F.col("paper_id").cast("bigint").alias("n"), "title", "abstract", "body_text"), f"{tmp_path}/m")
     got = sorted(map(tuple, P.read_metadata(spark, f"{tmp_path}/m").collect()))
     assert got == [(1, rows[0][1], None, "body\ntext"), (2, None, "x", 'q"uote, é')]
+
+
+def test_packed_papers_read_as_single_files_do(spark, tmp_path):
+    rows = [(str(n), f"title {n}", "" if n % 3 else "an abstract", f"body\nof {n}", None) for n in range(300)]
+    rows += [("300", "t", "a", "b", '{"paper_id": "300", "abs'), (None, "t", "a", "b", None), ("7", "again", "a", "b", None)]
+    df = spark.createDataFrame(rows, "paper_id string, title string, abstract string, body_text string, raw string").coalesce(2)
+    P.write_papers(df, f"{tmp_path}/single")
+    P.pack_papers(df, f"{tmp_path}/packed")
+    single, packed = (f"{tmp_path}/single", ".txt"), (f"{tmp_path}/packed", P.PACKED)
+
+    def bad(where):
+        return sorted((r.path.split("/paper=")[-1].split("paper=")[-1].split("/")[0], r.bytes, r.reason)
+                      for r in P.bad_files(spark, *where).collect())
+
+    assert bad(packed) == bad(single) and len(bad(packed)) == 2
+    read = [sorted(map(tuple, P.read_papers(spark, *w).collect())) for w in (single, packed)]
+    assert read[0] == read[1] and len(read[1]) >= 300
+
+
+def test_paper_queries_make_few_files(spark, tmp_path, monkeypatch):
+    from textquarry.plans import source_queries
+
+    docs = spark.range(400).selectExpr(
+        "id AS doc_id", "concat('title ', id, '\\n', 'abstract\\nbody') AS text",
+        "element_at(array('en', 'fr', 'de', 'es'), cast(id % 4 + 1 AS int)) AS lang", "'s' AS source")
+    docs.coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(source_queries, "ensure_checkpoint_dir", lambda spark: f"{tmp_path}/kept")
+    assert source_queries.q_bad_files(spark, str(tmp_path)).count() == 300
+    assert source_queries.q_load_corpus(spark, str(tmp_path)).count() == 100
+    # before, a file for every paper
+    assert sum(len(f) for _, _, f in os.walk(f"{tmp_path}/kept")) < 100
