@@ -7,7 +7,11 @@ mutual information, and the leading singular vectors of that matrix as a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,32 +20,66 @@ from .joins import checked_broadcast
 
 WINDOW = 5
 DIMENSIONS = 50
+# Documents whose pairs a task makes at a time, and pairs that it sums together.
+DOCUMENTS = 256
+PAIRS = 1 << 21
+
+
+def _pair_counts(terms, window: int):
+    """mapInArrow: ``(a, b, n)`` of the places ``a <= b`` in ``terms`` of all pairs of known
+    tokens within the window of a document. Pairs are summed a few millions at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(terms.value, pa.string())
+
+        def summed(codes: list[np.ndarray]) -> pa.RecordBatch:
+            pair, n = np.unique(np.concatenate(codes), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(pair // len(known)), pa.array(pair % len(known)), pa.array(n)],
+                                              ["a", "b", "n"])
+
+        codes, held = [], 0
+        for whole in batches:
+            for at in range(0, whole.num_rows, DOCUMENTS):
+                tokens = whole.column("tokens").slice(at, DOCUMENTS)
+                doc = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False)
+                place = pc.fill_null(pc.index_in(pc.list_flatten(tokens), known), -1).to_numpy().astype(np.int64)
+                for step in range(1, min(window, len(doc) - 1) + 1):
+                    x, y = place[:-step], place[step:]
+                    near = (doc[:-step] == doc[step:]) & (x >= 0) & (y >= 0)
+                    x, y = x[near], y[near]
+                    codes.append(np.minimum(x, y) * len(known) + np.maximum(x, y))
+                    held += len(x)
+                    if held > PAIRS:
+                        yield summed(codes)
+                        codes, held = [], 0
+        if held:
+            yield summed(codes)
+
+    return run
 
 
 def cooccurrence(docs: DataFrame, vocab: DataFrame, window: int = WINDOW, tokens: str = "tokens") -> DataFrame:
     """``(term, context, n)``: how often ``context`` stands within ``window`` tokens
     before or after ``term``, both of the vocabulary. Symmetric.
 
-    The pairs of a document are made inside its row and summed by partial
-    aggregation before anything is shuffled, so a frequent pair is one row a task.
+    The pairs of a document are counted where the document is, by the terms' places
+    in the broadcast vocabulary (bounded by its cap); sums of pairs are shuffled.
     Documents without tokens hold no pair.
     """
+    spark = docs.sparkSession
+    terms = sorted(r[0] for r in vocab.select("term").distinct().collect() if r[0] is not None)
+    held = spark.sparkContext.broadcast(terms)
     t = F.col(tokens)
-    n = F.size(t)
-
-    def apart(step):  # all pairs that many tokens apart
-        count = F.greatest(n - step, F.lit(0))
-        return F.arrays_zip(F.slice(t, F.lit(1), count).alias("a"), F.slice(t, step + 1, count).alias("b"))
-
-    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window)), apart))
-    each = docs.where(t.isNotNull()).select(F.explode_outer(pairs).alias("p")).select("p.a", "p.b")
-    known = vocab.select("term")
-    for side in ("a", "b"):
-        each = each.join(checked_broadcast(known.withColumnRenamed("term", side)), side, "left_semi")
-    one_way = each.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    both = one_way.select(F.explode(F.array(F.struct(F.col("a").alias("term"), F.col("b").alias("context")),
-                                            F.struct(F.col("b").alias("term"), F.col("a").alias("context")))).alias("p"), "n")
-    return both.groupBy("p.term", "p.context").agg(F.sum("n").cast("bigint").alias("n"))
+    one_way = (
+        docs.where(t.isNotNull()).select(t.alias("tokens")).mapInArrow(_pair_counts(held, window), "a long, b long, n long")
+        .groupBy("a", "b").agg(F.sum("n").alias("n"))
+    )
+    both = one_way.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"), "n")
+    both = both.groupBy("p.a", "p.b").agg(F.sum("n").cast("bigint").alias("n"))
+    names = spark.createDataFrame(list(enumerate(terms)), "id long, name string")
+    for side, name in (("a", "term"), ("b", "context")):
+        both = both.join(checked_broadcast(names.select(F.col("id").alias(side), F.col("name").alias(name))), side)
+    return both.select("term", "context", "n")
 
 
 def positive_pmi(counts: DataFrame) -> DataFrame:
