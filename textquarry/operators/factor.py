@@ -25,9 +25,10 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 from .joins import checked_broadcast
 
-# Columns of the block beyond the components asked for, and blocks of a Krylov basis.
+# Columns of the block beyond the components asked for, and blocks of a Krylov basis:
+# a deeper one needs fewer passes over the rows and holds more columns on the driver.
 EXTRA = 14
-DEPTH = 4
+DEPTH = 16
 # Components found together when a share of the variance is asked for.
 BLOCK = 48
 # A pair counts as found when its residual is at most this part of the largest eigenvalue.
@@ -86,7 +87,8 @@ def _dense_blocks(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray
 
 
 def _summed(rows: DataFrame, size: int, one: Callable[[np.ndarray], np.ndarray], adders: int) -> np.ndarray:
-    """Sum of ``one`` over all dense blocks: in each task, in ``adders`` tasks, on the driver."""
+    """Sum of ``one`` over all dense blocks: in each task, in ``adders`` tasks, in one task;
+    one sum goes to the driver however many tasks there are."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -98,12 +100,18 @@ def _summed(rows: DataFrame, size: int, one: Callable[[np.ndarray], np.ndarray],
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["y"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [np.frombuffer(y.as_buffer()) for b in batches for y in b.column("y")]
-        if got:
-            yield pa.RecordBatch.from_arrays([pa.array([np.sum(got, axis=0).tobytes()])], ["y"])
+        total = None
+        for b in batches:
+            for y in b.column("y"):
+                y = np.frombuffer(y.as_buffer())
+                total = y.copy() if total is None else total + y
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["y"])
 
-    parts = rows.select("ids", "values").mapInArrow(each, "y binary").repartition(adders).mapInArrow(add, "y binary")
-    return np.sum([np.frombuffer(r["y"]) for r in parts.collect()], axis=0)
+    parts = rows.select("ids", "values").mapInArrow(each, "y binary")
+    for tasks in sorted({adders, 1}, reverse=True):
+        parts = parts.repartition(tasks).mapInArrow(add, "y binary")
+    return np.frombuffer(parts.collect()[0]["y"])
 
 
 def _orthonormal(z: np.ndarray, against: list[np.ndarray]) -> np.ndarray:
