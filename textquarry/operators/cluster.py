@@ -165,19 +165,30 @@ def _block_neighbours(k: int):
         q, s = rows[rows["query"]], rows[~rows["query"]]
         if not len(q) or not len(s):
             return pd.DataFrame({"pid": [], "nid": [], "m": [], "d2": []})
-        x, y = np.stack(q["v"]), np.stack(s["v"])
+        x, y, pid = np.stack(q["v"]), np.stack(s["v"]), q["id"].to_numpy()
         ids, m = s["id"].to_numpy(), s["m"].to_numpy()
-        y2, out = (y * y).sum(axis=1), []
-        for i, (pid, v) in enumerate(zip(q["id"], x)):
-            rough = y2 - 2 * (y @ v)
-            kth = np.partition(rough, min(k, len(rough)) - 1)[min(k, len(rough)) - 1]
-            near = np.flatnonzero(rough <= kth + 1e-9 * (abs(kth) + y2.max() + 1))
-            d2 = ((y[near] - v) ** 2).sum(axis=1)  # exact, for the few that remain
-            order = np.argsort(d2, kind="stable")
-            reached = np.searchsorted(np.cumsum(m[near][order]), k)
-            keep = near[d2 <= d2[order][min(reached, len(order) - 1)]]
-            out.append(pd.DataFrame({"pid": pid, "nid": ids[keep], "m": m[keep], "d2": ((y[keep] - v) ** 2).sum(axis=1)}))
-        return pd.concat(out, ignore_index=True)
+        y2, kk, out = (y * y).sum(axis=1), min(k, len(s)) - 1, []
+        for at in range(0, len(x), 64):
+            v = x[at:at + 64]
+            rough = y2 - 2 * (v @ y.T)
+            kth = np.partition(rough, kk, axis=1)[:, kk]
+            who, near = np.nonzero(rough <= (kth + 1e-9 * (np.abs(kth) + y2.max() + 1))[:, None])
+            if not len(who):
+                continue
+            d2 = ((y[near] - v[who]) ** 2).sum(axis=1)  # exact, for the few that remain
+            order = np.lexsort((d2, who))
+            who, near, d2 = who[order], near[order], d2[order]
+            # of each query, the first place at which k vectors are reached, else its last
+            first = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
+            size = np.diff(np.append(first, len(who)))
+            cum = np.cumsum(m[near])
+            short = cum - np.repeat(cum[first] - m[near[first]], size) < k
+            edge = d2[first + np.minimum(np.add.reduceat(short.astype(np.int64), first), size - 1)]
+            keep = d2 <= np.repeat(edge, size)
+            out.append((pid[at + who[keep]], ids[near[keep]], m[near[keep]], d2[keep]))
+        if not out:
+            return pd.DataFrame({"pid": [], "nid": [], "m": [], "d2": []})
+        return pd.DataFrame(dict(zip(("pid", "nid", "m", "d2"), map(np.concatenate, zip(*out)))))
 
     return run
 
