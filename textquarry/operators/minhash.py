@@ -152,6 +152,44 @@ def exact_jaccard(x_clip: DataFrame, docs: DataFrame, target) -> DataFrame:
     return pair_stats(x_clip, docs, target).select("doc_num", jaccard_expr().alias("doc_jaccard_similarity"))
 
 
+def _measured(tsig: Sequence[int], sizes: Sequence[int], estimator: str):
+    """mapInArrow: ``signature_measures`` of every document's signature at all sizes, as
+    arrays in the order of the sizes."""
+    import numpy as np
+    import pyarrow as pa
+
+    if estimator not in ("set", "positional"):
+        raise ValueError(f"unknown estimator {estimator!r}")
+    whole_t = np.array(tsig, dtype=np.int64)
+
+    def one(sig, t):
+        tnorm = float((t * t).sum()) ** 0.5
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cosine = (sig * t).sum(axis=1) / (np.sqrt((sig * sig).sum(axis=1).astype(np.float64)) * tnorm)
+        if estimator == "positional":
+            return np.nan_to_num(cosine, nan=0.0, posinf=0.0), (sig == t).sum(axis=1) / len(t)
+        held = np.zeros(max(sig.max(initial=0), t.max()) + 1, dtype=bool)
+        held[t] = True
+        values = np.sort(sig, axis=1)
+        new = np.ones(values.shape, dtype=bool)
+        new[:, 1:] = values[:, 1:] != values[:, :-1]
+        both = (new & held[values]).sum(axis=1)
+        return np.nan_to_num(cosine, nan=0.0, posinf=0.0), both / (new.sum(axis=1) + int(held.sum()) - both)
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
+                sig = b.column("sig").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).astype(np.int64)
+                pairs = [one(sig[:, :n], whole_t[:n]) for n in sizes]
+                ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * len(pairs))
+                measures = [pa.ListArray.from_arrays(ends, pa.array(np.stack([p[i] for p in pairs], axis=1).ravel()))
+                            for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_num"), *measures], ["doc_num", "cosine", "jaccard"])
+
+    return run
+
+
 def minhash_sweep(x_clip: DataFrame, docs: DataFrame, vocab: DataFrame, target,
                   sizes: Sequence[int] = (50, 100, 150, 200), estimator: str = "set",
                   exact: DataFrame | None = None) -> DataFrame:
@@ -167,12 +205,11 @@ def minhash_sweep(x_clip: DataFrame, docs: DataFrame, vocab: DataFrame, target,
     ranks = rank_arrays(permutations(vocab, n_max))
     sig = minhash_signature(x_clip, docs, ranks, n_max).checkpoint(eager=True)
     tsig = target_signature(sig, target)
-    each = []
-    for n in sizes:
-        cos, jac = signature_measures(F.slice("sig", 1, n), tsig[:n], estimator)
-        each.append(F.struct(cos.alias("sig_cosine_similarity"), jac.alias("sig_jaccard_similarity"),
-                             F.lit(n).alias("num_perm")))
-    wide = sig.select("doc_num", F.array(*each).alias("each"))
+    kind = sig.schema["doc_num"].dataType.simpleString()
+    measured = sig.mapInArrow(_measured(tsig, sizes, estimator), f"doc_num {kind}, cosine array<double>, jaccard array<double>")
+    each = [F.struct(F.col("cosine")[i].alias("sig_cosine_similarity"), F.col("jaccard")[i].alias("sig_jaccard_similarity"),
+                     F.lit(n).alias("num_perm")) for i, n in enumerate(sizes)]
+    wide = measured.select("doc_num", F.array(*each).alias("each"))
     if exact is None or "doc_jaccard_similarity" not in exact.columns:
         wide = wide.join(exact_jaccard(x_clip, docs, target), "doc_num", "full")
     if exact is not None:
