@@ -66,3 +66,15 @@ def test_no_tokens(spark):
     assert co.collect() == []
     pmi = cooccur.positive_pmi(co)
     assert pmi.collect() == [] and cooccur.term_vectors(pmi, vocab, 10).collect() == []
+
+
+def test_pairs_are_summed_before_they_are_shuffled(spark, monkeypatch):
+    _, df, vocab = corpus(spark)
+    plan = cooccur.cooccurrence(df, vocab, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "arrays_zip" not in plan
+    monkeypatch.setattr(cooccur, "PAIRS", 7)  # sums of few pairs at a time come to the same counts
+    monkeypatch.setattr(cooccur, "DOCUMENTS", 3)
+    few = spark.createDataFrame([(0, ["a", None, "b", "a", "x"]), (1, ["b", "a"])], "doc_num long, tokens array<string>")
+    known = spark.createDataFrame([("a", 0), ("b", 1)], "term string, term_id long")
+    got = {(r.term, r.context): r.n for r in cooccur.cooccurrence(few, known, 5).collect()}
+    assert got == {("a", "b"): 3, ("b", "a"): 3, ("a", "a"): 2}

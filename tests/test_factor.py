@@ -62,3 +62,11 @@ def test_no_rows_and_no_variance(spark, rows):
     c = factor.components(flat, 25)
     assert c.loadings.shape == (25, 0)
     assert factor.project(flat, c).select(F.size("pc")).distinct().collect()[0][0] == 0
+
+
+def test_one_sum_a_pass_reaches_the_driver(spark, matrix, rows, monkeypatch):
+    sizes, kind = [], type(rows)
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: sizes.append(got := collect(self)) or got)
+    total = factor._summed(rows.repartition(20), 25, lambda d: d.sum(axis=0), 4)
+    assert np.allclose(total, matrix.sum(axis=0)) and [len(s) for s in sizes] == [1]

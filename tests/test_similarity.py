@@ -212,3 +212,21 @@ def test_simhash_of_many_documents(spark):
         want = np.where(sums > 1e-9, 1, np.where(sums < -1e-9, 0, np.arange(signs.shape[1]) % 2))
         got = {r.doc_num: list(r.fp) for r in simhash.simhash(x.coalesce(1), docs, vocab, h).collect()}
         assert got == {d: list(want[d]) for d in range(150)}
+
+
+def test_sweep_measures_are_those_of_the_columns(spark):
+    from pyspark.sql import functions as F
+
+    from textquarry.operators import minhash
+
+    rows = [(n, [(n * 7 + i * (n % 3 + 1)) % 11 + 1 for i in range(8)]) for n in range(30)]
+    sig = spark.createDataFrame(rows, "doc_num long, sig array<int>")
+    tsig = rows[4][1]
+    for estimator in ("set", "positional"):
+        got = sig.mapInArrow(minhash._measured(tsig, (3, 8), estimator),
+                             "doc_num long, cosine array<double>, jaccard array<double>").collect()
+        for i, n in enumerate((3, 8)):
+            cos, jac = minhash.signature_measures(F.slice("sig", 1, n), tsig[:n], estimator)
+            want = {r.doc_num: (r.c, r.j) for r in sig.select("doc_num", cos.alias("c"), jac.alias("j")).collect()}
+            assert all(abs(r.cosine[i] - want[r.doc_num][0]) < 1e-12 and abs(r.jaccard[i] - want[r.doc_num][1]) < 1e-12
+                       for r in got) and len(got) == 30

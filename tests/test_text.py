@@ -1,4 +1,5 @@
 import datetime
+import re
 
 from pyspark.sql import functions as F
 
@@ -65,3 +66,21 @@ def test_tokenize_filters(spark):
 def test_strip_non_alnum(spark):
     got = one(spark, [("it's!",), ("--",), ("Éa1",)], "w string", F.lower(T.strip_non_alnum("w")))
     assert got == ["its", "", "a1"]
+
+
+def test_identify_language_shuffles_no_trigrams(spark):
+    from textquarry.operators import language
+
+    train = spark.createDataFrame([(1, "the cat and the hat", "en"), (2, "le chat et le chapeau", "fr")],
+                                  "id long, text string, lang string")
+    prof = language.train_language_profiles(train, "id", "text", "lang")
+    docs = spark.createDataFrame([(1, "the hat"), (2, "le chat"), (3, "zz"), (None, "the"), (4, "qq " * 60 + "chapeau"), (4, "the")],
+                                 "id long, text string")
+    out = language.identify_language(docs, "id", "text", prof)
+    assert sorted((r.id or 0, r.lang_pred) for r in out.collect()) == [
+        (0, "unknown"), (1, "en"), (2, "fr"), (3, "unknown"), (4, "en"), (4, "en")]
+    # a trigram is a row where its document is, and summed there: no exchange by document and trigram
+    plan = language._best_language(language._exploded(docs, "id", language.head_text("text")), ["en", "fr"],
+                                   prof.groupBy("g").agg({"logp": "collect_list"}).toDF("g", "lp"))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[key#\d+L?\],", text) and text.count("Aggregate [") == 2

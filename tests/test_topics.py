@@ -80,3 +80,14 @@ def test_every_pass_reads_all_documents(spark):
     for w in topics.topic_words(lda, cv, 8).collect():
         found.setdefault(w.topic, set()).add(w.term)
     assert sorted(map(sorted, found.values())) == [sorted(words[0]), sorted(words[1])]
+
+
+def test_pairs_are_counted_one_way(spark, monkeypatch):
+    from textquarry.operators import topics as T
+
+    seen, whole = [], T._union_length
+    monkeypatch.setattr(T, "_union_length", lambda x, keys: seen.append(x) or whole(x, keys))
+    docs = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["b", "a"]), (3, ["c"])], "doc_num long, tokens array<string>")
+    tw = spark.createDataFrame([(0, 1, "a"), (0, 2, "b"), (0, 3, "c")], "topic long, rank int, term string")
+    assert T.topic_coherence(tw, docs, "tokens", 2, 3).count() == 2
+    assert all(r.w < r.v for r in seen[1].collect())

@@ -103,7 +103,8 @@ def topic_coherence(topics: DataFrame, docs: DataFrame, tokens: str = "tokens",
     single_cnt = _union_length(occ, ["doc_num", "term"]).groupBy("term").agg(F.sum("u").alias("sw"))
     single = single_cnt.select("term", (F.col("sw") / F.lit(n)).alias("p"), "sw")
     pairs = tw.select("topic", F.col("term").alias("w")).join(tw.select("topic", F.col("term").alias("v")), "topic")
-    distinct_pairs = checked_broadcast(pairs.where(F.col("w") != F.col("v")))
+    # a pair's windows are those of the pair turned round, so each is counted one way only
+    distinct_pairs = checked_broadcast(pairs.where(F.col("w") < F.col("v")))
     both = (
         occ.join(distinct_pairs, occ["term"] == distinct_pairs["w"]).select("doc_num", "topic", "w", "v", "lo", "hi")
         .unionByName(
@@ -111,6 +112,8 @@ def topic_coherence(topics: DataFrame, docs: DataFrame, tokens: str = "tokens",
         )
     )
     union_cnt = _union_length(both, ["doc_num", "topic", "w", "v"]).groupBy("topic", "w", "v").agg(F.sum("u").alias("swv"))
+    union_cnt = union_cnt.select("swv", "topic", F.explode(F.array(
+        F.struct("w", "v"), F.struct(F.col("v").alias("w"), F.col("w").alias("v")))).alias("p")).select("topic", "p.w", "p.v", "swv")
     sw = single.select(F.col("term").alias("w"), F.col("p").alias("pw"), F.col("sw").alias("cw"))
     sv = single.select(F.col("term").alias("v"), F.col("p").alias("pv"), F.col("sw").alias("cv"))
     j = pairs.join(union_cnt, ["topic", "w", "v"], "left").join(sw, "w", "left").join(sv, "v", "left")
