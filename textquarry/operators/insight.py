@@ -20,11 +20,11 @@ def topics_frame(spark, rows) -> DataFrame:
     return spark.createDataFrame(rows, "topic string, labels array<string>")
 
 
-def label_vectors(vectors: DataFrame, labels: DataFrame, token_list: DataFrame, top_feature: int = 20) -> DataFrame:
-    """``(label, term, w)``: the label's ``top_feature`` most similar tokens,
-    weights L2-normalised (the default scorer's label vector)."""
-    targets = labels.select(F.col("label").alias("target_word")).distinct()
-    top = top_terms(term_similarity(vectors, targets, token_list), top_feature)
+def label_vectors(scores: DataFrame, top_feature: int = 20) -> DataFrame:
+    """``(label, term, w)``: the label's ``top_feature`` most similar tokens by
+    ``scores`` (the label as ``target_word``), weights L2-normalised (the
+    default scorer's label vector)."""
+    top = top_terms(scores, top_feature)
     top = top.select(F.col("target_word").alias("label"), "term", "score").checkpoint(eager=True)
     norm = top.groupBy("label").agg(F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("nrm"))
     return top.join(norm, "label").select(
@@ -45,15 +45,23 @@ def label_documents(x_tfidf: DataFrame, x_count: DataFrame, docs: DataFrame, top
     e.g. a ``pandas_udf`` model applied to the document text.
     """
     lab = topics.select("topic", F.posexplode("labels").alias("label_pos", "label"))
-    targets = topics.select(F.col("topic").alias("target_word"))
-    rel = related_documents(
-        x_count, term_similarity(vectors, targets, token_list), docs, top_feature, top_document
-    ).select(F.col("target_word").alias("topic"), "doc_num")
+    targets = topics.select(F.col("topic").alias("target_word")).distinct()
+    labels = lab.select(F.col("label").alias("target_word")).distinct()
+    words = targets if scorer is not None else targets.union(labels).distinct()
+    # A row per word and token, written once: topics and labels take their terms from it.
+    scores = term_similarity(vectors, words, token_list).checkpoint(eager=True)
+    of = lambda some: scores.join(F.broadcast(some), "target_word", "left_semi")
+    rel = related_documents(x_count, of(targets), docs, top_feature, top_document).select(
+        F.col("target_word").alias("topic"), "doc_num").checkpoint(eager=True)
     pairs = rel.join(checked_broadcast(lab), "topic")
     if scorer is None:
-        lv = label_vectors(vectors, lab.select("label"), token_list, top_feature)
+        lv = label_vectors(of(labels), top_feature)
+        # At most topics x top_document ids, as a list: Spark takes such a filter (not a join)
+        # below the window of the TF-IDF norm, so only the documents scored are normed.
+        wanted = sorted(r[0] for r in rel.select("doc_num").where("doc_num IS NOT NULL").distinct().collect())
         raw = (
-            x_tfidf.join(checked_broadcast(lv), "term")
+            x_tfidf.where(F.col("doc_num").isin(wanted))
+            .join(checked_broadcast(lv), "term")
             .groupBy("doc_num", "label")
             .agg(F.sum(F.col("value") * F.col("w")).alias("raw"))
         )

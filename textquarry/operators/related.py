@@ -44,40 +44,40 @@ def term_similarity(vectors: DataFrame, targets: DataFrame, token_list: DataFram
     ``token_list`` (``term``) and each target word (``target_word``);
     NULL when the token shares no dimension with the target.
 
-    The target vectors meet the token vectors in a join on ``dim``, which
-    is balanced (one row per dimension and target). The token list is at
-    most one vocabulary and is broadcast.
+    The target vectors become one row per dimension with a column for each
+    target, met by the token vectors in a join on ``dim``; one aggregation then
+    takes the norms and all products. The target list is short, the token list
+    at most one vocabulary and broadcast.
     """
-    tokens = checked_broadcast(token_list.select("term").distinct())
+    words = sorted(r[0] for r in targets.select("target_word").distinct().collect())
+    if not words:
+        return token_list.sparkSession.createDataFrame([], "target_word string, term string, score double")
+    tokens = token_list.select("term").distinct()
     tvec = vectors.join(checked_broadcast(targets.select(F.col("target_word").alias("term"))), "term").select(
         F.col("term").alias("target_word"), "dim", F.col("value").alias("tval")
     )
-    cand = vectors.join(tokens, "term")
-    dots = (
-        cand.join(tvec, "dim")
-        .groupBy("target_word", "term")
-        .agg(F.sum(F.col("value") * F.col("tval")).alias("dot"))
+    wide = tvec.groupBy("dim").agg(
+        *[F.sum(F.when(F.col("target_word") == w, F.col("tval"))).alias(f"_t{i}") for i, w in enumerate(words)]
     )
     # Norms only for the tokens and the targets, not for every corpus term.
-    norms = cand.groupBy("term").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("nrm"))
+    sums = (
+        vectors.join(checked_broadcast(tokens), "term")
+        .join(wide, "dim", "left")
+        .groupBy("term")
+        .agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("nrm"),
+             *[F.sum(F.col("value") * F.col(f"_t{i}")).alias(f"_d{i}") for i in range(len(words))])
+    )
     tnorm = tvec.groupBy("target_word").agg(F.sqrt(F.sum(F.col("tval") * F.col("tval"))).alias("tnrm"))
-    grid = _pairs(targets, tokens)
+    each = F.explode(F.array(*[F.struct(F.lit(w).alias("target_word"), F.col(f"_d{i}").alias("dot")) for i, w in enumerate(words)]))
     return (
-        grid.join(dots, ["target_word", "term"], "left")
-        .join(norms, "term", "left")
-        .join(checked_broadcast(tnorm), "target_word", "left")
+        tokens.join(sums, "term", "left")
+        .select("term", "nrm", each.alias("_e"))
+        .select("term", "nrm", "_e.target_word", "_e.dot")
+        .join(F.broadcast(tnorm), "target_word", "left")
         .select("target_word", "term", F.try_divide(F.col("dot"), F.col("nrm") * F.col("tnrm")).alias("score"))
     )
 
 
-def _pairs(targets: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Every (target word, token): the token list (bounded by the vocabulary
-    cap) with the short target list attached as an exploded array literal
-    collected from ``targets`` (a handful of words)."""
-    words = [r[0] for r in targets.select("target_word").distinct().collect()]
-    return tokens.select(F.explode(F.array(*[F.lit(w) for w in sorted(words)])).alias("target_word"), "term")
-
-
 def top_terms(scores: DataFrame, top_feature: int = 20) -> DataFrame:
     """First ``top_feature`` tokens per target: score descending with NULL
     last, then term; then NULL scores become 0."""
