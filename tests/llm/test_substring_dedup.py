@@ -109,6 +109,35 @@ def test_clusters_match_all_pairs(spark, monkeypatch, key_bytes):
     assert S.repeated_passages(df.limit(0)).collect() == []
 
 
+def test_key_filter(spark):
+    keys = np.random.default_rng(3).integers(-(2**63), 2**63, 40_000)
+    df = spark.createDataFrame([(int(k),) for k in keys], "key bigint")
+    sort = S.key_table(df, 8 * len(keys))
+    assert sort[0] == 0 and sort[1].tolist() == sorted(keys.view(np.uint64).tolist())
+    hashes, bits = S.key_table(df, S.SEGMENT)
+    assert hashes and len(bits) == S.SEGMENT
+    assert S._in_filter(keys.view(np.uint64).reshape(8, -1), bits, hashes).all()
+    others = np.random.default_rng(4).integers(-(2**63), 2**63, 40_000).view(np.uint64)
+    assert S._in_filter(others, bits, hashes).mean() < 0.02
+
+
+def test_lone_paragraphs_are_not_stored_beyond_the_bound(spark, monkeypatch):
+    put, stored = S.Store.put, []
+
+    def counting(self, df):
+        out = put(self, df)
+        if "shingles" in df.columns and "start" in df.columns:
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(S.Store, "put", counting)
+    rnd = random.Random(5)
+    passage = text(rnd, 60, 10**9)
+    rows = [(i, text(rnd, 150, 10**9) + (" " + passage if i < 2 else "")) for i in range(40)]
+    got = S.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"), key_bytes=0).collect()
+    assert {r.doc_id for r in got} == {0, 1} and len(got) <= stored[0] <= 2 * len(got)
+
+
 def test_whole_table_matches_all_pairs(spark):
     from textquarry.llm.queries import QUERIES
 

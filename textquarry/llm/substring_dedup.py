@@ -10,7 +10,9 @@ several whole paragraphs (13 words each on average).
    bands, as few bands as reach the recall asked for at the threshold. A
    first pass counts the keys of the whole corpus.
 2. Keys of one paragraph only are of no use. A second pass stores the
-   paragraphs that hold a key of several.
+   paragraphs that hold a key of several. If these keys are too many to go to
+   every task, a filter of bounded size goes there; it lets all of them
+   through and a few others, which find no partner later.
 3. Paragraphs of equal words become one class. Classes that share a key are
    joined there and verified by the exact Jaccard similarity of their
    shingles; a key with many classes is split over several tasks, and each
@@ -41,8 +43,11 @@ RADIUS = 6
 MIN_WORDS = 16
 # Classes of one key that a task compares with all others of the key.
 SALT_ROWS = 2_000
-# Bytes of shared keys (8 each) that may pass the driver and go to every task.
+# Bytes of shared keys (8 each), or of a filter of them, that may pass the driver and go to every task.
 KEY_BYTES = 64 << 20
+# Bytes of the filter that are made by one group of keys; most bits that a key sets there.
+SEGMENT = 1 << 16
+MOST_HASHES = 8
 
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD],
@@ -145,9 +150,9 @@ class Paragraphs:
     def shingles(self, k: int) -> np.ndarray:
         return np.unique(self.sh[self.first[k]: self.first[k] + self.count[k]])
 
-    def content(self, k: int) -> str:
+    def content(self, k: int) -> bytes:
         words = self.ids[self.first[k]: self.first[k] + self.count[k] + self.shingle - 1]
-        return xxhash.xxh128_hexdigest(b" ".join(self.words[w] for w in words))
+        return xxhash.xxh128_digest(b" ".join(self.words[w] for w in words))
 
 
 def _walk(texts: list[bytes | None], p: Paragraphs) -> Iterator[tuple]:
@@ -193,22 +198,73 @@ def _in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[at] == values
 
 
+def _bits(keys: np.ndarray, segments: int, hashes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(segment, bit in it) of every key, for each of the hashes; a key's bits lie in one segment."""
+    segment = ((keys >> np.uint64(40)) % np.uint64(segments)).astype(np.int64)
+    step = (keys >> np.uint64(20)) | np.uint64(1)
+    for k in range(hashes):
+        yield segment, ((keys + step * np.uint64(k)) % np.uint64(8 * SEGMENT)).astype(np.int64)
+
+
+def _segments(segments: int, hashes: int):
+    """mapInArrow over keys, those of a segment in one partition: the segments of the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, np.ndarray] = {}
+        for b in batches:
+            for segment, bit in _bits(b.column("key").to_numpy().view(np.uint64), segments, hashes):
+                for s in np.unique(segment).tolist():
+                    at = bit[segment == s]
+                    np.bitwise_or.at(made.setdefault(s, np.zeros(SEGMENT, np.uint8)), at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+        for s, bits in made.items():
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([bits.tobytes()])], ["segment", "bits"])
+
+    return run
+
+
+def _in_filter(values: np.ndarray, bits: np.ndarray, hashes: int) -> np.ndarray:
+    found = np.ones(values.shape, dtype=bool)
+    for segment, bit in _bits(values, len(bits) // SEGMENT, hashes):
+        found &= (bits[segment * SEGMENT + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 > 0
+    return found
+
+
+def key_table(shared: DataFrame, key_bytes: int) -> tuple[int, np.ndarray]:
+    """(0, the keys sorted) if they hold at most ``key_bytes``, else (number of hashes, filter of the keys):
+    at most ``key_bytes`` (a segment at least) and 16 bits a key, every key passes it."""
+    n = shared.count()
+    if n * 8 <= key_bytes:
+        packed = shared.mapInArrow(
+            lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.column("key").to_numpy().tobytes()])], ["k"]) for b in bs),
+            "k binary").collect()
+        keys = np.concatenate([np.zeros(0, dtype=np.uint64), *(np.frombuffer(r["k"], dtype=np.uint64) for r in packed)])
+        return 0, np.sort(keys)
+    segments = max(1, min(key_bytes, 2 * n) // SEGMENT)
+    hashes = max(1, min(MOST_HASHES, round(0.69 * 8 * SEGMENT * segments / n)))
+    bits = np.zeros((segments, SEGMENT), dtype=np.uint8)
+    dealt = shared.repartition(F.shiftrightunsigned("key", 40) % segments)
+    for r in dealt.mapInArrow(_segments(segments, hashes), "segment bigint, bits binary").toLocalIterator():
+        bits[r["segment"]] |= np.frombuffer(r["bits"], dtype=np.uint8)
+    return hashes, bits.ravel()
+
+
 def _sharing(shingle: int, bands: int, rows: int, table):
-    """Paragraphs that hold a shared key (all, if the table is None)."""
+    """Paragraphs that hold a shared key (and those that the table, if a filter, lets through)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Paragraphs(shingle, bands, rows)
-        shared = None if table is None else table.value
+        hashes, shared = table.value
         row = TaskContext.get().partitionId() << 33
         for whole in batches:
             for b in small_batches(whole):
                 docs = b.column("doc_id").to_pylist()
                 for owner, start, end, keys in _walk(text_bytes(b, "t"), p):
-                    hit = range(len(owner)) if shared is None else np.flatnonzero(_in_sorted(keys, shared).any(axis=0))
+                    held = _in_filter(keys, shared, hashes) if hashes else _in_sorted(keys, shared)
+                    hit = np.flatnonzero(held.any(axis=0))
                     out = [(p.content(k), docs[owner[k]], row + int(owner[k]), int(start[k]), int(end[k]),
                             keys[:, k].view(np.int64).tolist(), p.shingles(k).tobytes()) for k in hit]
                     if out:
-                        kinds = [pa.string()] + [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary()]
+                        kinds = [pa.binary()] + [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary()]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                             ["class", "doc_id", "row", "start", "end", "keys", "shingles"],
@@ -262,18 +318,20 @@ def _similar(threshold: float):
     return run
 
 
-def class_links(store: Store, classes: DataFrame, threshold: float) -> DataFrame:
-    """Links (src, dst) between similar classes (class, keys, shingles)."""
-    each = store.put(classes.select(F.explode("keys").alias("key"), "class", "shingles"))
+def class_links(classes: DataFrame, threshold: float) -> DataFrame:
+    """Links (src, dst) between similar classes (class, keys, shingles): the
+    shingles are sent to the keys of several classes only."""
+    each = classes.select(F.explode("keys").alias("key"), "class")
     several = each.groupBy("key").count().where("count > 1")
     parts = several.select("key", F.ceil(F.col("count") / SALT_ROWS).cast("int").alias("parts"))
     rows = (
         each.join(parts, "key").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("home", F.pmod(F.xxhash64("class"), F.col("parts")) == F.col("part")).drop("parts")
+        .join(classes.select("class", "shingles"), "class")
     )
     return (
         rows.repartition("key", "part").sortWithinPartitions("key", "part")
-        .select("key", "part", "home", "class", "shingles").mapInArrow(_similar(threshold), "src string, dst string")
+        .select("key", "part", "home", "class", "shingles").mapInArrow(_similar(threshold), "src binary, dst binary")
     )
 
 
@@ -304,21 +362,19 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         src.select("t").mapInArrow(_keys(shingle, bands, rows), "key bigint").groupBy("key").count()
         .where("count > 1").select("key")
     )
-    table = None
-    if shared.count() * 8 <= key_bytes:
-        packed = shared.mapInArrow(
-            lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.column("key").to_numpy().tobytes()])], ["k"]) for b in bs),
-            "k binary").collect()
-        keys = np.concatenate([np.zeros(0, dtype=np.uint64), *(np.frombuffer(r["k"], dtype=np.uint64) for r in packed)])
-        table = spark.sparkContext.broadcast(np.sort(keys))
+    table = spark.sparkContext.broadcast(key_table(shared, key_bytes))
+    store.drop(shared)
     places = store.put(src.mapInArrow(
         _sharing(shingle, bands, rows, table),
-        "class string, doc_id bigint, row bigint, start bigint, end bigint, keys array<bigint>, shingles binary"
+        "class binary, doc_id bigint, row bigint, start bigint, end bigint, keys array<bigint>, shingles binary"
     ))
-    classes = places.groupBy("class").agg(F.first("keys").alias("keys"), F.first("shingles").alias("shingles"))
-    found = components(store, class_links(store, classes, threshold))
+    classes = store.put(
+        places.groupBy("class").agg(F.first("keys").alias("keys"), F.first("shingles").alias("shingles")))
+    found = components(store, class_links(classes, threshold))
     at = places.select("class", "doc_id", "row", "start", "end")
-    at = store.put(with_component(at, found, "class", "cluster"))
+    at = store.put(with_component(at, found, "class", "cluster").drop("class"))
+    store.drop(places)
+    store.drop(classes)
     who = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), F.col("row")))
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row", "start")
     clusters = (
