@@ -120,6 +120,32 @@ def test_knn_vectors_exact_in_many_dimensions(spark):
     assert cluster.knn_vectors(df.where("id < 2"), 7).count() == 4
 
 
+def test_knn_vectors_of_equal_distances(spark):
+    rows = [(int(i) * 7 % 61, [float(j == i % 40) for j in range(40)]) for i in range(61)]  # 40 locations, all equally far apart
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    x, ids = np.array([v for _, v in rows]), np.array([i for i, _ in rows])
+    for blocks in ({}, {"query_block": 7, "vector_block": 11}):
+        got = {(r.id, r["rank"]): r.neighbor_id for r in cluster.knn_vectors(df, 5, **blocks).collect()}
+        for i, v in rows:
+            want = ids[np.lexsort((ids, ((x - np.array(v)) ** 2).sum(axis=1)))[:5]]
+            assert [got[i, k] for k in range(1, 6)] == want.tolist()
+
+
+def test_knn_vectors_sends_no_vector_to_each_block_of_queries():
+    # 600,000 unrelated vectors: every block may hold a neighbour of every query
+    cells, q = np.repeat(np.arange(60), 10), np.full(600, 1000)
+    near, reach = np.zeros((120, 60)), np.ones(60)
+    q_run, q_meets, t_run, t_meets = cluster._meetings(cells, q, cells[::5], np.full(120, 5000), near, reach, cluster.RUN_ROWS)
+    assert len({*t_run}) <= 20 and max(np.bincount(q_run)) <= 34 and max(np.bincount(t_run)) <= 8
+    assert max(map(len, t_meets)) <= 20 and max(map(len, q_meets)) <= 20
+    met = {(a, b) for a, m in zip(q_run, q_meets) for b in m}
+    assert met == {(a, b) for b, m in zip(t_run, t_meets) for a in m} and len(met) == len({*q_run}) * len({*t_run})
+    # cells far from each other meet only their own vectors
+    near = np.where(np.eye(60, dtype=bool)[cells[::5]], 0.0, 9.0)
+    q_run, q_meets, t_run, t_meets = cluster._meetings(cells, q, cells[::5], np.full(120, 5000), near, reach, 10_000)
+    assert all(len(m) == 1 for m in q_meets + t_meets)
+
+
 def test_mixed_table_dbscan_against_brute_force(spark):
     from textquarry.plans import cluster_queries as Q
 

@@ -19,6 +19,8 @@ from .joins import checked_broadcast
 from .keys import ordered_index, top_k_per_group
 
 MAX_ROUNDS = 64
+# Queries, and vectors, that meet in one task of the exact kNN at most; tasks along each side while there are fewer.
+RUN_ROWS, RUNS = 32_768, 8
 
 
 def _d2():
@@ -136,59 +138,101 @@ def _nearest_pivot(pivots):
     return run
 
 
-def _reached_cells(pivots, reach):
-    """mapInArrow: every vector once for each cell whose queries it may be near to."""
+def _pack(pivots):
+    """applyInPandas over a block of a cell's vectors: one row, in single precision if that
+    holds them exactly, with the block's smallest distance to every pivot."""
     import numpy as np
-    import pyarrow as pa
+    import pandas as pd
 
-    def run(batches):
-        for b in batches:
-            v = np.asarray(b.column("v").flatten(), dtype=np.float64).reshape(b.num_rows, len(pivots[0]))
-            for cell in np.flatnonzero(reach >= 0):
-                d = np.sqrt(((v - pivots[cell]) ** 2).sum(axis=1))
-                at = pa.array(np.flatnonzero(d <= reach[cell] * (1 + 1e-9) + 1e-12))
-                part = b.take(at)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("v"), part.column("m"),
-                     pa.array(np.full(len(at), cell, dtype=np.int64))], ["id", "v", "m", "cell"])
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        v = np.stack(rows["v"]).astype(np.float64)
+        with np.errstate(over="ignore"):
+            narrow = v.astype(np.float32)
+        wide = not np.array_equal(narrow, v)
+        near = [np.fmin.reduce(np.sqrt(((v - p) ** 2).sum(axis=1)), initial=np.inf) for p in pivots]
+        return pd.DataFrame({
+            "cell": rows["cell"][:1], "part": rows["part"][:1], "n": [len(v)], "ids": [rows["id"].to_numpy().tobytes()],
+            "v": [(v if wide else narrow).tobytes()], "wide": [wide], "near": [near]})
 
     return run
 
 
-def _block_neighbours(k: int):
-    """applyInPandas over a block of queries and a block of vectors of one
-    cell: all vectors up to each query's k-th distance within the block."""
+def _meetings(q_cells, q_sizes, t_cells, t_sizes, near, reach, side: int):
+    """Blocks dealt to runs of ``side`` rows, cell by cell: for each block of queries its run and the
+    runs of vectors it meets, for each block of vectors its run and the runs of queries. A block of
+    vectors is needed by the cells of which it may hold a neighbour (``near`` within ``reach``)."""
+    import numpy as np
+
+    def dealt(cells, sizes):
+        order = np.lexsort((np.arange(len(cells)), cells))
+        run = np.empty(len(cells), dtype=np.int64)
+        run[order] = (np.cumsum(sizes[order]) - sizes[order]) // side
+        return np.unique(run, return_inverse=True)[1]
+
+    q_run, t_run = dealt(q_cells, q_sizes), dealt(t_cells, t_sizes)
+    needs = near.T <= (reach * (1 + 1e-9) + 1e-12)[:, None]  # cell, block of vectors
+    by_run = np.zeros((q_run.max() + 1, len(t_cells)), dtype=bool)
+    np.logical_or.at(by_run, q_run, needs[q_cells])
+    by_cell = np.zeros((len(reach), t_run.max() + 1), dtype=bool)
+    for run in range(t_run.max() + 1):
+        by_cell[:, run] = needs[:, t_run == run].any(axis=1)
+    return (q_run, [np.flatnonzero(by_cell[c]).tolist() for c in q_cells],
+            t_run, [np.flatnonzero(by_run[:, t]).tolist() for t in range(len(t_cells))])
+
+
+def _run_neighbours(k: int, reach, queries: int = 256, vectors: int = 2048, hits: int = 1 << 17):
+    """applyInPandas over the blocks of a run of queries and of a run of vectors: each
+    query's ``k`` nearest of these vectors, the smaller id first where distances are equal."""
     import numpy as np
     import pandas as pd
 
+    def unpacked(r):
+        v = np.frombuffer(r.v, np.float64 if r.wide else np.float32).astype(np.float64)
+        return np.frombuffer(r.ids, np.int64), v.reshape(r.n, -1)
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        q, s = rows[rows["query"]], rows[~rows["query"]]
-        if not len(q) or not len(s):
-            return pd.DataFrame({"pid": [], "nid": [], "m": [], "d2": []})
-        x, y, pid = np.stack(q["v"]), np.stack(s["v"]), q["id"].to_numpy()
-        ids, m = s["id"].to_numpy(), s["m"].to_numpy()
-        y2, kk, out = (y * y).sum(axis=1), min(k, len(s)) - 1, []
-        for at in range(0, len(x), 64):
-            v = x[at:at + 64]
-            rough = y2 - 2 * (v @ y.T)
-            kth = np.partition(rough, kk, axis=1)[:, kk]
-            who, near = np.nonzero(rough <= (kth + 1e-9 * (np.abs(kth) + y2.max() + 1))[:, None])
-            if not len(who):
-                continue
-            d2 = ((y[near] - v[who]) ** 2).sum(axis=1)  # exact, for the few that remain
-            order = np.lexsort((d2, who))
-            who, near, d2 = who[order], near[order], d2[order]
-            # of each query, the first place at which k vectors are reached, else its last
-            first = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-            size = np.diff(np.append(first, len(who)))
-            cum = np.cumsum(m[near])
-            short = cum - np.repeat(cum[first] - m[near[first]], size) < k
-            edge = d2[first + np.minimum(np.add.reduceat(short.astype(np.int64), first), size - 1)]
-            keep = d2 <= np.repeat(edge, size)
-            out.append((pid[at + who[keep]], ids[near[keep]], m[near[keep]], d2[keep]))
+        targets = []
+        for r in rows[~rows["query"]].itertuples():
+            ids, y = unpacked(r)
+            targets.append((ids, y, np.hstack([y, (y * y).sum(axis=1)[:, None]]), r.near))
+        out = []
+        for r in rows[rows["query"]].itertuples():
+            pid, block = unpacked(r)
+            mine = [t for t in targets if t[3][r.cell] <= reach[r.cell] * (1 + 1e-9) + 1e-12]
+            for at in range(0, r.n, queries):
+                x = block[at:at + queries]
+                x2 = (x * x).sum(axis=1)
+                ask = np.hstack([-2 * x, np.ones((len(x), 1))])
+                best = np.full((len(x), k), np.inf)
+                names = np.full((len(x), k), np.iinfo(np.int64).max)
+                for ids, y, held, _ in mine:
+                    for lo in range(0, len(y), vectors):
+                        part = held[lo:lo + vectors]
+                        rough = ask @ part.T
+                        slack = 1e-12 * (x2 + part[:, -1].max())
+                        bound = best[:, -1] - x2 + slack
+                        if np.isinf(bound).any():
+                            kk = min(k, len(part)) - 1
+                            bound = np.fmin(bound, np.partition(rough, kk, axis=1)[:, kk] + 2 * slack)
+                        w, t = np.nonzero(rough <= bound[:, None])
+                        for j in range(0, len(w), hits):
+                            who, near = w[j:j + hits], lo + t[j:j + hits]
+                            d2 = ((y[near] - x[who]) ** 2).sum(axis=1)  # exact, for the few that remain
+                            own = np.unique(who)
+                            who = np.concatenate([np.repeat(own, k), who])
+                            d2 = np.concatenate([best[own].ravel(), d2])
+                            name = np.concatenate([names[own].ravel(), ids[near]])
+                            order = np.lexsort((name, d2, who))
+                            who, d2, name = who[order], d2[order], name[order]
+                            first = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
+                            rank = np.arange(len(who)) - np.repeat(first, np.diff(np.append(first, len(who))))
+                            keep = rank < k
+                            best[who[keep], rank[keep]], names[who[keep], rank[keep]] = d2[keep], name[keep]
+                who, place = np.nonzero(best < np.inf)
+                out.append((pid[at + who], names[who, place], best[who, place]))
         if not out:
-            return pd.DataFrame({"pid": [], "nid": [], "m": [], "d2": []})
-        return pd.DataFrame(dict(zip(("pid", "nid", "m", "d2"), map(np.concatenate, zip(*out)))))
+            return pd.DataFrame({"pid": [], "nid": [], "d2": []})
+        return pd.DataFrame(dict(zip(("pid", "nid", "d2"), map(np.concatenate, zip(*out)))))
 
     return run
 
@@ -204,9 +248,11 @@ def knn_vectors(vectors: DataFrame, k: int = 7, pivots: int = 64, query_block: i
     pivots. From each cell's radius and the smallest pivot distances of all
     cells follows a bound on its queries' k-th distance, and by the triangle
     inequality only vectors within radius + bound of its pivot can matter;
-    only these are sent there. A cell's queries and vectors are compared in
+    only blocks that hold such are sent there. A cell's queries and vectors are packed in
     blocks of bounded size, so a cell holding a third of all vectors is many
-    tasks; the blocks' short lists are merged per query.
+    rows; runs of blocks meet in tasks, whose short lists are merged per
+    query. A vector is sent once for each run of queries, so what is shuffled
+    is vectors x (runs of queries + runs of vectors).
     """
     import numpy as np
 
@@ -240,33 +286,35 @@ def knn_vectors(vectors: DataFrame, k: int = 7, pivots: int = 64, query_block: i
                 limit = d
                 break
         reach[cell] = st["radius"] + limit
-    near = dealt.select("id", "v", "m").mapInArrow(
-        _reached_cells(p, reach), "id long, v array<double>, m long, cell long"
-    ).checkpoint(eager=True)
-    sent = {r["cell"]: r["count"] for r in near.groupBy("cell").count().collect()}
-    q_parts = F.array(*[F.lit(-(-stats[c]["queries"] // query_block) if c in stats else 1) for c in range(len(p))])
-    s_parts = F.array(*[F.lit(max(1, -(-sent.get(c, 0) // vector_block))) for c in range(len(p))])
-
-    def parts(of):
-        return F.element_at(of, F.col("cell").cast("int") + 1).cast("int")
-
-    def block(of, salt):
-        return F.pmod(F.xxhash64("id", F.lit(salt)), parts(of)).cast("int")
-
-    def every(of):
-        return F.explode(F.sequence(F.lit(0), parts(of) - 1))
-
-    queries = dealt.select("id", "v", "m", "cell", F.lit(True).alias("query"), block(q_parts, 1).alias("qb"),
-                           every(s_parts).alias("sb"))
-    targets = near.select("id", "v", "m", "cell", F.lit(False).alias("query"), block(s_parts, 2).alias("sb"),
-                          every(q_parts).alias("qb"))
-    cand = queries.unionByName(targets).groupBy("cell", "qb", "sb").applyInPandas(
-        _block_neighbours(k_eff), "pid long, nid long, m long, d2 double")
-    w = Window.partitionBy("pid").orderBy("d2").rangeBetween(Window.unboundedPreceding, 0)
-    cum = cand.withColumn("cum", F.sum("m").over(w)).checkpoint(eager=True)
-    reached = cum.where(F.col("cum") >= k_eff).groupBy("pid").agg(F.min("d2").alias("dk"))
-    loc_nn = cum.join(reached, "pid").where(F.col("d2") <= F.col("dk")).select("pid", "nid", "d2")
-    members = vectors.join(locs.select("v", F.col("id").alias("lid")), "v").select("lid", "id")
+    kind = "cell long, part int, n long, ids binary, v binary, wide boolean, near array<double>"
+
+    def packed(rows: int) -> DataFrame:
+        parts = F.element_at(F.array(*[F.lit(-(-stats[c]["queries"] // rows) if c in stats else 1) for c in range(len(p))]),
+                             F.col("cell").cast("int") + 1)
+        part = F.pmod(F.xxhash64("id", F.lit(1)), parts).cast("int").alias("part")
+        named = F.coalesce("id", F.lit(-(1 << 63))).alias("id")  # null joins with nothing later, nor does this
+        return dealt.select(named, "v", "cell", part).groupBy("cell", "part").applyInPandas(_pack(p), kind).checkpoint(eager=True)
+
+    queries, targets = packed(query_block), packed(vector_block)
+    q_meta, t_meta = queries.select("cell", "part", "n").collect(), targets.select("cell", "part", "n", "near").collect()
+    of = lambda meta, name: np.array([r[name] for r in meta])
+    side = min(RUN_ROWS, max(vector_block, -(-size[0] // RUNS)))
+    q_run, q_meets, t_run, t_meets = _meetings(of(q_meta, "cell"), of(q_meta, "n"), of(t_meta, "cell"), of(t_meta, "n"),
+                                               of(t_meta, "near"), reach, side)
+
+    def sent(packs, meta, run, meets, own, other, query):
+        where = spark.createDataFrame([(r["cell"], r["part"], int(n), m) for r, n, m in zip(meta, run, meets)],
+                                      f"cell long, part int, {own} int, others array<int>")
+        return packs.join(F.broadcast(where), ["cell", "part"]).withColumn(other, F.explode("others")).select(
+            "qr", "tr", F.lit(query).alias("query"), "cell", "n", "ids", "v", "wide", "near")
+
+    meeting = sent(queries, q_meta, q_run, q_meets, "qr", "tr", True).unionByName(
+        sent(targets, t_meta, t_run, t_meets, "tr", "qr", False))
+    cand = meeting.groupBy("qr", "tr").applyInPandas(_run_neighbours(k_eff, reach), "pid long, nid long, d2 double")
+    # k locations hold k points, and of equal distances those of the smallest ids come first
+    loc_nn = top_k_per_group(cand, ["pid"], [F.col("d2").asc(), F.col("nid").asc()], k_eff).select("pid", "nid", "d2")
+    loc_nn = loc_nn.checkpoint(eager=True)
+    members = vectors.join(locs.select("v", F.col("id").alias("lid")), "v").select("lid", "id").checkpoint(eager=True)
     return _expanded(loc_nn, members, k_eff, salt_buckets)
 
 
