@@ -76,5 +76,18 @@ def test_groups_match_all_pairs(spark, shard_rows, block_rows):
     assert E.embedding_groups(df.limit(0)).collect() == []
 
 
+def test_blocks_share_copies_of_a_shard(spark):
+    shards = spark.createDataFrame([("a", 0, b"x"), ("a", 1, b"y"), ("b", 0, b"z")], "group string, shard bigint, index binary")
+    blocks = spark.createDataFrame([("a", k, b"q") for k in range(20)] + [("b", 0, b"q")], "group string, block bigint, queries binary")
+    parts = spark.createDataFrame([("a", 2, 20), ("b", 1, 1)], "group string, shards bigint, blocks bigint")
+    got = E.meetings(shards, blocks, parts).collect()
+    copies = [(r.group, r.shard) for r in got if r.block < 0]
+    assert {c: copies.count(c) for c in copies} == {("a", 0): 3, ("a", 1): 3, ("b", 0): 1}
+    met = [(r.group, r.shard, r.block) for r in got if r.block >= 0]
+    assert sorted(met) == sorted([("a", s, k) for s in (0, 1) for k in range(20)] + [("b", 0, 0)])
+    whole = {(r.group, r.shard, r.run) for r in got if r.block < 0}
+    assert all((r.group, r.shard, r.run) in whole for r in got)
+
+
 def test_query_matches_oracle(same):
     same("op2_embedding_dedup")

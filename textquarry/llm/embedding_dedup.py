@@ -3,7 +3,7 @@
 Equal vectors of a label become one row first. The rows of a label are dealt
 to shards of bounded size, each with a hierarchical navigable small-world
 graph over its vectors. Blocks of query vectors meet every shard of their
-label: a beam search finds the surroundings of each query, from its hits the
+label, several blocks with one copy of a shard: a beam search finds the surroundings of each query, from its hits the
 graph is followed as long as it yields links, and every link is verified by
 its cosine in double precision. Each block is audited: for a sample of its
 queries the links are found by brute force as well, and while the recall is
@@ -24,8 +24,11 @@ from pyspark.sql import functions as F
 from .common import Store, components, stars, with_component
 
 THRESHOLD = 0.93
-SHARD_ROWS = 8192
+# A search's time follows the logarithm of a graph's size, but every shard is searched: so few and large ones.
+SHARD_ROWS = 32_768
 BLOCK_ROWS = 1024
+RUN_BLOCKS = 8  # blocks that share a copy of a shard
+MOST_PARTS = 960  # partitions that graphs or searches, seconds each, are dealt to
 DEGREE = 12  # links of a node; twice as many on the ground level
 BUILD_BEAM = 48
 BEAM = 64
@@ -221,28 +224,44 @@ def search_block(queries: tuple, shard: tuple, threshold: float, beam: int = BEA
 
 
 def _search(threshold: float):
-    def run(pair: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
         """Rows (node, other, links): other null with a query's number of
         links, else a link of a spanning star."""
-        keys, _ = queries = pickle.loads(pair["queries"][0])
-        own, copies, _, _ = shard = pickle.loads(pair["index"][0])
-        found, _ = search_block(queries, shard, threshold)
-        links = np.array([copies[at].sum() for at in found], dtype=np.int64)
-        out = [pd.DataFrame({"node": keys, "other": pd.array([None] * len(keys), dtype="Int64"), "links": links})]
-        src, dst, held = [], [], 0
-        for i, at in enumerate(found):
-            src.append(np.full(len(at), keys[i]))
-            dst.append(own[at])
-            held += len(at)
-            if held > PAIRS or i == len(found) - 1:
-                a, b = stars(np.concatenate(src), np.concatenate(dst))
-                out.append(pd.DataFrame({"node": a, "other": pd.array(b, dtype="Int64"), "links": 0}))
+        out = [pd.DataFrame({"node": [], "other": pd.array([], dtype="Int64"), "links": []})]
+        for index in rows.loc[rows["block"] < 0, "packed"]:
+            own, copies, _, _ = shard = pickle.loads(index)
+            for block in rows[rows["block"] >= 0].sort_values("block")["packed"]:
+                keys, _ = queries = pickle.loads(block)
+                found, _ = search_block(queries, shard, threshold)
+                links = np.array([copies[at].sum() for at in found], dtype=np.int64)
+                out.append(pd.DataFrame({"node": keys, "other": pd.array([None] * len(keys), dtype="Int64"), "links": links}))
                 src, dst, held = [], [], 0
-        return pd.concat(out, ignore_index=True)
+                for i, at in enumerate(found):
+                    src.append(np.full(len(at), keys[i]))
+                    dst.append(own[at])
+                    held += len(at)
+                    if held > PAIRS or i == len(found) - 1:
+                        a, b = stars(np.concatenate(src), np.concatenate(dst))
+                        out.append(pd.DataFrame({"node": a, "other": pd.array(b, dtype="Int64"), "links": 0}))
+                        src, dst, held = [], [], 0
+        return pd.concat(out[1:] or out, ignore_index=True)
 
     return run
 
 
+def meetings(shards: DataFrame, blocks: DataFrame, parts: DataFrame) -> DataFrame:
+    """``(group, shard, run, block, packed)``: every shard once (block -1) for each run
+    of ``RUN_BLOCKS`` blocks of its group, every block once for each shard."""
+    runs = F.sequence(F.lit(0), F.ceil(F.col("blocks") / RUN_BLOCKS).cast("int") - 1)
+    each = F.sequence(F.lit(0).cast("bigint"), F.col("shards").cast("bigint") - 1)
+    graphs = shards.join(parts, "group").select(
+        "group", "shard", F.explode(runs).alias("run"), F.lit(-1).cast("bigint").alias("block"), F.col("index").alias("packed"))
+    asked = blocks.join(parts, "group").select(
+        "group", F.explode(each).alias("shard"), F.floor(F.col("block") / RUN_BLOCKS).cast("int").alias("run"),
+        "block", F.col("queries").alias("packed"))
+    return graphs.unionByName(asked)
+
+
 def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                      label_col: str = "label", threshold: float = THRESHOLD, shard_rows: int = SHARD_ROWS,
                      block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -283,13 +302,19 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             F.pmod(F.xxhash64("key"), F.col("shards")).alias("shard"),
             F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")).alias("block"))
     )
+    parts = parts.select(F.to_json("group").alias("group"), "shards", "blocks")
+    n = parts.agg(F.sum("shards"), F.sum(F.col("shards") * F.ceil(F.col("blocks") / RUN_BLOCKS))).first()
+    few = [max(1, min(4 * (k or 0), MOST_PARTS)) for k in n]
     shards = store.put(
-        dealt.groupBy("group", "shard").applyInPandas(_build, "group string, shard bigint, index binary"))
+        dealt.repartition(few[0], "group", "shard").groupBy("group", "shard")
+        .applyInPandas(_build, "group string, shard bigint, index binary"))
     blocks = dealt.groupBy("group", "block").applyInPandas(_pack, "group string, block bigint, queries binary")
     found = store.put(
-        blocks.join(shards, "group").groupBy("group", "block", "shard")
+        meetings(shards, blocks, parts).repartition(few[1], "group", "shard", "run").groupBy("group", "shard", "run")
         .applyInPandas(_search(threshold), "node bigint, other bigint, links bigint")
     )
+    store.drop(dealt)
+    store.drop(shards)
     links = found.where("other is null").groupBy("node").agg(F.sum("links").alias("found"))
     edges = found.where("other is not null").select(F.col("node").alias("src"), F.col("other").alias("dst"))
     nodes = distinct.select("key", "label", "vector", "dim", "first_id", "copies")
