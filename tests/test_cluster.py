@@ -146,6 +146,17 @@ def test_knn_vectors_sends_no_vector_to_each_block_of_queries():
     assert all(len(m) == 1 for m in q_meets + t_meets)
 
 
+def test_k_distance_over_runs_of_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "RUN_ROWS", 50)
+    x = np.random.default_rng(6).normal(size=(240, 16))
+    df = spark.createDataFrame([(i, [float(f) for f in v]) for i, v in enumerate(x)], "id long, v array<double>")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    nearest = np.sort(d, axis=1)[:, 1]
+    got = cluster.k_distance(cluster.knn_vectors(df, 4, query_block=16, vector_block=20), 2).orderBy("position").collect()
+    assert [r.id for r in got] == np.argsort(nearest).tolist() and [r.position for r in got] == list(range(240))
+    assert np.allclose([r.distance for r in got], np.sort(nearest))
+
+
 def test_mixed_table_dbscan_against_brute_force(spark):
     from textquarry.plans import cluster_queries as Q
 
