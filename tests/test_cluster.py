@@ -153,7 +153,7 @@ def test_k_distance_over_runs_of_small_blocks(spark, monkeypatch):
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
     nearest = np.sort(d, axis=1)[:, 1]
     got = cluster.k_distance(cluster.knn_vectors(df, 4, query_block=16, vector_block=20), 2).orderBy("position").collect()
-    assert [r.id for r in got] == np.argsort(nearest).tolist() and [r.position for r in got] == list(range(240))
+    assert [r.id for r in got] == np.argsort(nearest, kind="stable").tolist() and [r.position for r in got] == list(range(240))
     assert np.allclose([r.distance for r in got], np.sort(nearest))
 
 
